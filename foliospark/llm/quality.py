@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from .common import small_batches, stored, text_of
@@ -26,7 +27,7 @@ SPACES = b"\x20\t\n\x0b\x0c\r"
 WINDOW = 8
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_bangs", "n_digits", "n_plain", "n_runs")
-COUNTS_TYPE = "struct<" + ",".join(f"{c}:bigint" for c in COUNTS) + ">"
+COUNTS_TYPE = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
 
 #: Classes of bytes: letters a, digits 0, SYMBOLS #, full stop and comma, white space.
 KINDS = bytearray(range(256))
@@ -105,32 +106,34 @@ def pattern(c: str) -> Column:
     return F.concat(*[F.expr(f"CASE WHEN {within(bad)} THEN '-' WHEN {within(good)} THEN '+' ELSE '0' END") for _, good, bad in RULES])
 
 
-def fit(patterns: Iterable[tuple[str, int]], rounds: int = 100, good: float = 0.85, right: float = 0.9) -> dict[str, float]:
+def fit(patterns: Iterable[tuple[str, int]], rounds: int = 100, good: float = 0.85, on_good: float = 0.98, on_bad: float = 0.6) -> dict[str, float]:
     """Posterior probability of good for each vote pattern, by expectation-maximisation.
 
-    Both classes have their own accuracy for each rule, an abstention says nothing.
-    The start (``good`` share, ``right`` accuracies) names the classes; pseudo-counts
-    keep every probability inside (0, 1).
+    Each class has its own probability of a vote for good under each rule; an
+    abstention says nothing. The start names the classes: a good document is
+    seldom voted down (1 - ``on_good``), and a rule catches some kinds of bad ones
+    (1 - ``on_bad``). It also serves as a weak prior of 20 documents, so that no
+    probability reaches 0 or 1 and few documents don't move it far.
     """
     own = sorted((p, n) for p, n in patterns)
     if not own:
         return {}
     votes = np.array([[{"+": 1, "-": -1, "0": 0}[v] for v in p] for p, _ in own])
     n = np.array([float(k) for _, k in own])
-    up, down = votes > 0, votes < 0
-    share, on_good, on_bad = good, np.full(votes.shape[1], right), np.full(votes.shape[1], 1 - right)
+    up, down, prior = votes > 0, votes < 0, 20.0
+    share, p_good, p_bad = good, np.full(votes.shape[1], on_good), np.full(votes.shape[1], on_bad)
     posterior = np.zeros(len(own))
     for _ in range(rounds):
         log = lambda p: (up * np.log(p) + down * np.log1p(-p)).sum(axis=1)
-        gap = np.log(share) - np.log1p(-share) + log(on_good) - log(on_bad)
+        gap = np.log(share) - np.log1p(-share) + log(p_good) - log(p_bad)
         now = 1 / (1 + np.exp(-np.clip(gap, -500, 500)))
         if np.abs(now - posterior).max() < 1e-9:
             break
         posterior = now
         g, b = n * posterior, n * (1 - posterior)
-        share = (g.sum() + 9) / (n.sum() + 10)
-        on_good = (g @ up + 9) / (g @ (up | down) + 10)
-        on_bad = np.minimum((b @ up + 1) / (b @ (up | down) + 2), on_good - 1e-6)  # a vote for good never speaks against it
+        share = (g.sum() + prior * good) / (n.sum() + prior)
+        p_good = (g @ up + prior * on_good) / (g @ (up | down) + prior)
+        p_bad = np.minimum((b @ up + prior * on_bad) / (b @ (up | down) + prior), p_good - 1e-6)  # no vote for good speaks against it
     return {p: float(x) for (p, _), x in zip(own, posterior, strict=True)}
 
 
