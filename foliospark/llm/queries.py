@@ -4,22 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import bpe, quality, secrets, simhash
 from .common import documents
 
 
+def _of_kinds(*kinds: str) -> Column:
+    return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+
+def _joined(spans: Column | str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
+    """Counts and digests of base spans, and all spans as a string."""
+    counts = [F.size(_of_kinds(k)).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(_joined(_of_kinds(*base)), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secrets.find_secrets(documents(spark, sf_dir)), secrets.BASE)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_near_dedup, op9_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op3_simhash_near_dedup, op6_bpe_encoding, op9_quality_rules)}
 
 #: None of the ten can be stated in SQL over whole tables; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {}
