@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -43,4 +44,11 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    tidy(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of finished jobs now, not at its next periodic collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
