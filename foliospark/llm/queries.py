@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, secrets, simhash, suffixes
+from . import bpe, mixing, ordermin, quality, secrets, simhash, suffixes
 from .common import documents
 
 
@@ -30,6 +30,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(secrets.find_secrets(documents(spark, sf_dir)), secrets.BASE)
 
 
+def op2_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(documents(spark, sf_dir))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -42,11 +46,15 @@ def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.edit_report_by_row(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op3_simhash_near_dedup, op5_suffix_array_dedup, op6_bpe_encoding, op9_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_mixing_sources, op3_simhash_near_dedup, op5_suffix_array_dedup, op6_bpe_encoding, op8_document_fingerprints, op9_quality_rules)}
 
 #: None of the ten can be stated in SQL over whole tables; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {}
