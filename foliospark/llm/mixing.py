@@ -16,8 +16,8 @@ from .common import stored, text_of
 
 DIMS = ("source", "lang", "topic")
 #: Target share of a value: its own token share to this power, so that large ones give way to small ones.
-TEMPER = 0.7
-ROUNDS, TOLERANCE = 25, 1e-6
+TEMPER = 0.9
+ROUNDS, TOLERANCE = 25, 1e-5
 SEED = 20_240_101
 #: What a missing source or language counts as.
 UNKNOWN = "(none)"
@@ -66,17 +66,17 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
         there = targets[d].join(cells.select(F.col(d).alias("value")).distinct(), "value", "left_semi")
         fixed[d] = stored(there.crossJoin(F.broadcast(there.agg(F.sum("target").alias("all")))).select(F.col("value").alias(d), (F.col("target") / F.col("all")).alias("target")))
     own = stored(own)
-    for n in range(1, rounds + 1):
+    for _ in range(rounds):
         for d in DIMS:
             now = own.groupBy(d).agg(F.sum("weight").alias("now"))
             factor = now.join(fixed[d], d, "left").select(d, F.coalesce(F.try_divide("target", "now"), F.lit(0.0)).alias("factor"))
             own = own.join(factor, d).select(*DIMS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
         own = stored(own)
-        off = 0.0
+        gaps = None
         for d in DIMS[:-1]:  # the last one was just met
-            gaps = own.groupBy(d).agg(F.sum("weight").alias("now")).join(fixed[d], d).agg(F.max(F.abs(F.col("now") - F.col("target"))))
-            off = max(off, gaps.first()[0] or 0.0)
-        if off < tolerance:
+            gap = own.groupBy(d).agg(F.sum("weight").alias("now")).join(fixed[d], d).agg(F.max(F.abs(F.col("now") - F.col("target"))).alias("gap"))
+            gaps = gap if gaps is None else gaps.unionAll(gap)
+        if (gaps.agg(F.max("gap")).first()[0] or 0.0) < tolerance:
             break
     return own
 

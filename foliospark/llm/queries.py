@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, ordermin, quality, secrets, simhash, suffixes
+from . import bpe, mixing, ordermin, pii, quality, secrets, simhash, suffixes
 from .common import documents
 
 
@@ -54,7 +54,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_mixing_sources, op3_simhash_near_dedup, op5_suffix_array_dedup, op6_bpe_encoding, op8_document_fingerprints, op9_quality_rules)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.spans_by_row(documents(spark, sf_dir)), pii.KINDS)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_mixing_sources, op3_simhash_near_dedup, op5_suffix_array_dedup, op6_bpe_encoding, op8_document_fingerprints, op9_quality_rules, op10_pii)}
 
 #: None of the ten can be stated in SQL over whole tables; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {}
