@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,19 +37,25 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, large: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts the lineage and is columnar and compressed, unlike checkpoint(); a lost
-    executor costs nothing that was written.
+    executor costs nothing that was written. After a ``large`` one the shuffle
+    files behind it are let go at once.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    spark, schema = df.sparkSession, df.schema
     df.write.parquet(path)
-    tidy(df.sparkSession)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if large:
+        del df
+        tidy(spark)
+    return spark.read.schema(schema).parquet(path)
 
 
 def tidy(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished jobs now, not at its next periodic collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(3):  # what still refers to a job lets go of it a moment after its end
+        time.sleep(0.3)
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
