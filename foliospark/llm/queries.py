@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, ordermin, pii, quality, secrets, simhash, suffixes
+from . import bpe, licenses, mixing, ordermin, perplexity, pii, quality, secrets, simhash, suffixes
 from .common import documents
 
 
@@ -38,6 +38,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(documents(spark, sf_dir))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.with_spans(documents(spark, sf_dir)).select("doc_id", suffixes.digest(F.col("text"), F.col("spans")).alias("d")).select("doc_id", "d.*")
 
@@ -46,6 +50,11 @@ def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("quality = 1 AND toxic = 0").select("doc_id")
+    return perplexity.classify(documents(spark, sf_dir), trusted)
+
+
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordermin.edit_report_by_row(documents(spark, sf_dir))
 
@@ -58,7 +67,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(pii.spans_by_row(documents(spark, sf_dir)), pii.KINDS)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_secret_scans, op2_mixing_sources, op3_simhash_near_dedup, op5_suffix_array_dedup, op6_bpe_encoding, op8_document_fingerprints, op9_quality_rules, op10_pii)}
+_ALL = (
+    op1_secret_scans, op2_mixing_sources, op3_simhash_near_dedup, op4_license_scans, op5_suffix_array_dedup,
+    op6_bpe_encoding, op7_quality_classifier, op8_document_fingerprints, op9_quality_rules, op10_pii,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 #: None of the ten can be stated in SQL over whole tables; tests/llm holds them against brute force.
 ORACLE_SQL: dict[str, str] = {}
