@@ -27,12 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .common import small_batches, text_of
+from .common import small_batches, stored, text_of, worker_cache
 
-LEXICON_WORDS = 50_000
+LEXICON_WORDS = 100_000
 LONGEST_WORD = 48
+#: Stands for the rank of a pair that does not merge.
+NO_RANK = 1 << 40
 #: Entries of a worker's cache and of a task's counter, which bound their memory.
-CACHE_WORDS, COUNTER_WORDS = 200_000, 400_000
+CACHE_WORDS, COUNTER_WORDS = 500_000, 400_000
 #: How the byte-level pre-tokenizer cuts a text (a fixed value of the public format).
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
@@ -71,25 +73,62 @@ class Vocabulary:
             a, b = map(raw, merge if isinstance(merge, list) else merge.split(" "))
             self.rank[self.id_of[a], self.id_of[b]] = (r, self.id_of[a + b])
         self.single = [self.id_of[bytes([b])] for b in range(256)]
+        self.singles = np.array(self.single, dtype=np.int64)
+        self.merged = np.array([new for _, new in self.rank.values()], dtype=np.int64)  # by rank
+        pairs = np.array([a << 32 | b for a, b in self.rank], dtype=np.int64)
+        at = np.argsort(pairs)
+        self.pairs, self.pair_rank = pairs[at], np.array([r for r, _ in self.rank.values()], dtype=np.int64)[at]
         self.cut = regex.compile(PIECES)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merge(self, piece: bytes) -> list[int]:
-        """The ids of one piece: the lowest-ranked pair, leftmost first, until none is left."""
-        ids = [self.single[b] for b in piece]
-        if len(ids) > 64:
-            return self._merge_long(ids)
-        rank = self.rank
-        while len(ids) > 1:
-            best, at = None, -1
-            for i in range(len(ids) - 1):
-                r = rank.get((ids[i], ids[i + 1]))
-                if r is not None and (best is None or r[0] < best[0]):
-                    best, at = r, i
-            if best is None:
-                break
-            ids[at : at + 2] = [best[1]]
-        return ids
+        """The ids of one piece."""
+        return np.frombuffer(self.merge_all([piece])[0], dtype="<u4").tolist()
+
+    def merge_all(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as little-endian 32-bit integers: the lowest-ranked pair, leftmost first, until none is left.
+
+        Pieces of one length are the rows of a matrix; each step merges one pair in
+        every row, so that all rows stay of one length, and rows that are done leave.
+        """
+        out: list[bytes] = [b""] * len(pieces)
+        by_length: dict[int, list[int]] = {}
+        for i, p in enumerate(pieces):
+            by_length.setdefault(len(p), []).append(i)
+        for n, members in by_length.items():
+            if n > 64:
+                for i in members:
+                    out[i] = np.array(self._merge_long([self.single[b] for b in pieces[i]]), dtype="<u4").tobytes()
+                continue
+            if not n:
+                continue
+            rows = np.array(members)
+            ids = self.singles[np.frombuffer(b"".join(pieces[i] for i in members), dtype=np.uint8).reshape(-1, n)]
+            ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+            while True:
+                at = ranks.argmin(axis=1) if ids.shape[1] > 1 else np.zeros(len(rows), dtype=np.int64)
+                line = np.arange(len(rows))
+                live = ranks[line, at] < NO_RANK if ids.shape[1] > 1 else np.zeros(len(rows), dtype=bool)
+                for i, own in zip(rows[~live].tolist(), ids[~live].astype("<u4"), strict=True):
+                    out[i] = own.tobytes()
+                if not live.any():
+                    break
+                rows, ids, ranks, at = rows[live], ids[live], ranks[live], at[live]
+                line, width = np.arange(len(rows)), ids.shape[1]
+                ids[line, at] = self.merged[ranks[line, at]]
+                keep = np.arange(width) != (at + 1)[:, None]
+                ids = ids[keep].reshape(len(rows), width - 1)
+                ranks = ranks[keep[:, 1:]].reshape(len(rows), width - 2)
+                if width > 2:
+                    for side in (at - 1, at):  # the pairs to either side of what was merged
+                        ok = (side >= 0) & (side < width - 2)
+                        ranks[line[ok], side[ok]] = self._ranks(ids[line[ok], side[ok]], ids[line[ok], side[ok] + 1])
+        return out
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a.astype(np.int64) << 32 | b
+        i = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[i] == pair, self.pair_rank[i], NO_RANK)
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for long pieces."""
@@ -167,19 +206,19 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
             targets.append(number[child])
             skips.append(skip)
             skip += count[child]
-    at = np.argsort(np.array(keys, dtype="<i8"), kind="stable")
+    at = np.argsort(np.array(keys, dtype="<i4"), kind="stable")
     ids = [words[w] for w in order]
-    parts = [np.array(keys, dtype="<i8")[at], np.array(targets, dtype="<i8")[at], np.array(skips, dtype="<i8")[at]]
-    parts += [np.array([final[s] for s in number], dtype="<i8"), np.cumsum([0, *map(len, ids)]).astype("<i8"), np.array([i for x in ids for i in x], dtype="<i8")]
-    return np.concatenate([np.array([len(p) for p in parts], dtype="<i8"), *parts]).tobytes()
+    parts = [np.array(keys, dtype="<i4")[at], np.array(targets, dtype="<i4")[at], np.array(skips, dtype="<i4")[at]]
+    parts += [np.array([final[s] for s in number], dtype="<i4"), np.cumsum([0, *map(len, ids)]).astype("<i4"), np.array([i for x in ids for i in x], dtype="<i4")]
+    return np.concatenate([np.array([len(p) for p in parts], dtype="<i4"), *parts]).tobytes()
 
 
 class Lexicon:
     """A compiled lexicon, memory-mapped."""
 
     def __init__(self, path: str):
-        own = np.memmap(path, dtype="<i8", mode="r")
-        ends = 6 + np.cumsum([0, *own[:6]])
+        own = np.memmap(path, dtype="<i4", mode="r")
+        ends = 6 + np.cumsum([0, *own[:6]], dtype=np.int64)
         self.keys, self.targets, self.skips, self.final, self.starts, self.ids = (own[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
 
     def look_up(self, words: list[bytes]) -> list[bytes | None]:
@@ -196,7 +235,7 @@ class Lexicon:
         state, place = np.zeros(len(live), dtype=np.int64), np.zeros(len(live), dtype=np.int64)
         for step in range(int(size.max())):
             going = np.nonzero((size > step) & (state >= 0))[0]
-            key = state[going] << 8 | data[start[going] + step]
+            key = (state[going] << 8 | data[start[going] + step]).astype(self.keys.dtype)
             edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             hit = self.keys[edge] == key
             place[going] += np.where(hit, self.skips[edge], 0)
@@ -220,27 +259,29 @@ class Encoder:
             self.cache.clear()
             new = list(pieces)
         raw = [p.encode() for p in new]
-        known = self.lexicon.look_up(raw) if self.lexicon else [None] * len(raw)
-        for p, r, k in zip(new, raw, known, strict=True):
-            self.cache[p] = k if k is not None else np.array(self.vocabulary.merge(r), dtype="<u4").tobytes()
+        own = self.lexicon.look_up(raw) if self.lexicon else [None] * len(raw)
+        unseen = [i for i, x in enumerate(own) if x is None]
+        for i, ids in zip(unseen, self.vocabulary.merge_all([raw[i] for i in unseen]), strict=True):
+            own[i] = ids
+        self.cache.update(zip(new, own, strict=True))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        v, out = self.vocabulary, []
+        for at in range(0, len(texts), 200):  # so many texts' pieces at once
+            cut = []
+            for text in texts[at : at + 200]:
+                parts = v.specials.split(text) if v.specials and any(s in text for s in v.special) else [text]
+                cut.append([part if i % 2 else v.cut.findall(part) for i, part in enumerate(parts)])
+            self.learn({p for parts in cut for part in parts[::2] for p in part})
+            known = self.cache.__getitem__
+            for parts in cut:
+                ids = [np.array([v.special[x]], dtype="<u4").tobytes() if isinstance(x, str) else b"".join(map(known, x)) for x in parts]
+                out.append(b"".join(ids))
+        return out
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        v = self.vocabulary
-        parts = v.specials.split(text) if v.specials and any(s in text for s in v.special) else [text]
-        out = []
-        for i, part in enumerate(parts):
-            if i % 2:
-                out.append(np.array([v.special[part]], dtype="<u4").tobytes())
-                continue
-            pieces = v.cut.findall(part)
-            try:
-                ids = list(map(self.cache.__getitem__, pieces))
-            except KeyError:
-                self.learn(set(pieces))
-                ids = list(map(self.cache.__getitem__, pieces))
-            out += ids
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
@@ -288,19 +329,26 @@ def build_lexicon(docs: DataFrame, vocabulary: str | None = None, words: int = L
     """
     spark, path = docs.sparkSession, vocabulary or default_vocabulary()
     v = Vocabulary(path)
-    top = piece_counts(docs).filter(F.octet_length("piece") <= LONGEST_WORD).orderBy(F.desc("n"), "piece").limit(words).select("piece").collect()
-    compiled = compile_lexicon({p: v.merge(p) for p in (r[0].encode() for r in top)})
+    counted = stored(piece_counts(docs).filter((F.octet_length("piece") <= LONGEST_WORD) & (F.col("n") > 1)))
+    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
+    sizes = counted.groupBy(step).agg(F.count("*").alias("many"), F.min("n").alias("least")).orderBy(F.desc("step")).collect()  # at most 16 * 63 rows
+    room, least = words, None
+    for row in sizes:  # the most frequent steps that fit
+        room -= row["many"]
+        if room < 0:
+            break
+        least = row["least"]
+    top = [r[0].encode() for r in counted.filter(F.col("n") >= least).select("piece").collect()] if least else []
+    compiled = compile_lexicon({p: np.frombuffer(i, dtype="<u4").tolist() for p, i in zip(top, v.merge_all(top), strict=True)})
     with open(path, "rb") as f:
         return _ship(spark, f.read(), ".json"), _ship(spark, compiled, ".lexicon")
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def _encoder(files: tuple[str, str]) -> Encoder:
-    if files not in _ENCODERS:
-        _ENCODERS[files] = Encoder(Vocabulary(SparkFiles.get(files[0])), Lexicon(SparkFiles.get(files[1])))
-    return _ENCODERS[files]
+    cache = worker_cache()
+    if files not in cache:
+        cache[files] = Encoder(Vocabulary(SparkFiles.get(files[0])), Lexicon(SparkFiles.get(files[1])))
+    return cache[files]
 
 
 def encoded(text: Column, files: tuple[str, str]) -> Column:
@@ -309,7 +357,7 @@ def encoded(text: Column, files: tuple[str, str]) -> Column:
     @arrow_udf(T.ArrayType(T.IntegerType()))
     def encode(texts: pa.Array) -> pa.Array:
         own = _encoder(files)
-        ids = [own.encode(x or "") for x in texts.to_pylist()]
+        ids = own.encode_all([x or "" for x in texts.to_pylist()])
         flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4")), flat)
 
@@ -337,7 +385,7 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, words: int = LEXI
     @arrow_udf(DIGEST)
     def both_ways(texts: pa.Array) -> pa.Array:
         own, sha = _encoder(files), lambda raw: hashlib.sha256(raw).hexdigest()
-        ids = [own.encode(x or "") for x in texts.to_pylist()]
+        ids = own.encode_all([x or "" for x in texts.to_pylist()])
         columns = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(map(sha, ids), pa.string()), pa.array([sha(own.decode(x).encode()) for x in ids], pa.string())]
         return pa.StructArray.from_arrays(columns, names=["n_tokens", "ids_sha256", "decoded_sha256"])
 

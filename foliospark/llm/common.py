@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import gc
+import sys
 import tempfile
 import time
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,3 +61,12 @@ def tidy(spark: SparkSession) -> None:
         time.sleep(0.3)
         gc.collect()
         spark.sparkContext._jvm.System.gc()
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker.
+
+    Functions that travel by value bring new globals with every task; this one
+    sits in a module of its own, so that what one task has loaded serves the next.
+    """
+    return vars(sys.modules.setdefault("_foliospark_worker", types.ModuleType("_foliospark_worker"))).setdefault("cache", {})
