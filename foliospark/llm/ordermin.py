@@ -65,20 +65,22 @@ NO_ID = -(1 << 63)
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(id, previous, next) in the order of doc_id, around the ends; null ids have none.
+    """(id, previous, next, room) in the order of doc_id, around the ends; null ids have none.
 
-    Ids are sorted in ranges; the ranges' ends, one row a range, close the gaps.
+    room is how many code points the text before will replace by this text's
+    start. Ids are sorted in ranges; the ranges' ends, one row a range, close the gaps.
     """
-    ids = docs.select(F.col("doc_id").alias("id")).filter("id IS NOT NULL").distinct().repartitionByRange("id")
-    ids = stored(ids.withColumn("run", F.spark_partition_id()))
-    ends = ids.groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last"))  # as many as ranges
+    sized = docs.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.floor(F.length(text_of()) / 2)).cast("int").alias("half"))
+    ids = stored(sized.repartitionByRange("id").withColumn("run", F.spark_partition_id()))
+    ends = ids.groupBy("run").agg(F.min("id").alias("first"), F.max(F.struct("id", "half")).alias("last"))  # as many as ranges
     order = Window.orderBy("run")
     all_runs = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = F.coalesce(F.lead("first").over(order), F.min("first").over(all_runs)).alias("after")
     before = F.coalesce(F.lag("last").over(order), F.max("last").over(all_runs)).alias("before")
     within = Window.partitionBy("run").orderBy("id")
     own = ids.join(F.broadcast(ends.select("run", after, before)), "run")
-    return stored(own.select("id", F.coalesce(F.lag("id").over(within), "before").alias("previous"), F.coalesce(F.lead("id").over(within), "after").alias("next")))
+    last = F.coalesce(F.lag(F.struct("id", "half")).over(within), "before")
+    return stored(own.select("id", last.alias("last"), F.coalesce(F.lead("id").over(within), "after").alias("next")).select("id", F.col("last.id").alias("previous"), F.col("last.half").alias("room"), "next"))
 
 
 def edited_text(text: str, following: str) -> Column:
@@ -87,18 +89,21 @@ def edited_text(text: str, following: str) -> Column:
     return F.concat(F.left(F.col(text), n - half), F.left(F.col(following), half))
 
 
-def with_edits(docs: DataFrame) -> DataFrame:
-    """(id, mark, next, next_mark, text, edited) for each distinct row of ``docs``, partitioned by id.
+def with_edits(docs: DataFrame, rows_each: int = 2500) -> DataFrame:
+    """(id, mark, next, next_mark, text, edited) for each distinct row of ``docs``, partitioned by id, about ``rows_each`` to a partition.
 
     mark is a hash of the text. Of rows that share a doc_id the smallest text
-    stands for it where it follows another. Nothing follows a null doc_id.
+    stands for it where it follows another. Nothing follows a null doc_id. Only
+    as much of a following text is sent as the text before it has room for.
     """
     near = neighbours(docs)
-    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_of().alias("text")).repartition("id")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-near.count() // rows_each))
+    texts = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), text_of().alias("text")).repartition(parts, "id")
     own = texts.groupBy("id", F.xxhash64("text").alias("mark")).agg(F.min("text").alias("text"))
-    ahead = texts.groupBy("id").agg(F.min("text").alias("following")).join(near, "id").select(F.col("previous").alias("id"), "following")
-    both = own.join(near.select("id", "next"), "id", "left").join(ahead, "id", "left").withColumn("following", F.coalesce("following", F.lit("")))
-    return both.select("id", "mark", "next", F.xxhash64("following").alias("next_mark"), "text", edited_text("text", "following").alias("edited"))
+    first = texts.groupBy("id").agg(F.min("text").alias("text")).join(near, "id")
+    ahead = first.select(F.col("previous").alias("id"), F.left("text", F.col("room")).alias("following"), F.xxhash64("text").alias("next_mark"))
+    both = own.join(near.select("id", "next"), "id", "left").join(ahead.repartition(parts, "id"), "id", "left").withColumn("following", F.coalesce("following", F.lit("")))
+    return both.select("id", "mark", "next", "next_mark", "text", edited_text("text", "following").alias("edited"))
 
 
 def edit_report(docs: DataFrame) -> DataFrame:
@@ -111,16 +116,16 @@ def edit_report(docs: DataFrame) -> DataFrame:
     kinds = F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("t")
     signed = signatures(both.select("id", "mark", kinds).select("id", "mark", "t.kind", "t.text"), "id", "mark", "kind")
     of = lambda kind: F.first(F.when(F.col("kind") == kind, F.col("signature")), ignorenulls=True)
-    paired = signed.groupBy("id", "mark").agg(of(0).alias("own"), of(1).alias("changed"))
+    paired = signed.groupBy("id", F.col("mark").alias("own_mark")).agg(of(0).alias("own"), of(1).alias("changed")).withColumnRenamed("id", "own_id")
     facts = both.select("id", "mark", "next", "next_mark", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    rows = stored(facts.join(paired, ["id", "mark"], "left"))
+    same = (F.col("id") == F.col("own_id")) & (F.col("mark").bitwiseXOR(F.col("own_mark")) == 0)  # both lie by id: no second shuffle
+    rows = stored(facts.join(paired, same, "left").drop("own_id", "own_mark"), large=True)
     following = rows.select(F.col("id").alias("next"), F.col("mark").alias("next_mark"), F.col("own").alias("following"))
     found = rows.join(following, ["next", "next_mark"], "left")
-    report = found.select(
+    return found.select(
         "id", "mark", "n_chars", "edited_sha256", shown("own").alias("fingerprint"), shown("changed").alias("edited_fingerprint"),
         likeness("own", "changed").alias("near_edited"), likeness("own", "following").alias("near_next"),
     )
-    return report
 
 
 def edit_report_by_row(docs: DataFrame) -> DataFrame:
