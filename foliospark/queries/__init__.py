@@ -1,6 +1,6 @@
 """All registered queries."""
 
 from ..registry import ORACLE_SQL, QUERIES
-from . import aggregates, windows
+from . import aggregates, functions, joins, windows
 
-__all__ = ["ORACLE_SQL", "QUERIES", "aggregates", "windows"]
+__all__ = ["ORACLE_SQL", "QUERIES", "aggregates", "functions", "joins", "windows"]
