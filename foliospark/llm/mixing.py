@@ -42,13 +42,17 @@ def _measured(docs: DataFrame) -> DataFrame:
     return docs.select("*", *dims, topic_of(text).alias("__topic"), tokens_of(text).cast("double").alias("__tokens"))
 
 
+def _total(rows: DataFrame, name: str) -> float:
+    """The sum of a column, 1 for an empty table: one number."""
+    return rows.agg(F.sum(name)).first()[0] or 1.0
+
+
 def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> dict[str, DataFrame]:
     """Default targets: (value, target) for each dimension, shares that sum to 1."""
     out = {}
     for d in DIMS:
         part = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("t")).withColumn("p", F.pow("t", F.lit(temper)))
-        total = part.agg(F.sum("p").alias("all"))
-        out[d] = part.crossJoin(F.broadcast(total)).select("value", (F.col("p") / F.col("all")).alias("target"))  # one row
+        out[d] = part.select("value", (F.col("p") / F.lit(_total(part, "p"))).alias("target"))
     return out
 
 
@@ -59,12 +63,11 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     1; values without a target get weight 0. Each round joins the cells with
     their marginals; the lineage is cut every round that looks at convergence.
     """
-    total = cells.agg(F.sum("tokens").alias("all"))
-    own = cells.crossJoin(F.broadcast(total)).select(*DIMS, "tokens", (F.col("tokens") / F.col("all")).alias("weight"))  # one row
+    own = cells.select(*DIMS, "tokens", (F.col("tokens") / F.lit(_total(cells, "tokens"))).alias("weight"))
     fixed = {}
     for d in DIMS:
         there = targets[d].join(cells.select(F.col(d).alias("value")).distinct(), "value", "left_semi")
-        fixed[d] = stored(there.crossJoin(F.broadcast(there.agg(F.sum("target").alias("all")))).select(F.col("value").alias(d), (F.col("target") / F.col("all")).alias("target")))
+        fixed[d] = stored(there.select(F.col("value").alias(d), (F.col("target") / F.lit(_total(there, "target"))).alias("target")))
     own = stored(own)
     for _ in range(rounds):
         for d in DIMS:
@@ -93,8 +96,8 @@ def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds
     cells = stored(measured.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMS]).agg(F.sum("__tokens").alias("tokens")))
     raked = rake(cells, targets or tempered_targets(cells), rounds)
     scaled = raked.select(*[F.col(d).alias(f"__{d}") for d in DIMS], (F.col("weight") / F.col("tokens")).alias("__weight"))
-    top = scaled.agg(F.max("__weight").alias("__top"))
-    rated = stored(scaled.crossJoin(F.broadcast(top)).select("*", F.coalesce(F.try_divide("__weight", "__top"), F.lit(0.0)).alias("__probability")).drop("__top"))  # one row
+    top = scaled.agg(F.max("__weight")).first()[0]
+    rated = stored(scaled.withColumn("__probability", F.coalesce(F.try_divide("__weight", F.lit(top)), F.lit(0.0))))
     uniform = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), text_of()), 11) / F.lit(float(1 << 53))
     return measured.join(rated, [f"__{d}" for d in DIMS], "left").withColumn("__selected", uniform < F.col("__probability"))
 
