@@ -356,11 +356,11 @@ def test_quality_counts(table):
     assert got == want
 
 
-def test_quality_verdicts(docs):
-    kept = {r["doc_id"]: r["kept"] for r in quality.quality_report(docs).collect()}
+def test_quality_verdicts(unique):
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality_report(unique).collect()}
     assert all(kept[i] for i in range(24))
-    assert not any(kept[r["doc_id"]] for r in docs.collect() if text(r).startswith(("SHOUT", "word***")))
-    assert quality.passed(docs).columns == docs.columns
+    assert not any(kept[r["doc_id"]] for r in unique.collect() if text(r).startswith(("SHOUT", "word***")))
+    assert quality.passed(unique).columns == unique.columns
     assert quality.fit([]) == {}
 
 
