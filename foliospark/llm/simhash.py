@@ -136,7 +136,11 @@ def deduplicated(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> DataF
     Of repeated rows with that doc_id one stays. A group without any doc_id keeps one row.
     """
     found = _classes(docs, k, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.groupBy(F.col("doc_id").alias("__id"), F.col("component").alias("__component")).agg(F.min("fp").alias("__keep"))
-    marked = docs.withColumn("__fp", fingerprint_of(text_of(), k))
-    kept = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__keep")))
-    return kept.dropDuplicates(["__id", "__keep"]).select(*docs.columns)
+    keep = found.groupBy("doc_id", "component").agg(F.min("fp").alias("fp")).select(_row_key("doc_id", "fp").alias("__key"))
+    marked = docs.withColumn("__key", _row_key("doc_id", fingerprint_of(text_of(), k)))
+    return marked.join(keep, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)  # both lie by key: one shuffle
+
+
+def _row_key(doc_id: str, fp: Column | str) -> Column:
+    """One key for a doc_id, null or not, and a fingerprint."""
+    return F.concat_ws(":", F.col(doc_id).cast("string"), F.lit("fp"), (F.col(fp) if isinstance(fp, str) else fp).cast("string"))
