@@ -128,7 +128,7 @@ def score_text(text: Column) -> Column:
 
 def formula_text(text: Column) -> Column:
     """Spellings of one LaTeX formula brought together."""
-    for old, new in (("\\left", ""), ("\\right", ""), ("\\operatorname", ""), ("\\mathrm", ""), ("\\text", ""), ("\\,", ""), ("\;", "")):
+    for old, new in (("\\left", ""), ("\\right", ""), ("\\operatorname", ""), ("\\mathrm", ""), ("\\text", ""), ("\\,", ""), ("\\;", "")):
         text = F.replace(text, F.lit(old), F.lit(new))
     return F.regexp_replace(text, r"(?U)[\s{}$]", "")
 

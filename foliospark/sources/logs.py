@@ -53,7 +53,8 @@ def run_log(lines: DataFrame) -> DataFrame:
 def retry_after(header: Column, body: Column) -> Column:
     """The longest wait that a header in seconds and the body's retry delays ask for."""
     delays = F.transform(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(r'"retryDelay"\s*:\s*"\s*(\d+(?:\.\d+)?)s\s*"'), F.lit(1)), lambda x: x.cast("double"))
-    own = F.greatest(F.lit(0.0), header.try_cast("double"))
+    seconds = header.try_cast("double")
+    own = F.when(seconds.isNotNull(), F.greatest(F.lit(0.0), seconds))
     return F.array_max(F.array_compact(F.concat(delays, F.array(own))))
 
 

@@ -81,7 +81,7 @@ def test_lists(spark):
 def test_math(spark):
     assert M.tidy_math_line("x $ a + b $   $ c $ y") == "x $a + b$ $c$ y"
     assert M.tidy_math_line("one $ only") == "one $ only"
-    assert M.dollars("\\$$ a") != M.open_dollars("\\$$ a")
+    assert (M.dollars("$$$"), M.open_dollars("$$$")) == ([2], [])
     row = text(spark, M.math_lines, "a $x\n= y$ b\nc $d")
     assert (row["text"], row["odd"]) == ("a $x = y$ b\nc $d", [2])
 
