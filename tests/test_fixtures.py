@@ -328,3 +328,49 @@ def test_schedulers(spark):
     assert [one(spark, Z.unit_status(F.col("s")), s=s) for s in (["ok", "failed"], ["blank", "blank"], ["ok", "blank"])] == ["failed", "blank", "ok"]
     assert [one(spark, Z.submitted_route(F.lit(a), F.lit(b))) for a, b in ((0, 0), (2, 1), (2, 2))] == ["link", "relay", "upload"]
     assert one(spark, Z.page_source(F.lit("a"), F.lit("b"))) == "ocr+model"
+
+
+def test_batch_answers(spark):
+    from foliospark.functions import pages as G2
+
+    good = "<!-- 第 7 页 -->\nseven\n<!--第 8 页-->\neight"
+    f = lambda t: text(spark, G2.batch_answer, t, F.array(F.lit(7), F.lit(8)))
+    assert [tuple(r) for r in f(good)] == [(7, "seven"), (8, "eight")]
+    for bad in ("seven", "intro " + good, good.replace("eight", " "), good.replace("8", "9"), good + "\n<!-- 第 8 页 -->\nagain", good.replace("eight", "x" * 31_000)):
+        assert f(bad) is None
+
+
+def test_payloads(spark):
+    from foliospark.functions import pages as G2
+
+    parts = [{"text": "t", "thought": True}, {"executableCode": {"language": "PYTHON", "code": "print(42)"}}, {"codeExecutionResult": {"outcome": "OUTCOME_OK", "output": "42\n"}}, {"functionCall": {"id": "f", "name": "g", "args": {"a": 1}}}, {"text": "answer"}]
+    web = [{"web": {"uri": "http://a", "title": "A"}}, {"web": {"uri": "http://a", "title": "A"}}, {"web": {"uri": "http://b"}}, {"web": {"title": "none"}}]
+    payload = json.dumps({"candidates": [{"content": {"parts": parts}, "groundingMetadata": {"groundingChunks": web}}]})
+    df = spark.createDataFrame([("m", payload)], "message string, payload string")
+    rows = G2.payload_parts(df).orderBy("seq")
+    assert [r["type"] for r in rows.collect()] == ["reasoning", "server_tool", "server_tool", "tool", "text"]
+    tools = rows.filter("side IS NOT NULL")
+    assert paired(tools, P.FIRST_IF_NO_ID) == [(False, 2, 3, "call_id"), (False, 4, None, None)]
+    assert sorted((r["title"], r["url"]) for r in G2.citations(df).collect()) == [("A", "http://a"), ("http://b", "http://b")]
+
+
+def test_replies(spark):
+    from foliospark.functions import replies as Y
+
+    assert one(spark, Y.image_urls(F.col("l"), F.col("t")), l=["http://a", "ftp://b", "http://a"], t='x <!-- aw:images:["https://c", "data:image/png;base64,x"] -->') == ["http://a", "https://c", "data:image/png;base64,x"]
+    assert text(spark, Y.usage, '{"total_tokens": 5, "total_cached_tokens": -1, "total_input_tokens": true, "x": 1}') == {"totalTokens": 5}
+    got = text(spark, Y.summary, 'sure: ```json\n{"done": ["a", " "], "next": ["' + "b" * 200 + '"]}\n```')
+    assert (got["done"], len(got["next"][0]), got["risks"]) == (["a"], 120, []) and text(spark, Y.summary, "none") is None
+    rows = Y.snapshot_rows(spark.createDataFrame([("s", '{"status": "done", "steps": [{"type": "thought"}, null]}')], "stream string, data string"))
+    assert sorted((r["row"], r["kind"]) for r in rows.collect()) == [(-1, "snapshot"), (0, "thought")]
+    assert one(spark, Y.unknown_settings(F.col("m"), ["a"]), m={"a": "1", "z": "2"}) == ["z"]
+    assert one(spark, Y.redacted_list(F.col("l")), l=["Bearer abc", "x"]) == ["Bearer [REDACTED]", "x"]
+
+
+def test_mentions(spark):
+    from foliospark.functions import pages as G2
+
+    repos = spark.createDataFrame([("me/any-flow",), ("me/other-tool",), ("you/page-tool",)], "name string")
+    tasks = spark.createDataFrame([(1, "deploy me/any-flow now"), (2, "fix anyflow"), (3, "the tool is broken"), (4, "hello")], "task int, text string")
+    got = {(r["task"], r["name"]) for r in G2.mentioned_repositories(tasks, repos).collect()}
+    assert got == {(1, "me/any-flow"), (2, "me/any-flow"), (3, "me/other-tool"), (3, "you/page-tool")}
