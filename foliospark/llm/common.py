@@ -52,7 +52,16 @@ def stored(df: DataFrame, large: bool = False) -> DataFrame:
     if large:
         del df
         tidy(spark)
-    return spark.read.schema(schema).parquet(path)
+    read = spark.read.schema(schema).parquet(path)
+    read.stored_at = path
+    return read
+
+
+def dropped(table: DataFrame) -> None:
+    """Remove the files of a ``stored`` table that nothing will read any more."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def tidy(spark: SparkSession) -> None:
