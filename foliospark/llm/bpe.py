@@ -346,9 +346,10 @@ def build_lexicon(docs: DataFrame, vocabulary: str | None = None, words: int = L
 
 def _encoder(files: tuple[str, str]) -> Encoder:
     cache = worker_cache()
-    if files not in cache:
-        cache[files] = Encoder(Vocabulary(SparkFiles.get(files[0])), Lexicon(SparkFiles.get(files[1])))
-    return cache[files]
+    if cache.get("files") != files:
+        cache.clear()  # a worker holds one lexicon: those of earlier corpora go
+        cache.update(files=files, encoder=Encoder(Vocabulary(SparkFiles.get(files[0])), Lexicon(SparkFiles.get(files[1]))))
+    return cache["encoder"]
 
 
 def encoded(text: Column, files: tuple[str, str]) -> Column:
