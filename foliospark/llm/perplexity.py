@@ -5,8 +5,8 @@ bounds a model at 256 ** 3 counts. Everything that the probability of byte c aft
 (a, b) needs has b in common, except the continuation counts of single bytes:
 counts and documents are cut into SHARDS by b, a shard of the model meets the
 same shard of a slice of documents, and each document's log-probability is the
-sum over its shards. Thresholds are quantiles of the trusted documents'
-perplexity in each language.
+sum over its shards. A fold of the trusted texts is held out of the counts;
+thresholds are quantiles of its perplexities in each language.
 """
 
 from __future__ import annotations
@@ -23,8 +23,10 @@ from .common import small_batches, stored, text_of
 SHARDS = 8
 #: Documents in a slice, which bounds what a task holds.
 SLICE = 20_000
-#: The quantile of trusted perplexities that a document may reach, and the factor beyond it that is still kept.
-QUANTILE, SLACK = 0.99, 1.5
+#: The quantile of held-out trusted perplexities that a document may reach.
+QUANTILE = 0.99
+#: One in so many trusted texts, by hash, is held out of the counts.
+FOLDS = 10
 #: Bytes of average trusted text that every document is taken to have besides its own, so that a few bytes prove little.
 PRIOR_BYTES = 200
 NO_ID, NO_LANG = -(1 << 63), "(none)"
@@ -169,27 +171,43 @@ def scored(own: DataFrame, model: DataFrame, slices: int) -> DataFrame:
     return part.groupBy("id", "mark", "lang").agg(F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
 
 
+def held_out(known: DataFrame) -> DataFrame:
+    """``known`` (mark, lang, ...) with held: whether a text is in the fold that is measured and not counted.
+
+    The text with the smallest mark of a language is held out and the one with
+    the largest is counted, so that any language with two texts has both.
+    """
+    ends = known.groupBy("lang").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))  # a row a language
+    held = ((F.pmod("mark", F.lit(FOLDS)) == 0) | (F.col("mark") == F.col("first"))) & (F.col("mark") != F.col("last"))
+    return known.join(F.broadcast(ends), "lang").withColumn("held", held).drop("first", "last")
+
+
 def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(doc_id, lang, n_bytes, perplexity, score, threshold, kept) for each row of ``docs``.
 
     trusted: doc_ids of trusted documents. perplexity is per byte of the text,
-    score the same with PRIOR_BYTES of average trusted text. Where a language
-    has no trusted text there is no threshold and everything is kept; texts
-    without bytes have no perplexity and are not kept. A missing language is one.
+    score the same with PRIOR_BYTES of average trusted text. The average and the
+    threshold are those of held-out trusted text; a language with a single
+    trusted text is measured on that one. Where a language has no trusted text
+    there is no threshold and everything is kept; texts without bytes have no
+    perplexity and are not kept. A missing language is one.
     """
     small_batches(docs.sparkSession)
     keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text_of()).alias("mark"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), text_of().alias("text"))
     full = keyed.filter("text <> ''").select("id", "mark", "lang", "text")
     good = trusted.select(F.col("doc_id").alias("id")).filter("id IS NOT NULL").distinct()
-    counts = stored(trigram_counts(pieces(full.join(good.hint("shuffle_hash"), "id", "left_semi").select(*full.columns))), large=True)
+    counted = held_out(full.join(good.hint("shuffle_hash"), "id", "left_semi")).filter("NOT held")
+    counts = stored(trigram_counts(pieces(counted.select(*full.columns))), large=True)
     slices = max(1, -(-docs.count() // SLICE))
     sums = stored(scored(pieces(full), model_rows(counts), slices), large=True)
 
-    known = sums.join(good, "id", "left_semi")
-    average = known.groupBy("lang").agg((F.sum("log_p") / F.sum("n_bytes")).alias("mean"))  # a row a language
+    measured = lambda own, c: F.coalesce(own(F.when(F.col("held"), F.col(c))), own(c))
+    known = held_out(sums.join(good, "id", "left_semi"))
+    average = known.groupBy("lang").agg((measured(F.sum, "log_p") / measured(F.sum, "n_bytes")).alias("mean"))  # a row a language
     shrunk = F.exp(-(F.col("log_p") + F.coalesce("mean", F.lit(0.0)) * PRIOR_BYTES) / (F.col("n_bytes") + F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_BYTES)))
     rated = stored(sums.join(average, "lang", "left").withColumn("score", shrunk))
-    limits = rated.join(good, "id", "left_semi").groupBy("lang").agg((F.percentile_approx("score", F.lit(QUANTILE), F.lit(10_000)) * SLACK).alias("threshold"))
+    quantile = lambda c: F.percentile_approx(c, F.lit(QUANTILE), F.lit(10_000))
+    limits = held_out(rated.join(good, "id", "left_semi")).groupBy("lang").agg(measured(quantile, "score").alias("threshold"))
     judged = rated.join(limits, "lang", "left").withColumn("perplexity", F.exp(-F.col("log_p") / F.col("n_bytes")))
     rows = keyed.select("doc_id", "id", "mark", "lang", F.octet_length("text").cast("long").alias("n_bytes"))
     found = rows.join(judged.drop("n_bytes"), ["id", "mark", "lang"], "left")

@@ -293,6 +293,32 @@ def test_classifier_separates(spark, docs, empty):
     assert {r["kept"] for r in none if r["n_bytes"]} == {True} and {r["kept"] for r in none if not r["n_bytes"]} == {False}
 
 
+def test_classifier_rejects_junk_at_the_held_out_quantile(spark):
+    rnd = np.random.default_rng(5)
+    syllables = [a + b for a in "bdklmnprst" for b in "aeiou"]
+    words = ["".join(rnd.choice(syllables, rnd.integers(1, 4))) for _ in range(300)]
+    prose = lambda n: " ".join(rnd.choice(words, n))
+    clean = [(i, prose(60), "en") for i in range(400)]
+    junk = [(1000 + i, "".join(rnd.choice(list("aeiou bdklmnprst"), 150)), "en") for i in range(40)]
+    junk += [(2000 + i, prose(12).upper() + "!!", "en") for i in range(40)]
+    own = spark.createDataFrame(clean + junk + [(3000, prose(60), "de"), (3001, prose(60), "fr"), (3002, prose(60), "fr")], "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([*((i,) for i in range(300)), (3000,), (3001,), (3002,)], "doc_id long")
+    got = {r["doc_id"]: r for r in perplexity.classify(own, trusted).collect()}
+    assert got[0]["threshold"] <= max(got[i]["score"] for i in range(300))  # a quantile, with no factor on it
+    assert not any(r["kept"] for i, r in got.items() if 1000 <= i < 3000)
+    assert sum(got[i]["kept"] for i in range(300, 400)) >= 90
+    assert got[3000]["kept"]  # the only text of its language is both counted and measured
+
+    known = own.join(trusted, "doc_id").select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("mark"), "lang", "text")
+    rows = perplexity.held_out(known).collect()
+    held = {r["id"] for r in rows if r["held"]}
+    assert len(rows) == 303 and 10 < len(held) < 60 and 3000 not in held and len(held & {3001, 3002}) == 1
+    assert got[0]["threshold"] <= max(got[i]["score"] for i in held if i < 300)
+    codes = lambda x: {int(c) & 0xFFFFFF for _, g in perplexity.pieces_of(x.encode()) for c in np.frombuffer(g, "<u4")}
+    counted = {r["code"] for r in perplexity.trigram_counts(perplexity.pieces(perplexity.held_out(known).filter("NOT held").select("id", "mark", "lang", "text"))).collect() if r["lang"] == "fr"}
+    assert counted == codes(next(r["text"] for r in rows if r["lang"] == "fr" and not r["held"]))
+
+
 # 8. Order MinHash
 
 
