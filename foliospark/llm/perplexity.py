@@ -149,6 +149,11 @@ class ShardModel:
         return np.log(self.three.of(codes, codes >> 8, self.two.of(b << 8 | c, b, self.single[c])))
 
 
+def sliced(own: DataFrame, slices: int) -> DataFrame:
+    """``own`` with slice, by a hash of id: rows with equal texts spread if each has an id of its own."""
+    return own.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+
+
 def scored(own: DataFrame, model: DataFrame, slices: int) -> DataFrame:
     """(id, mark, lang, log_p, n_bytes) from pieces and model rows, a (language, shard, slice) at a time."""
     keys = ["lang", "shard", "slice"]
@@ -165,7 +170,7 @@ def scored(own: DataFrame, model: DataFrame, slices: int) -> DataFrame:
         sums = (np.add.reduceat(x, at) if len(x) else np.zeros(len(grams)) for x in (log_p, times))
         return pa.table({"id": left["id"], "mark": left["mark"], "lang": left["lang"], **{k: pa.array(x) for k, x in zip(("log_p", "n_bytes"), sums, strict=True)}})
 
-    cut = own.withColumn("slice", F.pmod("mark", F.lit(slices)).cast("int"))
+    cut = sliced(own, slices)
     copies = model.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     part = cut.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(score, "id bigint, mark bigint, lang string, log_p double, n_bytes bigint")
     return part.groupBy("id", "mark", "lang").agg(F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
@@ -199,17 +204,20 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     counted = held_out(full.join(good.hint("shuffle_hash"), "id", "left_semi")).filter("NOT held")
     counts = stored(trigram_counts(pieces(counted.select(*full.columns))), large=True)
     slices = max(1, -(-docs.count() // SLICE))
-    sums = stored(scored(pieces(full), model_rows(counts), slices), large=True)
+    single = full.withColumn("id", F.monotonically_increasing_id())  # copies and repeated doc_ids are rows of their own
+    texts = scored(pieces(single), model_rows(counts), slices).groupBy("mark", "lang").agg(F.min("log_p").alias("log_p"), F.first("n_bytes").alias("n_bytes"))
+    sums = stored(texts, large=True)
 
     measured = lambda own, c: F.coalesce(own(F.when(F.col("held"), F.col(c))), own(c))
-    known = held_out(sums.join(good, "id", "left_semi"))
+    own = full.select("id", "mark", "lang").join(good, "id", "left_semi")
+    known = held_out(stored(own.join(sums, ["mark", "lang"])))
     average = known.groupBy("lang").agg((measured(F.sum, "log_p") / measured(F.sum, "n_bytes")).alias("mean"))  # a row a language
     shrunk = F.exp(-(F.col("log_p") + F.coalesce("mean", F.lit(0.0)) * PRIOR_BYTES) / (F.col("n_bytes") + F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_BYTES)))
     rated = stored(sums.join(average, "lang", "left").withColumn("score", shrunk))
     quantile = lambda c: F.percentile_approx(c, F.lit(QUANTILE), F.lit(10_000))
-    limits = held_out(rated.join(good, "id", "left_semi")).groupBy("lang").agg(measured(quantile, "score").alias("threshold"))
+    limits = known.join(rated.select("mark", "lang", "score"), ["mark", "lang"]).groupBy("lang").agg(measured(quantile, "score").alias("threshold"))
     judged = rated.join(limits, "lang", "left").withColumn("perplexity", F.exp(-F.col("log_p") / F.col("n_bytes")))
-    rows = keyed.select("doc_id", "id", "mark", "lang", F.octet_length("text").cast("long").alias("n_bytes"))
-    found = rows.join(judged.drop("n_bytes"), ["id", "mark", "lang"], "left")
+    rows = keyed.select("doc_id", "mark", "lang", F.octet_length("text").cast("long").alias("n_bytes"))
+    found = rows.join(judged.drop("n_bytes"), ["mark", "lang"], "left")
     kept = F.col("score").isNotNull() & (F.col("threshold").isNull() | (F.col("score") <= F.col("threshold")))
     return found.select("doc_id", "lang", "n_bytes", "perplexity", "score", "threshold", kept.alias("kept"))

@@ -319,6 +319,19 @@ def test_classifier_rejects_junk_at_the_held_out_quantile(spark):
     assert counted == codes(next(r["text"] for r in rows if r["lang"] == "fr" and not r["held"]))
 
 
+def test_copies_spread_over_slices_and_score_once(spark, monkeypatch):
+    monkeypatch.setattr(perplexity, "SLICE", 50)
+    texts = [(i, f"the {i} cats sat on mat {i * i}", "en") for i in range(100)]
+    copies = [(1000 + i, "a dog and a cat", "en") for i in range(400)] + [(7, "a dog and a cat", "en")] * 3 + [(None, "a dog and a cat", "en")]
+    own = spark.createDataFrame(texts + copies, "doc_id long, text string, lang string")
+    seen, plain = [], perplexity.sliced
+    monkeypatch.setattr(perplexity, "sliced", lambda df, n: seen.append(plain(df, n)) or seen[-1])
+    got = perplexity.classify(own, spark.createDataFrame([(i,) for i in range(50)], "doc_id long")).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, *_ in texts + copies)
+    assert max(r["count"] for r in seen[0].groupBy("lang", "shard", "slice").count().collect()) < 100
+    assert len({(r["perplexity"], r["score"]) for r in got if r["n_bytes"] == len("a dog and a cat")}) == 1
+
+
 # 8. Order MinHash
 
 
