@@ -122,11 +122,12 @@ def candidates(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFr
     return own.join(F.broadcast(table), "h").groupBy("doc_id", "mark").agg(F.collect_set("template").alias("templates"))
 
 
-def aligned(own: list[bytes], template: list[bytes], shift: int, band: int = BAND) -> tuple[int, int, int] | None:
+def aligned(own: list[bytes | None], template: list[bytes], shift: int, band: int = BAND) -> tuple[int, int, int] | None:
     """(words matched, first, past the last own word) of the best alignment in a band.
 
     The template's word j may stand against own words from j + shift - band to
     j + shift + band. A match counts 2, a mismatch or a gap -1; the ends are free.
+    No alignment crosses an own word that is None.
     """
     width = 2 * band + 1
     # score, matched, start of the alignment in own, end of it in own
@@ -136,7 +137,7 @@ def aligned(own: list[bytes], template: list[bytes], shift: int, band: int = BAN
         row: list[tuple[int, int, int, int]] = []
         for k in range(width):
             i = j + shift - band + k  # own word
-            if not 0 <= i < len(own):
+            if not 0 <= i < len(own) or own[i] is None:
                 row.append((0, 0, -1, -1))
                 continue
             s, m, a, e = before[k]
@@ -157,6 +158,16 @@ def aligned(own: list[bytes], template: list[bytes], shift: int, band: int = BAN
     return best[1:] if best[1] else None
 
 
+def occurrences(own: list[bytes], template: list[bytes], shift: int, least: float) -> list[tuple[int, int, int]]:
+    """The alignments in a band that match at least ``least`` words, best first; none shares own words with another."""
+    left: list[bytes | None] = list(own)
+    out = []
+    while (hit := aligned(left, template, shift)) and hit[0] >= least:
+        out.append(hit)
+        left[hit[1] : hit[2]] = [None] * (hit[2] - hit[1])
+    return out
+
+
 FOUND = T.ArrayType(T.StructType([T.StructField("license", T.StringType()), T.StructField("coverage", T.DoubleType()), T.StructField("n_words", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
@@ -183,9 +194,7 @@ def alignments(text: Column, names: Column, templates: dict[str, str] = TEMPLATE
                 if last is not None and s - last <= BAND // 2:
                     continue
                 last = s
-                hit = aligned(own, words, s)
-                if hit and hit[0] >= least * len(words):
-                    found.append(hit)
+                found += occurrences(own, words, s, least * len(words))
             past = -1
             for m, a, e in sorted(found, key=lambda x: (x[1], -x[0])):
                 if a >= past:

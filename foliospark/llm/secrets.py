@@ -32,21 +32,24 @@ MOST_STRINGS = 64
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` matches leftmost and non-overlapping; a match counts if its ``group`` has ``least`` characters."""
+    """``pattern`` matches leftmost and non-overlapping; a match counts if its ``group`` has ``least`` characters. The span is that of ``span``."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    span: int = 0
 
 
 def _any_case(word: str) -> str:
     return "".join(f"[{ch.upper()}{ch}]" if ch.isalpha() else ch for ch in word)
 
 
+_PART = "[A-Za-z0-9_-]"
 _NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token"))) + "|" + _any_case("api") + "_?" + _any_case("key")
 #: The first three are the base kinds; the others are what the method adds. A run of hex digits is
 #: greedy and starts where no hex digit precedes it, so its minimum length can stand in the pattern.
+#: A token's parts have any length: only the first "eyJ" of a run is tried, since later ones end alike.
 RULES = (
     Rule("assign", rf"({_NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
@@ -55,7 +58,7 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abpr]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,4096}\.eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]+"),
+    Rule("jwt", rf"(?<!{_PART})(?>{_PART}*?(?=eyJ))(eyJ{_PART}{{8,}}+\.eyJ{_PART}{{8,}}+\.{_PART}++)", span=1),
     Rule("bearer", r"[Bb]earer [A-Za-z0-9._~+/=-]{16,}"),
 )
 BASE = ("assign", "access", "hex")
@@ -167,7 +170,7 @@ def verified(text: Column, kinds: Column, rules: tuple[Rule, ...] = RULES) -> Co
         spans = []
         for i, (rule, regex, always) in enumerate(patterns):
             if always or rule.kind in own:
-                spans += [(m.start(), i, m.end()) for m in regex.finditer(raw) if len(m[rule.group]) >= rule.least]
+                spans += [(m.start(rule.span), i, m.end(rule.span)) for m in regex.finditer(raw) if len(m[rule.group]) >= rule.least]
         if not spans:
             return spans
         at, chars, ends = 0, 0, {}

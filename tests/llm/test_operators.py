@@ -60,6 +60,20 @@ def test_trigram_queries_admit_every_match():
     assert secrets.trigram_query("(?:abc|abd)e+fgh") == [["abc", "fgh"], ["abd", "fgh"]]
 
 
+def test_tokens_of_any_length(spark):
+    a, b, c = "eyJ" + "a" * 9000, "eyJ" + "bc_-" * 50_000, "sig-_9"
+    texts = [f"x {a}.{b}.{c} y", f"__{a}.eyJabcdefgh.{c}", f"eyJshort.eyJabcdefgh.{c}", f"eyJabcdefgh.XeyJ{'d' * 5000}.eyJabcdefgh.{c}.eyJ", "eyJ" * 300_000, "no token"]
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"] if s["kind"] == "jwt"] for r in secrets.find_secrets(own).collect()}
+    assert got == {0: [f"{a}.{b}.{c}"], 1: [f"{a}.eyJabcdefgh.{c}"], 2: [], 3: [f"eyJ{'d' * 5000}.eyJabcdefgh.{c}"], 4: [], 5: []}
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]{8,4096}\.eyJ[A-Za-z0-9_-]{8,4096}\.[A-Za-z0-9_-]+")
+    rule = next(r for r in secrets.RULES if r.kind == "jwt")
+    rnd = np.random.default_rng(3)
+    for _ in range(3000):
+        x = "".join(rnd.choice(["eyJ", "eyJabcdefgh", ".", ".", "a_-", " ", "q" * 8], rnd.integers(1, 14)))
+        assert [m.span(rule.span) for m in re.finditer(rule.pattern, x)] == [m.span() for m in plain.finditer(x)], x
+
+
 # 2. Mixing
 
 def test_raking_meets_targets(docs):
@@ -170,6 +184,18 @@ def test_licenses(spark, docs):
     assert not [r for r in rows if r["doc_id"] in (2, 4)]
 
 
+def test_short_notices_that_repeat(spark):
+    names = ("mit-line", "apache-2.0-line", "cc-by-nc-4.0-line")
+    own = spark.createDataFrame([(4 * i + n, "\n".join([licenses.TEMPLATES[name]] * (n + 1))) for i, name in enumerate(names) for n in range(4)], "doc_id long, text string")
+    got = defaultdict(list)
+    for r in licenses.find_licenses(own).collect():
+        got[r["doc_id"], r["license"]].append((r["start"], r["end"]))
+    for i, name in enumerate(names):
+        size = len(licenses.TEMPLATES[name])
+        for n in range(4):
+            assert sorted(got[4 * i + n, name]) == [(k * (size + 1), k * (size + 1) + size - 1) for k in range(n + 1)], name
+
+
 # 5. Repeated strings
 
 def test_repeated_strings(table):
