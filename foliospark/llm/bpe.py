@@ -394,7 +394,12 @@ def round_trip(docs: DataFrame, vocabulary: str | None = None, words: int = LEXI
 
 
 def tokenized(docs: DataFrame, vocabulary: str | None = None, words: int = LEXICON_WORDS) -> DataFrame:
-    """``docs`` with the column token_ids in place of text."""
+    """``docs`` with the ids of the text in place of it: the column token_ids, or token_ids_ where there is such a column, and so on.
+
+    A null text has no ids; repeated rows are encoded each; texts of any length are encoded whole.
+    """
     files = build_lexicon(docs, vocabulary, words)
-    rest = [c for c in docs.columns if c not in ("text", "token_ids")]
-    return docs.select(*rest, encoded(text_of(), files).alias("token_ids"))
+    name = "token_ids"
+    while name in docs.columns:
+        name += "_"
+    return docs.select(*[c for c in docs.columns if c != "text"], encoded(text_of(), files).alias(name))

@@ -35,7 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))  # one machine: any folder is shared
     return sc.getCheckpointDir()
 
 

@@ -5,22 +5,39 @@ cells until the token shares of every source, language and topic meet their
 targets; a cell's weight over its tokens, scaled so that the largest is 1, is
 the probability with which its documents are kept. Only DataFrame operations:
 cells stay in Spark, whatever the number of sources.
+
+A round is one job. The cells of a source, at most languages times topics, meet
+its target in a window; what they sum to in each (language, topic) is a small
+table, in which the factors of languages and topics are found. Only that table
+is written in a round, and the one before it is removed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import warnings
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import dropped, stored
 
 DIMS = ("source", "lang", "topic")
 #: Target share of a value: its own token share to this power, so that large ones give way to small ones.
 TEMPER = 0.9
-ROUNDS, TOLERANCE = 25, 1e-5
+ROUNDS, TOLERANCE = 50, 1e-5
 SEED = 20_240_101
 #: What a missing source or language counts as.
 UNKNOWN = "(none)"
+#: Topics by the marks that a text in lower case holds; most different marks win, the first of equals. Any table of this form will do.
+TOPICS: tuple[tuple[str, tuple[str, ...]], ...] = (
+    ("legal", ("licen", "copyright", "warrant", "liabilit", "haftung", "garant")),
+    ("contact", ("@", "phone", "tel.", "e-mail", "mailto:", "+1 ")),
+    ("code", ("();", "return ", "import ", "def ", "{\n", "</")),
+    ("web", ("http://", "https://", "www.", "click ", "cookie", "login")),
+    ("finance", ("price", "market", "invoice", "preis", "prix ", "precio")),
+    ("science", ("theor", "experiment", "analys", "hypothes", "équation", "methode")),
+)
+OTHER = "general"
 
 
 def tokens_of(text: Column) -> Column:
@@ -28,89 +45,113 @@ def tokens_of(text: Column) -> Column:
     return F.greatest(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"), F.lit(1).cast("long"))
 
 
-def topic_of(text: Column) -> Column:
-    """A coarse topic: contact data, licence lines, tables, lists or prose, by what the text holds."""
-    has = lambda s: F.contains(text, F.lit(s))
-    return (
-        F.when(has("icense"), "licence").when(has("@") | has("555-"), "contact").when(has(" | "), "table").when(has("***") | has("!! "), "noise").when(has("\n"), "prose").otherwise("line")
-    )
+def topic_of(text: Column, topics: tuple[tuple[str, tuple[str, ...]], ...] = TOPICS) -> Column:
+    """The topic with the most of its marks in the text."""
+    lower = F.lower(text)
+    scores = [sum((F.contains(lower, F.lit(m)).cast("int") for m in marks), F.lit(0)) for _, marks in topics]
+    named = F.array_max(F.array(*[F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name")) for i, (score, (name, _)) in enumerate(zip(scores, topics, strict=True))]))
+    return F.when(named["score"] > 0, named["name"]).otherwise(F.lit(OTHER))
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    text = text_of()
-    dims = [F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(f"__{c}") for c in ("source", "lang")]
-    return docs.select("*", *dims, topic_of(text).alias("__topic"), tokens_of(text).cast("double").alias("__tokens"))
+    """(row, source, lang, topic, tokens): row holds all columns of ``docs``. A string column ``topic`` is taken as it is."""
+    text = F.coalesce("row.text", F.lit(""))
+    own = lambda c: F.coalesce(F.col(f"row.{c}").cast("string"), F.lit(UNKNOWN))
+    topic = own("topic") if "topic" in docs.columns else topic_of(text)
+    return docs.select(F.struct("*").alias("row")).select("row", own("source").alias("source"), own("lang").alias("lang"), topic.alias("topic"), tokens_of(text).cast("double").alias("tokens"))
 
 
-def _total(rows: DataFrame, name: str) -> float:
-    """The sum of a column, 1 for an empty table: one number."""
-    return rows.agg(F.sum(name)).first()[0] or 1.0
+def _stacked(cells: DataFrame) -> DataFrame:
+    """(dim, value, tokens): the cells once for each dimension."""
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("value")) for d in DIMS])).alias("e")
+    return cells.select(each, "tokens").select("e.dim", "e.value", "tokens")
 
 
-def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> dict[str, DataFrame]:
-    """Default targets: (value, target) for each dimension, shares that sum to 1."""
-    out = {}
-    for d in DIMS:
-        part = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("t")).withColumn("p", F.pow("t", F.lit(temper)))
-        out[d] = part.select("value", (F.col("p") / F.lit(_total(part, "p"))).alias("target"))
-    return out
+def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> DataFrame:
+    """Default targets (dim, value, target); rake scales them to shares."""
+    return _stacked(cells).groupBy("dim", "value").agg(F.pow(F.sum("tokens"), F.lit(temper)).alias("target"))
+
 
+def _goals(cells: DataFrame, targets: DataFrame) -> DataFrame:
+    """(dim, value, target) of the values that have documents, shares that sum to 1 in each dimension."""
+    there = targets.join(_stacked(cells).select("dim", "value").distinct(), ["dim", "value"], "left_semi")
+    sums = there.groupBy("dim").agg(F.sum("target").alias("all"))  # three rows
+    return there.join(F.broadcast(sums), "dim").select("dim", "value", F.coalesce(F.try_divide("target", "all"), F.lit(0.0)).alias("target"))
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) plus ``weight``: token shares that meet the targets.
 
-    Target values without documents are left out and the others scaled to sum to
-    1; values without a target get weight 0. Each round joins the cells with
-    their marginals; the lineage is cut every round that looks at convergence.
+def rake(cells: DataFrame, targets: DataFrame, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[DataFrame, float]:
+    """``cells`` (source, lang, topic, tokens) plus ``weight``: token shares that meet the targets; and the largest gap that is left.
+
+    Values without a target get weight 0. Targets that contradict each other
+    (cells without documents may forbid a solution) leave a gap above
+    ``tolerance`` after all rounds; it is returned and warned of, not hidden.
     """
-    own = cells.select(*DIMS, "tokens", (F.col("tokens") / F.lit(_total(cells, "tokens"))).alias("weight"))
-    fixed = {}
+    goals = stored(_goals(cells, targets))
+    of = lambda d: goals.filter(F.col("dim") == d).select(F.col("value").alias(d), F.col("target").alias(f"t_{d}"))
+    base = cells
     for d in DIMS:
-        there = targets[d].join(cells.select(F.col(d).alias("value")).distinct(), "value", "left_semi")
-        fixed[d] = stored(there.select(F.col("value").alias(d), (F.col("target") / F.lit(_total(there, "target"))).alias("target")))
-    own = stored(own)
+        base = base.join(of(d), d, "left")
+    base = stored(base.select(*DIMS, "tokens", *[F.coalesce(f"t_{d}", F.lit(0.0)).alias(f"t_{d}") for d in DIMS]))
+    dropped(goals)
+    strata = ["lang", "topic", "t_lang", "t_topic"]
+    factors = stored(base.select(*strata).distinct().withColumn("factor", F.lit(1.0)))
+    source = Window.partitionBy("source")  # at most languages times topics cells
+
+    def scaled(factors: DataFrame) -> DataFrame:
+        own = base.join(factors.select("lang", "topic", "factor"), ["lang", "topic"]).withColumn("y", F.col("tokens") * F.col("factor"))
+        return own.withColumn("weight", F.coalesce(F.try_divide(F.col("y") * F.col("t_source"), F.sum("y").over(source)), F.lit(0.0)))
+
+    gap = 0.0
     for _ in range(rounds):
-        for d in DIMS:
-            now = own.groupBy(d).agg(F.sum("weight").alias("now"))
-            factor = now.join(fixed[d], d, "left").select(d, F.coalesce(F.try_divide("target", "now"), F.lit(0.0)).alias("factor"))
-            own = own.join(factor, d).select(*DIMS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
-        own = stored(own)
-        gaps = None
-        for d in DIMS[:-1]:  # the last one was just met
-            gap = own.groupBy(d).agg(F.sum("weight").alias("now")).join(fixed[d], d).agg(F.max(F.abs(F.col("now") - F.col("target"))).alias("gap"))
-            gaps = gap if gaps is None else gaps.unionAll(gap)
-        if (gaps.agg(F.max("gap")).first()[0] or 0.0) < tolerance:
+        met = scaled(factors).groupBy(*strata, "factor").agg(F.sum("weight").alias("m"))
+        lang, topic = Window.partitionBy("lang"), Window.partitionBy("topic")
+        looked = met.withColumns({"lang_now": F.sum("m").over(lang), "topic_now": F.sum("m").over(topic)})
+        by_lang = looked.withColumn("m1", F.coalesce(F.try_divide(F.col("m") * F.col("t_lang"), F.col("lang_now")), F.lit(0.0)))
+        by_topic = by_lang.withColumn("m2", F.coalesce(F.try_divide(F.col("m1") * F.col("t_topic"), F.sum("m1").over(topic)), F.lit(0.0)))
+        off = F.greatest(F.abs(F.col("lang_now") - F.col("t_lang")), F.abs(F.col("topic_now") - F.col("t_topic")))
+        now = stored(by_topic.select(*strata, (F.col("factor") * F.coalesce(F.try_divide("m2", "m"), F.lit(0.0))).alias("factor"), off.alias("off")))
+        gap = now.agg(F.max("off")).first()[0] or 0.0
+        if gap < tolerance:  # the factors before this round meet all targets
+            dropped(now)
             break
-    return own
-
-
-def mixture(docs: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
-    """``docs`` plus __topic, __tokens, __weight, __probability and __selected.
-
-    ``targets`` has (value, target) for source, lang and topic. Without any the
-    tempered shares are used. A document is selected if a uniform hash of its
-    doc_id and text lies below its probability: the same rows give the same sample,
-    and rows that are repeated are selected together.
+        dropped(factors)
+        factors = now
+    else:
+        if rounds:
+            warnings.warn(f"raking leaves a gap of {gap:.2g} to the targets after {rounds} rounds", stacklevel=2)
+    out = stored(scaled(factors).select(*DIMS, "tokens", "weight"))
+    dropped(factors)
+    dropped(base)
+    return out, gap
+
+
+def mixture(docs: DataFrame, targets: DataFrame | None = None, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
+    """(row, source, lang, topic, tokens, weight, probability, gap, selected): row holds all columns of ``docs``.
+
+    ``targets`` has (dim, value, target) for the dimensions source, lang and
+    topic. Without any the tempered shares are used. A document is selected if a
+    uniform hash of its doc_id and text lies below its probability: the same rows
+    give the same sample, and rows that are repeated are selected together. A
+    missing source or language is a value of its own, an empty text counts as one
+    token, and nothing depends on a text's length but its tokens.
     """
     measured = _measured(docs)
-    cells = stored(measured.groupBy(*[F.col(f"__{d}").alias(d) for d in DIMS]).agg(F.sum("__tokens").alias("tokens")))
-    raked = rake(cells, targets or tempered_targets(cells), rounds)
-    scaled = raked.select(*[F.col(d).alias(f"__{d}") for d in DIMS], (F.col("weight") / F.col("tokens")).alias("__weight"))
-    top = scaled.agg(F.max("__weight")).first()[0]
-    rated = stored(scaled.withColumn("__probability", F.coalesce(F.try_divide("__weight", F.lit(top)), F.lit(0.0))))
-    uniform = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("doc_id"), text_of()), 11) / F.lit(float(1 << 53))
-    return measured.join(rated, [f"__{d}" for d in DIMS], "left").withColumn("__selected", uniform < F.col("__probability"))
+    cells = stored(measured.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens")))
+    raked, gap = rake(cells, tempered_targets(cells) if targets is None else targets, rounds)
+    dropped(cells)
+    scaled = raked.select(*DIMS, (F.col("weight") / F.col("tokens")).alias("weight"))
+    top = scaled.agg(F.max("weight")).first()[0]
+    rated = scaled.withColumn("probability", F.coalesce(F.try_divide("weight", F.lit(top)), F.lit(0.0)))
+    uniform = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "row.doc_id", F.coalesce("row.text", F.lit(""))), 11) / F.lit(float(1 << 53))
+    return measured.join(rated, list(DIMS), "left").select("row", *DIMS, "tokens", "weight", "probability", F.lit(gap).alias("gap"), (uniform < F.col("probability")).alias("selected"))
 
 
 def mixture_report(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, lang, topic, n_tokens, weight, probability, selected) for each row of ``docs``."""
-    own = docs.select("doc_id", "source", "lang", "text")
-    return mixture(own).select(
-        "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").cast("long").alias("n_tokens"),
-        F.col("__weight").alias("weight"), F.col("__probability").alias("probability"), F.col("__selected").alias("selected"),
-    )
+    """(doc_id, source, lang, topic, n_tokens, weight, probability, selected, gap) for each row of ``docs``."""
+    own = docs.select(*[c for c in ("doc_id", "source", "lang", "text", "topic") if c in docs.columns])
+    return mixture(own).select("row.doc_id", "row.source", "row.lang", "topic", F.col("tokens").cast("long").alias("n_tokens"), "weight", "probability", "selected", "gap")
 
 
-def sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def sampled(docs: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """The selected rows of ``docs``, with their columns."""
-    return mixture(docs, targets).filter("__selected").select(*docs.columns)
+    return mixture(docs, targets).filter("selected").select("row.*")

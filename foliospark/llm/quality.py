@@ -137,28 +137,30 @@ def fit(patterns: Iterable[tuple[str, int]], rounds: int = 100, good: float = 0.
     return {p: float(x) for (p, _), x in zip(own, posterior, strict=True)}
 
 
-def judged(counted: DataFrame, c: str = "__counts", threshold: float = 0.5) -> DataFrame:
-    """``counted`` (with a struct of COUNTS) plus __pattern, __posterior, __failed and __kept."""
+def judged(counted: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``counted`` (with a struct ``counts`` of COUNTS) plus votes, posterior, base_failed and kept."""
     spark = counted.sparkSession
-    voted = counted.withColumn("__pattern", pattern(c))
-    found = voted.groupBy("__pattern").count().collect()  # at most 3 ** len(RULES) rows
+    voted = counted.withColumn("votes", pattern("counts"))
+    found = voted.groupBy("votes").count().collect()  # at most 3 ** len(RULES) rows
     scores = fit([(r[0], r[1]) for r in found])
-    table = spark.createDataFrame([(p, x) for p, x in scores.items()], "__pattern string, __posterior double")
-    scored = voted.join(F.broadcast(table), "__pattern", "left")
-    return scored.withColumn("__failed", base_failed(c)).withColumn("__kept", ~F.col("__failed") & (F.coalesce("__posterior", F.lit(0.0)) >= threshold))
+    table = spark.createDataFrame([(p, x) for p, x in scores.items()], "votes string, posterior double")
+    scored = voted.join(F.broadcast(table), "votes", "left")
+    return scored.withColumn("base_failed", base_failed("counts")).withColumn("kept", ~F.col("base_failed") & (F.coalesce("posterior", F.lit(0.0)) >= threshold))
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """Counts, votes, posterior and verdict for each row of ``docs``; a null text has no words."""
     small_batches(docs.sparkSession)
-    counted = stored(docs.select("doc_id", counts_of(text_of()).alias("__counts")))
-    return judged(counted).select(
-        "doc_id", *[f"__counts.{c}" for c in COUNTS], F.col("__failed").alias("base_failed"), F.col("__kept").alias("kept"),
-        F.col("__pattern").alias("votes"), F.col("__posterior").alias("posterior"),
-    )
+    counted = stored(docs.select("doc_id", counts_of(text_of()).alias("counts")))
+    return judged(counted).select("doc_id", *[f"counts.{c}" for c in COUNTS], "base_failed", "kept", "votes", "posterior")
 
 
 def passed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
+    """The rows of ``docs`` that are kept, with all their columns, whatever their names.
+
+    A null or empty text has no words and goes; repeated rows have one verdict;
+    texts of any length are counted whole. An empty table gives an empty one.
+    """
     small_batches(docs.sparkSession)
-    return judged(docs.withColumn("__counts", counts_of(text_of()))).filter("__kept").select(*docs.columns)
+    counted = stored(docs.select(F.struct("*").alias("row")).select("row", counts_of(F.coalesce("row.text", F.lit(""))).alias("counts")))
+    return judged(counted).filter("kept").select("row.*")
