@@ -1,12 +1,22 @@
-"""Quality classifier: interpolated modified Kneser-Ney over byte trigrams.
-
-Each language has a model of the bytes of its trusted text. A byte alphabet
-bounds a model at 256 ** 3 counts. Everything that the probability of byte c after
-(a, b) needs has b in common, except the continuation counts of single bytes:
-counts and documents are cut into SHARDS by b, a shard of the model meets the
-same shard of a slice of documents, and each document's log-probability is the
-sum over its shards. A fold of the trusted texts is held out of the counts;
-thresholds are quantiles of its perplexities in each language.
+"""Quality classifier: an interpolated modified Kneser-Ney model of word trigrams.
+
+Each language has a model of its trusted text. Words are told by 64-bit hashes.
+
+1. Counts. Batches of trusted text count their trigrams (a, b, c), which are dealt
+   to shards by the pair (b, c): a shard knows how often a pair comes and after
+   how many different words. Trigrams and pairs that come once are pruned, as is
+   usual; their mass goes to the back-off.
+2. Model. An interpolated model can be written as a sum. Whatever n-grams a text
+   has, its log-probability is the sum of one weight for each word, pair and
+   trigram in it, 0 for those that the model lacks. So the model is a table of
+   (key of an n-gram, weight), made by joins and group-bys.
+3. Scores. The most frequent n-grams, a bounded number, are looked up where the
+   text is read. All others travel to the shard of their key, where they meet
+   the model's part, and sums go back to the documents. A word that the model
+   lacks is spelled by a model of byte pairs. Documents go in SLICES, one after
+   the other, which bounds the disk that travelling n-grams take.
+4. Thresholds. A fold of the trusted texts is held out of the counts; thresholds
+   are quantiles of its perplexities in each language.
 """
 
 from __future__ import annotations
@@ -15,165 +25,407 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from .common import small_batches, stored, text_of
+from .common import dropped, small_batches, stored, text_of
 
-SHARDS = 8
-#: Documents in a slice, which bounds what a task holds.
-SLICE = 20_000
 #: The quantile of held-out trusted perplexities that a document may reach.
 QUANTILE = 0.99
 #: One in so many trusted texts, by hash, is held out of the counts.
 FOLDS = 10
-#: Bytes of average trusted text that every document is taken to have besides its own, so that a few bytes prove little.
-PRIOR_BYTES = 200
+#: Words of average trusted text that every document is taken to have besides its own, so that a few words prove little.
+PRIOR_WORDS = 10
+#: Pairs and trigrams that come less often are left to the back-off.
+LEAST = 2
+#: Documents are scored in so many parts, one after the other.
+SLICES = 4
+#: N-grams that every task gets, trusted trigrams of a shard, and keys of a shard: all bound what a task holds.
+HOT, SHARD_TRIGRAMS, SHARD_KEYS = 1 << 18, 1 << 21, 1 << 21
 NO_ID, NO_LANG = -(1 << 63), "(none)"
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+MARKS = tuple(bytes([c]) for c in b".,;:!?|()\"")
+START, END = 0, 1
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Unsigned 64-bit hashes of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def key_of(*words: np.ndarray) -> np.ndarray:
+    """The key of an n-gram of word hashes."""
+    out = mixed(words[0] + np.uint64(len(words)))
+    for w in words[1:]:
+        out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + w)
+    return out
+
+
+def tokens(text: bytes) -> list[bytes]:
+    """Words in lower case; punctuation marks are words of their own."""
+    text = text.translate(LOWER)
+    for m in MARKS:
+        text = text.replace(m, b" " + m + b" ")
+    return text.split()
+
+
+class _Numbers(dict):
+    """Words by number, in order of appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+class Read:
+    """The words of a batch: ``seq`` of all documents, each <s> words </s>, as numbers of ``names``; ``first`` and ``size`` by document."""
+
+    def __init__(self, texts: list[bytes], langs: list[str]):
+        spaces: dict[str, _Numbers] = {}
+        parts, self.size, own = [], [], []
+        for x, lang in zip(texts, langs, strict=True):
+            numbers = spaces.setdefault(lang, _Numbers({b"": START, b" ": END}))
+            words = tokens(x)
+            parts.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+            self.size.append(len(words) + 2)
+            own.append(lang)
+        base, shift = {}, 0
+        self.names: list[bytes] = []
+        hashes = []
+        for lang, numbers in spaces.items():
+            base[lang], shift = shift, shift + len(numbers)
+            self.names += numbers
+            h = np.array([xxhash.xxh64_intdigest(w, 7) for w in numbers], dtype=np.uint64)
+            hashes.append(mixed(h ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 11))))
+        self.size = np.array(self.size, dtype=np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.seq = np.empty(int(self.size.sum()), dtype=np.int64)
+        for at, x, lang in zip(self.first, parts, own, strict=True):
+            self.seq[at] = base[lang] + START
+            self.seq[at + 1 : at + 1 + len(x)] = x + base[lang]
+            self.seq[at + 1 + len(x)] = base[lang] + END
+        self.hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        self.words = self.hashes[self.seq]
+        self.starts = np.zeros(len(self.seq), dtype=bool)
+        self.starts[self.first] = True
+
+    def spelled(self, spelling: np.ndarray) -> np.ndarray:
+        """Log-probability of each name under ``spelling`` (256, 256), a space at either end; 0 for <s> and </s>."""
+        names = [b"" if w == b" " else w for w in self.names]
+        raw = np.frombuffer(b" " + b" ".join(names) + b" ", dtype=np.uint8).astype(np.int64)
+        steps = np.concatenate([[0.0], np.cumsum(spelling[raw[:-1], raw[1:]])])
+        size = np.array([len(w) for w in names], dtype=np.int64)
+        at = np.cumsum(size + 1) - size - 1
+        return np.where(size > 0, steps[at + size + 1] - steps[at], 0.0)
+
+
+def _once(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct trigrams with their counts, sorted by the pair (b, c)."""
+    pair, three = key_of(b, c), key_of(a, b, c)
+    order = np.lexsort((three, pair))
+    pair, three = pair[order], three[order]
+    new = np.flatnonzero(np.concatenate([[True], (three[1:] != three[:-1]) | (pair[1:] != pair[:-1])])) if len(order) else order
+    at = order[new]
+    return a[at], b[at], c[at], np.add.reduceat(n[order], new) if len(new) else n[:0]
+
+
+def trigrams(texts: DataFrame, shards: int) -> DataFrame:
+    """(shard, lang, blob) of distinct trigrams of a batch, and blobs of byte-pair counts, lang null. texts: lang, text."""
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for nth, batch in enumerate(batches):
+                langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+                raw = batch.column("text").cast(pa.binary()).to_pylist()
+                out: list[tuple[int, str | None, bytes]] = []
+                spelling = np.zeros(1 << 16, dtype=np.int64)
+                for lang in sorted(set(langs)):
+                    own = Read([raw[i] for i in np.flatnonzero(langs == lang)], [lang] * int((langs == lang).sum()))
+                    letters = np.frombuffer(b" " + b" ".join(own.names[2:]) + b" ", dtype=np.uint8).astype(np.int64)
+                    spelling += np.bincount(letters[:-1] << 8 | letters[1:], minlength=1 << 16)
+                    at = np.flatnonzero(~own.starts)
+                    before = np.where(own.starts[at - 1], at - 1, at - 2)
+                    a, b, c, n = _once(own.words[before], own.words[at - 1], own.words[at], np.ones(len(at), np.int64))
+                    shard = (key_of(b, c) % np.uint64(shards)).astype(np.int64)
+                    order = np.lexsort((b, shard))
+                    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+                    for s in np.flatnonzero(np.diff(ends)):
+                        k = order[ends[s] : ends[s + 1]]
+                        out.append((int(s), lang, b"".join(x[k].tobytes() for x in (a, b, c)) + n[k].astype(np.uint32).tobytes()))
+                out.append((nth % shards, None, spelling.tobytes()))
+                for i in range(0, len(out), 64):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 64], strict=True), (pa.int32(), pa.string(), pa.binary()), strict=True)], names=["shard", "lang", "blob"])
+
+    return texts.select("lang", "text").mapInArrow(rows, "shard int, lang string, blob binary")
+
+
+STATS = "lang string, kind int, x bigint, y bigint, z bigint, n bigint, m bigint"
+#: Kinds of rows in STATS: n-grams that were seen n times, of order n (x counts); words as last of pairs, as first of pairs; trigrams, pairs; byte pairs.
+OFTEN, LAST, FIRST, TRIGRAM, PAIR, LETTERS = range(6)
+
+
+def statistics(texts: DataFrame, shards: int) -> DataFrame:
+    """STATS of trusted texts (lang, text); rows of kinds OFTEN, LAST, FIRST and LETTERS are still to be summed."""
+
+    def part(lang: str | None, kind: int, x: np.ndarray, y=None, z=None, n=None, m=None) -> pa.RecordBatch:
+        none = np.zeros(len(x), dtype=np.int64)
+        columns = [none if c is None else np.ascontiguousarray(c).view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in (x, y, z, n, m)]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(x), pa.string()), pa.array(np.full(len(x), kind, np.int32)), *map(pa.array, columns)], names=["lang", "kind", "x", "y", "z", "n", "m"])
+
+    def counted(word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        own, where = np.unique(word, return_inverse=True)
+        return own, np.bincount(where, weights=n).astype(np.int64)
+
+    def summed(lang: str, a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pair = key_of(b, c)
+        new = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]]))
+        seen, after = np.add.reduceat(n, new), np.diff(np.concatenate([new, [len(pair)]]))
+        b2, c2 = b[new], c[new]
+        for order, own in ((3, n), (2, after)):
+            k = np.arange(1, 5)
+            yield part(lang, OFTEN, np.full(4, order), k, n=np.array([(own == i).sum() for i in k]))
+        ends, many = counted(c2, np.ones(len(c2)))
+        yield part(lang, LAST, ends, n=many)
+        begins, many = counted(b2, after)
+        yield part(lang, FIRST, begins, n=many)
+        start = mixed(np.array([xxhash.xxh64_intdigest(b"", 7) ^ xxhash.xxh64_intdigest(lang.encode(), 11)], dtype=np.uint64))[0]
+        keep = (n >= LEAST) & (b != start)  # the first word of a text has a pair only
+        yield part(lang, TRIGRAM, a[keep], b[keep], c[keep], n[keep])
+        keep = seen >= LEAST
+        yield part(lang, PAIR, b2[keep], c2[keep], n=seen[keep], m=after[keep])
 
-def pieces_of(text: bytes) -> list[tuple[int, bytes]]:
-    """(shard, grams) of a text: 32-bit words, a count of up to 255 above the bytes b, a, c of a trigram (a, b, c)."""
-    own = np.frombuffer(b"\x02\x02" + text, dtype=np.uint8).astype(np.uint32)
-    b = own[1:-1]
-    codes = (b % SHARDS) << 24 | b << 16 | own[:-2] << 8 | own[2:]
-    codes, n = np.unique(codes, return_counts=True)
-    if n.size and n.max() > 255:  # a count above 255 takes several words
-        times = -(-n // 255)
-        at = np.repeat(np.cumsum(times) - times, times)
-        left = np.repeat(n, times) - 255 * (np.arange(len(at)) - at)
-        codes, n = np.repeat(codes, times), np.minimum(left, 255)
-    ends = np.searchsorted(codes >> 24, np.arange(SHARDS + 1))
-    words = (codes & 0xFFFFFF) | n.astype(np.uint32) << 24
-    return [(s, words[ends[s] : ends[s + 1]].astype("<u4").tobytes()) for s in range(SHARDS) if ends[s + 1] > ends[s]]
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[np.ndarray, ...]]] = {}
+        spelling = np.zeros(1 << 16, dtype=np.int64)
+        join = lambda parts: _once(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for lang, blob in zip(batch.column("lang").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                    if lang is None:
+                        spelling += np.frombuffer(blob, dtype=np.int64)
+                        continue
+                    k = len(blob) // 28
+                    words = [np.frombuffer(blob, dtype=np.uint64, count=k, offset=8 * k * i) for i in range(3)]
+                    own = held.setdefault(lang, [])
+                    own.append((*words, np.frombuffer(blob, dtype=np.uint32, offset=24 * k).astype(np.int64)))
+                    if sum(len(x[0]) for x in own[1:]) > max(SHARD_TRIGRAMS, len(own[0][0])):
+                        held[lang] = [join(own)]
+            for lang in sorted(held):
+                yield from summed(lang, *join(held.pop(lang)))
+            seen = np.flatnonzero(spelling)
+            yield part(None, LETTERS, seen, n=spelling[seen])
+
+    return trigrams(texts, shards).repartition(shards, "shard").select("lang", "blob").mapInArrow(rows, STATS)
+
+
+def discount(n: Column, often: list[Column]) -> Column:
+    """Modified Kneser-Ney's discount of a count, from how many n-grams were seen 1 to 4 times."""
+    n1, n2, n3, n4 = (x.cast("double") for x in often)
+    y = n1 / (n1 + 2 * n2)
+    within = lambda d, k: F.least(F.greatest(d, F.lit(0.05)), F.lit(k - 0.05))
+    plain = (n1 == 0) | (n2 == 0)
+    one = F.when(plain, 0.5).otherwise(within(1 - 2 * y * F.try_divide(n2, n1), 1))
+    two = F.when(plain, 0.75).otherwise(within(2 - 3 * y * F.try_divide(n3, n2), 2))
+    three = F.when(plain, 1.0).when(n3 == 0, 1.5).otherwise(within(3 - 4 * y * F.try_divide(n4, n3), 3))
+    return F.when(n == 1, one).when(n == 2, two).otherwise(three)
 
 
-def pieces(docs: DataFrame) -> DataFrame:
-    """(id, mark, lang, shard, grams) for each row and shard. docs: id, mark, lang, text."""
+@arrow_udf("long")
+def _key(x: pa.Array, y: pa.Array, z: pa.Array, n: pa.Array) -> pa.Array:
+    words = [np.asarray(c).view(np.uint64) for c in (x, y, z)]
+    with np.errstate(over="ignore"):
+        keys = [key_of(words[0]), key_of(*words[:2]), key_of(*words)]
+    return pa.array(np.choose(np.asarray(n) - 1, keys).view(np.int64))
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [pieces_of(x) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-            at = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own]))
-            columns = [batch.column(c).take(at) for c in ("id", "mark", "lang")]
-            columns += [pa.array([s for x in own for s, _ in x], pa.int32()), pa.array([g for x in own for _, g in x], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "lang", "shard", "grams"])
 
-    return docs.mapInArrow(rows, "id bigint, mark bigint, lang string, shard int, grams binary")
+def model_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, weight, n) of all n-grams that the model has, and (lang, unknown): log of the mass that unknown words share.
 
-
-def trigram_counts(own: DataFrame) -> DataFrame:
-    """(lang, shard, code, n) summed over pieces (lang, grams); each batch pre-aggregates."""
+    With p1, p2, p3 the interpolated probabilities and g2, g3 the back-off masses
+    of contexts, the weight of a word is log p1 + log g2, that of a pair (b, c)
+    log p2(c|b) - log g2(b) - log p1(c) + log g3(b, c), that of a trigram
+    log p3(c|ab) - log g3(ab) - log p2(c|b).
+    """
+    kind = lambda k: stats.filter(F.col("kind") == k)
+    mass = lambda part: F.log(F.greatest(1 - F.sum(part), F.lit(1e-9)))
+    last = stored(kind(LAST).groupBy("lang", F.col("x").alias("c")).agg(F.sum("n").alias("n")))
+    often = kind(OFTEN).select("lang", F.col("x").alias("o"), F.col("y").alias("k"), "n")
+    often = often.unionByName(last.filter("n <= 4").select("lang", F.lit(1).cast("long").alias("o"), F.col("n").alias("k"), F.lit(1).cast("long").alias("n")))
+    count = lambda o, k: F.coalesce(F.sum(F.when((F.col("o") == o) & (F.col("k") == k), F.col("n"))), F.lit(0)).alias(f"t{o}{k}")
+    lengths = last.groupBy("lang").agg(F.sum("n").alias("pairs"))
+    facts = stored(often.groupBy("lang").agg(*[count(o, k) for o in (1, 2, 3) for k in (1, 2, 3, 4)]).join(lengths, "lang"))  # a row a language
+    cut = lambda o, n: F.col(n) - discount(F.col(n), [F.col(f"t{o}{k}") for k in (1, 2, 3, 4)])
+
+    words = last.join(facts, "lang").select("lang", "c", "n", (cut(1, "n") / F.col("pairs")).alias("p1"))
+    unknown = stored(words.groupBy("lang").agg(mass(F.col("p1")).alias("unknown")))
+    totals = kind(FIRST).groupBy(F.col("x").alias("b")).agg(F.sum("n").alias("total"))
+    pairs = kind(PAIR).join(facts, "lang").select(F.col("x").alias("b"), F.col("y").alias("c"), "n", cut(2, "m").alias("cut")).join(totals, "b").withColumn("part", F.col("cut") / F.col("total"))
+    pairs = stored(pairs.select("b", "c", "n", "part"))
+    masses = stored(pairs.groupBy("b").agg(mass(F.col("part")).alias("g2")))
+    whole = pairs.join(masses, "b").join(words.select("c", "p1"), "c").withColumn("p2", F.col("part") + F.exp("g2") * F.col("p1"))
+    whole = stored(whole.select("b", "c", "n", "p2", (F.log("p2") - F.col("g2") - F.log("p1")).alias("e2")))
+    dropped(pairs)
+
+    three = kind(TRIGRAM).join(facts, "lang").select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("z").alias("c"), "n", cut(3, "n").alias("cut"))
+    three = three.join(whole.select(F.col("b").alias("a"), F.col("c").alias("b"), F.col("n").alias("total")), ["a", "b"])
+    three = stored(three.select("a", "b", "c", "n", (F.col("cut") / F.col("total")).alias("part")))
+    back = stored(three.groupBy("a", "b").agg(mass(F.col("part")).alias("g3")))
+    top = three.join(back, ["a", "b"]).join(whole.select("b", "c", "p2"), ["b", "c"])
+    e3 = F.log(F.col("part") + F.exp("g3") * F.col("p2")) - F.col("g3") - F.log("p2")
+
+    zero = F.lit(0).cast("long")
+    one = words.join(masses.withColumnRenamed("b", "c"), "c", "full")
+    rows = one.select(F.col("c").alias("x"), zero.alias("y"), zero.alias("z"), F.lit(1).alias("o"), F.coalesce(F.log("p1"), F.lit(0.0)) + F.coalesce("g2", F.lit(0.0)), F.coalesce("n", F.lit(1 << 40)))
+    two = whole.join(back.select(F.col("a").alias("b"), F.col("b").alias("c"), "g3"), ["b", "c"], "left")
+    rows = rows.unionAll(two.select("b", "c", zero, F.lit(2), F.col("e2") + F.coalesce("g3", F.lit(0.0)), "n")).unionAll(top.select("a", "b", "c", F.lit(3), e3, "n"))
+    rows = rows.toDF("x", "y", "z", "o", "weight", "n")
+    out = stored(rows.select(_key("x", "y", "z", "o").alias("key"), "weight", "n"))
+    for table in (last, facts, masses, whole, three, back):
+        dropped(table)
+    return out, unknown
+
+
+def most_frequent(model: DataFrame, most: int = HOT) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and weights of at most ``most`` n-grams, the most frequent ones."""
+    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
+    room, least = most, None
+    for row in model.groupBy(step).agg(F.count("*").alias("many"), F.min("n").alias("least")).orderBy(F.desc("step")).collect():  # at most 16 * 63 rows
+        room -= row["many"]
+        if room < 0:
+            break
+        least = row["least"]
+    own = model.filter(F.col("n") >= least).select("key", "weight").toPandas() if least else None
+    keys, weights = (own["key"].to_numpy().view(np.uint64), own["weight"].to_numpy()) if own is not None else (np.zeros(0, np.uint64), np.zeros(0))
+    order = np.argsort(keys)
+    return keys[order], weights[order]
+
+
+def spelling_of(stats: DataFrame) -> np.ndarray:
+    """Log-probabilities of a byte after another one: at most 65,536 numbers."""
+    n = np.zeros((256, 256))
+    for code, count in stats.filter(F.col("kind") == LETTERS).groupBy("x").agg(F.sum("n")).collect():
+        n[code >> 8, code & 255] = count
+    base = (n.sum(axis=0) + 1) / (n.sum() + 256)
+    kinds = (n > 0).sum(axis=1, keepdims=True) + 1
+    return np.log((n + kinds * base) / (n.sum(axis=1, keepdims=True) + kinds))
+
+
+def _found(keys: np.ndarray, weights: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a key is there, its weight)."""
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
+    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[i] == wanted, weights[i]
+
+
+TRAVEL = "shard int, kind int, key bigint, weight double, refs binary, sizes binary, keys binary, less binary, base binary"
+
+
+def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: np.ndarray, shards: int) -> DataFrame:
+    """TRAVEL rows of documents: for each batch and shard the n-grams that aren't ``hot``, document by document. texts: ref, lang, text, unknown.
+
+    base holds what is known at once: log-probabilities, tokens and one row for
+    each document; less what a known word will replace.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((*hot, spelling))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, weights, letters = shared.value
+        with np.errstate(over="ignore"):
+            for nth, batch in enumerate(batches):
+                refs = np.asarray(batch.column("ref"))
+                own = Read(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist())
+                doc = np.repeat(np.arange(len(refs)), own.size)
+                plain = own.spelled(letters)[own.seq] + np.asarray(batch.column("unknown"))[doc]
+                plain[own.starts] = 0.0
+                at = np.flatnonzero(~own.starts)
+                inner = at[~own.starts[at - 1]]
+                w = own.words
+                wanted = np.concatenate([key_of(w), key_of(w[at - 1], w[at]), key_of(w[inner - 2], w[inner - 1], w[inner])])
+                of = np.concatenate([doc, doc[at], doc[inner]])
+                less = np.concatenate([plain, np.zeros(len(at) + len(inner))])
+                there, weight = _found(keys, weights, wanted)
+                known = np.bincount(doc, weights=plain, minlength=len(refs)) + np.bincount(of[there], weights=(weight - less)[there], minlength=len(refs))
+                wanted, of, less = wanted[~there], of[~there], less[~there].astype(np.float32)
+                shard = (wanted % np.uint64(shards)).astype(np.int64)
+                order = np.lexsort((of, shard))
+                wanted, of, less, shard = wanted[order], of[order], less[order], shard[order]
+                ends = np.searchsorted(shard, np.arange(shards + 1))
+                base = np.stack([known, own.size - 1.0, np.ones(len(refs))])
+                first = nth % shards
+                out = []
+                for s in np.flatnonzero((np.diff(ends) > 0) | (np.arange(shards) == first)):
+                    k = slice(ends[s], ends[s + 1])
+                    size = np.bincount(of[k], minlength=len(refs))
+                    some = size > 0 if s != first else np.ones(len(refs), dtype=bool)
+                    out.append((int(s), 1, None, None, refs[some].tobytes(), size[some].astype(np.uint32).tobytes(), wanted[k].tobytes(), less[k].tobytes(), base.tobytes() if s == first else None))
+                types = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), *[pa.binary()] * 5)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=[f.split()[0] for f in TRAVEL.split(", ")])
+
+    return texts.select("ref", "lang", "text", "unknown").mapInArrow(rows, TRAVEL)
+
+
+def met(rows: DataFrame, shards: int) -> DataFrame:
+    """(ref, log_p, n_tokens, n_rows) from TRAVEL rows of documents and of the model (kind 0, key and weight), shard by shard; still to be summed by ref."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        keys, weights, stale = np.zeros(0, np.uint64), np.zeros(0), False
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            grams = batch.column("grams").to_pylist()
-            for lang in sorted(set(langs)):
-                words = np.frombuffer(b"".join(g for g, x in zip(grams, langs, strict=True) if x == lang), dtype="<u4")
-                codes, where = np.unique(words & 0xFFFFFF, return_inverse=True)
-                n = np.bincount(where, weights=words >> 24).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes.astype(np.int32)), pa.array(n)], names=["lang", "code", "n"])
-
-    summed = own.select("lang", "grams").mapInArrow(rows, "lang string, code int, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    return summed.select("lang", (F.shiftright("code", 16) % SHARDS).alias("shard"), "code", "n")
-
-
-def model_rows(counts: DataFrame) -> DataFrame:
-    """(lang, shard, kind, code, n): kind 3 trigram counts; in every shard kind 1, continuations of a byte, and kind 0, counts of counts.
-
-    Code of kind 0: 4 * order + k - 1 for how many n-grams of that order were seen k times, k from 1 to 4.
-    """
-    two = counts.groupBy("lang", F.expr("(code >> 16) << 8 | code & 255").alias("code")).agg(F.count("*").alias("n"))
-    one = two.groupBy("lang", F.expr("code & 255").alias("code")).agg(F.count("*").alias("n"))
-    often = None
-    for order, df in ((3, counts), (2, two), (1, one)):
-        few = df.filter("n <= 4").groupBy("lang", (F.lit(4 * order - 1) + F.col("n")).cast("int").alias("code")).agg(F.count("*").alias("n"))
-        often = few if often is None else often.unionByName(few)
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(SHARDS - 1))).alias("shard")
-    small = one.select("lang", everywhere, F.lit(1).alias("kind"), "code", "n").unionByName(often.select("lang", everywhere, F.lit(0).alias("kind"), "code", "n"))
-    return counts.select("lang", "shard", F.lit(3).alias("kind"), "code", "n").unionByName(small)
-
-
-def discounts(often: np.ndarray) -> np.ndarray:
-    """Discounts for counts of 0, 1, 2 and 3 or more, from how many n-grams were seen 1 to 4 times."""
-    n1, n2, n3, n4 = (float(x) for x in often)
-    if not n1 or not n2:
-        return np.array([0.0, 0.5, 0.75, 1.0])
-    y = n1 / (n1 + 2 * n2)
-    own = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3 if n3 else 1.5]
-    return np.array([0.0, *(min(max(x, 0.05), k - 0.05) for k, x in enumerate(own, 1))])
-
-
-class Level:
-    """Discounted counts of one order: ``high`` terms and back-off weights of contexts, by sorted code."""
-
-    def __init__(self, codes: np.ndarray, n: np.ndarray, contexts: np.ndarray, often: np.ndarray):
-        d = discounts(often)
-        self.codes, self.cut = codes, np.maximum(n - d[np.minimum(n, 3)], 0)
-        self.contexts, where = np.unique(contexts, return_inverse=True)
-        self.total = np.bincount(where, weights=n)
-        self.back = np.bincount(where, weights=d[np.minimum(n, 3)]) / self.total
-
-    def of(self, codes: np.ndarray, contexts: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Interpolated probabilities; an unseen context leaves the lower order's."""
-        if not len(self.codes):
-            return lower
-        i = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
-        c = np.minimum(np.searchsorted(self.contexts, contexts), len(self.contexts) - 1)
-        cut = np.where(self.codes[i] == codes, self.cut[i], 0.0)
-        return np.where(self.contexts[c] == contexts, cut / self.total[c] + self.back[c] * lower, lower)
-
-
-class ShardModel:
-    """The part of a language's model that its trigrams (a, b, c) with b in one shard need."""
-
-    def __init__(self, kind: np.ndarray, code: np.ndarray, n: np.ndarray):
-        often = np.zeros(16, dtype=np.int64)
-        often[code[kind == 0]] = n[kind == 0]
-        one = np.zeros(256, dtype=np.int64)
-        one[code[kind == 1]] = n[kind == 1]
-        self.single = np.full(256, 1 / 256)
-        if one.sum():
-            d = discounts(often[4:8])[np.minimum(one, 3)]
-            self.single = np.maximum(one - d, 0) / one.sum() + d.sum() / one.sum() / 256
-        three, n3 = code[kind == 3], n[kind == 3]
-        order = np.argsort(three)
-        three, n3 = three[order], n3[order]
-        two, n2 = np.unique((three >> 16) << 8 | three & 255, return_counts=True)
-        self.two = Level(two, n2, two >> 8, often[8:12])
-        self.three = Level(three, n3, three >> 8, often[12:16])
-
-    def log_probability(self, codes: np.ndarray) -> np.ndarray:
-        b, c = codes >> 16, codes & 255
-        return np.log(self.three.of(codes, codes >> 8, self.two.of(b << 8 | c, b, self.single[c])))
-
-
-def sliced(own: DataFrame, slices: int) -> DataFrame:
-    """``own`` with slice, by a hash of id: rows with equal texts spread if each has an id of its own."""
-    return own.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
-
-
-def scored(own: DataFrame, model: DataFrame, slices: int) -> DataFrame:
-    """(id, mark, lang, log_p, n_bytes) from pieces and model rows, a (language, shard, slice) at a time."""
-    keys = ["lang", "shard", "slice"]
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        shard = ShardModel(*(right[c].to_numpy() for c in ("kind", "code", "n")))
-        grams = left["grams"].to_pylist()
-        words = np.frombuffer(b"".join(grams), dtype="<u4")
-        size = np.array([len(g) // 4 for g in grams], dtype=np.int64)
-        times = (words >> 24).astype(np.int64)
-        codes, where = np.unique((words & 0xFFFFFF).astype(np.int64), return_inverse=True)
-        log_p = shard.log_probability(codes)[where] * times if len(codes) else np.zeros(0)
-        at = np.cumsum(size) - size
-        sums = (np.add.reduceat(x, at) if len(x) else np.zeros(len(grams)) for x in (log_p, times))
-        return pa.table({"id": left["id"], "mark": left["mark"], "lang": left["lang"], **{k: pa.array(x) for k, x in zip(("log_p", "n_bytes"), sums, strict=True)}})
-
-    cut = sliced(own, slices)
-    copies = model.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    part = cut.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(score, "id bigint, mark bigint, lang string, log_p double, n_bytes bigint")
-    return part.groupBy("id", "mark", "lang").agg(F.sum("log_p").alias("log_p"), F.sum("n_bytes").alias("n_bytes"))
+            kind, keyed = np.asarray(batch.column("kind")), batch.column("key")
+            for i, j in zip(*(lambda cuts: (cuts[:-1], cuts[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(kind)) + 1, [len(kind)]])), strict=True):
+                if i == j:
+                    continue
+                if kind[i] == 0:
+                    if not stale:  # a new shard begins: the one before is done with
+                        held, stale = [], True
+                    held.append((np.asarray(keyed.slice(i, j - i)).view(np.uint64), np.asarray(batch.column("weight").slice(i, j - i))))
+                    continue
+                if stale:
+                    keys, weights = (np.concatenate(x) for x in zip(*held, strict=True))
+                    order = np.argsort(keys)
+                    keys, weights, held, stale = keys[order], weights[order], [], False
+                columns = [batch.column(c).slice(i, j - i).to_pylist() for c in ("refs", "sizes", "keys", "less", "base")]
+                out = []
+                for refs, sizes, wanted, less, base in zip(*columns, strict=True):
+                    refs, sizes = np.frombuffer(refs, dtype=np.int64), np.frombuffer(sizes, dtype=np.uint32)
+                    there, weight = _found(keys, weights, np.frombuffer(wanted, dtype=np.uint64))
+                    value = np.where(there, weight - np.frombuffer(less, dtype=np.float32), 0.0)
+                    own = np.zeros((3, len(refs))) if base is None else np.frombuffer(base).reshape(3, -1).copy()
+                    own[0] += np.bincount(np.repeat(np.arange(len(refs)), sizes), weights=value, minlength=len(refs))
+                    some = own.any(axis=0)
+                    out.append((refs[some], *own[:, some]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["ref", "log_p", "n_tokens", "n_rows"])
+
+    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    return dealt.mapInArrow(match, "ref bigint, log_p double, n_tokens double, n_rows double")
+
+
+def scored(texts: DataFrame, model: DataFrame, unknown: DataFrame, stats: DataFrame) -> DataFrame:
+    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one."""
+    spark = texts.sparkSession
+    hot, spelling = most_frequent(model), spelling_of(stats)
+    shards = max(2 * spark.sparkContext.defaultParallelism, -(-model.count() // SHARD_KEYS))
+    none = lambda *kinds: [F.lit(None).cast(k) for k in kinds]
+    part = F.pmod("key", F.lit(shards)) if shards & (shards - 1) == 0 else _shard("key", F.lit(shards))
+    own = model.select(part.cast("int"), F.lit(0), "key", "weight", *none(*["binary"] * 5))
+    known = texts.join(unknown, "lang", "left").withColumn("unknown", F.coalesce("unknown", F.lit(0.0)))
+    done = None
+    for nth in range(SLICES):
+        slice_ = travelling(known.filter(F.pmod("ref", F.lit(SLICES)) == nth), hot, spelling, shards)
+        sums = met(own.toDF(*slice_.columns).unionByName(slice_), shards).groupBy("ref").agg(F.sum("log_p").alias("log_p"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_rows").alias("n"))
+        table = stored(sums.select("ref", (F.col("log_p") / F.col("n")).alias("log_p"), (F.col("n_tokens") / F.col("n")).alias("n_tokens")), large=True)
+        done = table if done is None else done.unionByName(table)
+    return done
+
+
+@arrow_udf("int")
+def _shard(key: pa.Array, shards: pa.Array) -> pa.Array:
+    return pa.array((np.asarray(key).view(np.uint64) % np.asarray(shards).astype(np.uint64)).astype(np.int32))
 
 
 def held_out(known: DataFrame) -> DataFrame:
@@ -184,40 +436,53 @@ def held_out(known: DataFrame) -> DataFrame:
     """
     ends = known.groupBy("lang").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))  # a row a language
     held = ((F.pmod("mark", F.lit(FOLDS)) == 0) | (F.col("mark") == F.col("first"))) & (F.col("mark") != F.col("last"))
-    return known.join(F.broadcast(ends), "lang").withColumn("held", held).drop("first", "last")
+    return known.join(ends, "lang").withColumn("held", held).drop("first", "last")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, id, mark, lang, ref, text): mark is a hash of the text, ref one of doc_id, language and text."""
+    own = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text_of()).alias("mark"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), text_of().alias("text"))
+    return own.withColumn("ref", F.xxhash64("id", "mark", "lang"))
+
+
+def trained(full: DataFrame, good: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """model_of and STATS of the trusted texts that aren't held out. full: keyed texts, good: their ids."""
+    counted = held_out(full.join(good, "id", "left_semi")).filter("NOT held").select("lang", "text")
+    n_bytes = counted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(full.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // (6 * SHARD_TRIGRAMS)))
+    stats = stored(statistics(counted, shards), large=True)
+    return *model_of(stats), stats
 
 
 def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_bytes, perplexity, score, threshold, kept) for each row of ``docs``.
-
-    trusted: doc_ids of trusted documents. perplexity is per byte of the text,
-    score the same with PRIOR_BYTES of average trusted text. The average and the
-    threshold are those of held-out trusted text; a language with a single
-    trusted text is measured on that one. Where a language has no trusted text
-    there is no threshold and everything is kept; texts without bytes have no
-    perplexity and are not kept. A missing language is one.
+    """(doc_id, lang, n_bytes, n_tokens, perplexity, score, threshold, kept) for each row of ``docs``.
+
+    trusted: doc_ids of trusted documents. perplexity is per token (words,
+    punctuation and the end) of the text, score the same with PRIOR_WORDS tokens of
+    average trusted text. The average and the threshold are those of held-out
+    trusted text; a language with a single trusted text is measured on that one.
+    Where a language has no trusted text there is no threshold and everything is
+    kept; null texts and texts without bytes have no perplexity and are not kept.
+    A missing language is one. Equal texts of a language score equally but for
+    rounding, repeated rows as one.
     """
     small_batches(docs.sparkSession)
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text_of()).alias("mark"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), text_of().alias("text"))
-    full = keyed.filter("text <> ''").select("id", "mark", "lang", "text")
+    own = keyed(docs)
+    full = own.filter("text <> ''")
     good = trusted.select(F.col("doc_id").alias("id")).filter("id IS NOT NULL").distinct()
-    counted = held_out(full.join(good.hint("shuffle_hash"), "id", "left_semi")).filter("NOT held")
-    counts = stored(trigram_counts(pieces(counted.select(*full.columns))), large=True)
-    slices = max(1, -(-docs.count() // SLICE))
-    single = full.withColumn("id", F.monotonically_increasing_id())  # copies and repeated doc_ids are rows of their own
-    texts = scored(pieces(single), model_rows(counts), slices).groupBy("mark", "lang").agg(F.min("log_p").alias("log_p"), F.first("n_bytes").alias("n_bytes"))
-    sums = stored(texts, large=True)
+    model, unknown, stats = trained(full, good)
+    sums = scored(full.select("ref", "lang", "text"), model, unknown, stats).withColumn("log_p", F.round("log_p", 6))
 
     measured = lambda own, c: F.coalesce(own(F.when(F.col("held"), F.col(c))), own(c))
-    own = full.select("id", "mark", "lang").join(good, "id", "left_semi")
-    known = held_out(stored(own.join(sums, ["mark", "lang"])))
-    average = known.groupBy("lang").agg((measured(F.sum, "log_p") / measured(F.sum, "n_bytes")).alias("mean"))  # a row a language
-    shrunk = F.exp(-(F.col("log_p") + F.coalesce("mean", F.lit(0.0)) * PRIOR_BYTES) / (F.col("n_bytes") + F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_BYTES)))
-    rated = stored(sums.join(average, "lang", "left").withColumn("score", shrunk))
+    known = stored(held_out(full.join(good, "id", "left_semi").select("mark", "lang", "ref")).join(sums, "ref"))
+    average = known.groupBy("lang").agg((measured(F.sum, "log_p") / measured(F.sum, "n_tokens")).alias("mean"))  # a row a language
+    prior = F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_WORDS)
+    score = F.exp(-(F.col("log_p") + F.coalesce("mean", F.lit(0.0)) * prior) / (F.col("n_tokens") + prior))
     quantile = lambda c: F.percentile_approx(c, F.lit(QUANTILE), F.lit(10_000))
-    limits = known.join(rated.select("mark", "lang", "score"), ["mark", "lang"]).groupBy("lang").agg(measured(quantile, "score").alias("threshold"))
-    judged = rated.join(limits, "lang", "left").withColumn("perplexity", F.exp(-F.col("log_p") / F.col("n_bytes")))
-    rows = keyed.select("doc_id", "mark", "lang", F.octet_length("text").cast("long").alias("n_bytes"))
-    found = rows.join(judged.drop("n_bytes"), ["mark", "lang"], "left")
+    limits = known.join(average, "lang").withColumn("score", score).groupBy("lang").agg(measured(quantile, "score").alias("threshold"), F.first("mean").alias("mean"))
+    limits = stored(limits)
+    rows = own.select("doc_id", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes"))
+    judged = rows.join(sums, "ref", "left").join(limits, "lang", "left").withColumn("score", score)
     kept = F.col("score").isNotNull() & (F.col("threshold").isNull() | (F.col("score") <= F.col("threshold")))
-    return found.select("doc_id", "lang", "n_bytes", "perplexity", "score", "threshold", kept.alias("kept"))
+    perplexity = F.exp(-F.col("log_p") / F.col("n_tokens"))
+    return judged.select("doc_id", "lang", "n_bytes", F.col("n_tokens").cast("long").alias("n_tokens"), perplexity.alias("perplexity"), "score", "threshold", kept.alias("kept"))
