@@ -20,16 +20,17 @@ costs a star, not all of its pairs, and no link between components is lost.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import small_batches, stored, text_of
+from .common import dropped, small_batches, stored, text_of
 from .graph import components
 
 DISTANCE = 3
@@ -130,17 +131,179 @@ def near_duplicates(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> Da
     return _classes(docs, k, distance).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` with one row of each near-duplicate group: the smallest doc_id.
+# Near copies by shingle sets: the pipeline's stage. Fingerprints of whole texts differ in some ten of 64 bits where 0.8 of
+# the shingles are shared, too many for a selective grid. Here a text has fingerprints of its parts.
 
-    Of repeated rows with that doc_id one stays. A group without any doc_id keeps one row.
+#: Shingles of five words; texts are near copies if they share 0.8 of their distinct shingles (Jaccard).
+SHINGLE, SIMILARITY = 5, 0.8
+#: Parts of a text, at least and at most, and the shingles that a part has at least where there are enough.
+LEAST_PARTS, PARTS, PART_SHINGLES = 4, 16, 3
+#: Pairs of one text above which its shingles are dealt to several tasks.
+FAN = 256
+
+
+def shingles(text: bytes, k: int = SHINGLE, seed: int = 42) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's k-word shingles, ASCII letters in lower case; a shorter text is one shingle, no words none."""
+    words = text.translate(LOWER).split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    digest, at = xxhash.xxh64_intdigest, {}
+    for w in words:
+        if w not in at:
+            at[w] = digest(w, seed)
+    own = np.array([at[w] for w in words], dtype=np.uint64)
+    k = min(k, len(own))
+    out = np.zeros(len(own) - k + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(k):
+            out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + own[i : len(own) - k + 1 + i]
+        out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return np.unique(out ^ (out >> np.uint64(32)))
+
+
+def parts(own: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Cells (signed) of the SimHash fingerprints of a shingle set's parts.
+
+    Hashes deal shingles to parts, so equal shingles of two texts are in equal
+    parts. There are 4 to 16 parts by the number of shingles; of longer texts every
+    second, fourth, ... shingle, by hash, is looked at, so that a part has 3 to 6 of
+    them at any length. Texts near the end of a size class have cells in the next
+    one as well. Parts that no edit touched have equal fingerprints: distance 0.
     """
-    found = _classes(docs, k, distance).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.groupBy("doc_id", "component").agg(F.min("fp").alias("fp")).select(_row_key("doc_id", "fp").alias("__key"))
-    marked = docs.withColumn("__key", _row_key("doc_id", fingerprint_of(text_of(), k)))
-    return marked.join(keep, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)  # both lie by key: one shuffle
+    out, n = [], len(own)
+    level = max(0, (n // PART_SHINGLES).bit_length() - 1)
+    top = PART_SHINGLES << (level + 1)
+    for g in (level, level + 1) if n <= top and n > similarity * top - 1 else (level,):
+        count = min(max(1 << g, LEAST_PARTS), PARTS)
+        some = own[(own >> np.uint64(8)) & np.uint64((1 << max(0, g - 4)) - 1) == 0]
+        part = (some & np.uint64(count - 1)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        part, some = part[order], some[order]
+        if not len(part):
+            continue
+        new = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        size = np.diff(np.concatenate([new, [len(part)]]))
+        bits = np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, new, axis=0, dtype=np.int64)
+        prints = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
+        with np.errstate(over="ignore"):
+            cell = (prints ^ np.uint64(g << 8)) * np.uint64(0x9E3779B97F4A7C15) + part[new].astype(np.uint64)
+            out.append((cell ^ (cell >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
+    return np.concatenate(out).view(np.int64) if out else np.zeros(0, dtype=np.int64)
+
+
+SET = "struct<id:bigint,n:int,cells:array<bigint>>"
+
+
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]).astype("i4")), pa.array(flat.view(np.int64)))
+
+
+def shingle_set(text: Column, k: int = SHINGLE, similarity: float = SIMILARITY) -> Column:
+    """SET of a text: a hash of its shingle set, how many there are and the cells. A text without words has id 0."""
+
+    @arrow_udf(SET)
+    def sets(texts: pa.Array) -> pa.Array:
+        own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
+        ids = np.array([xxhash.xxh64_intdigest(x.tobytes()) if len(x) else 0 for x in own], dtype=np.uint64).view(np.int64)
+        columns = [pa.array(ids), pa.array([len(x) for x in own], pa.int32()), _lists([parts(x, similarity) for x in own])]
+        return pa.StructArray.from_arrays(columns, names=["id", "n", "cells"])
+
+    return sets(text)
 
 
-def _row_key(doc_id: str, fp: Column | str) -> Column:
-    """One key for a doc_id, null or not, and a fingerprint."""
-    return F.concat_ws(":", F.col(doc_id).cast("string"), F.lit("fp"), (F.col(fp) if isinstance(fp, str) else fp).cast("string"))
+def shingles_of(text: Column, k: int = SHINGLE) -> Column:
+    """The sorted distinct shingles of a text, as signed longs."""
+
+    @arrow_udf("array<bigint>")
+    def own(texts: pa.Array) -> pa.Array:
+        return _lists([shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()])
+
+    return own(text)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The pairs (u, v) of set ids whose shingles have that Jaccard similarity or more. sets: id, n, shingles.
+
+    A set that is in very many pairs is sent to several tasks, each with a share of them.
+    """
+    own = pairs.select("u", "v").distinct()
+    fans = own.groupBy("v").agg((F.count("*") / FAN).cast("int").alias("fan"))  # one row a set
+    dealt = own.join(fans, "v").withColumn("salt", F.pmod(F.xxhash64("u"), F.col("fan") + 1).cast("int"))
+    second = sets.join(fans, F.col("id") == F.col("v")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("fan")))).select("v", "salt", F.col("shingles").alias("s2"), F.col("n").alias("n2"))
+    first = sets.select(F.col("id").alias("u"), F.col("shingles").alias("s1"), F.col("n").alias("n1"))
+    both = dealt.join(first, "u").join(second, ["v", "salt"])
+    shared = F.size(F.array_intersect("s1", "s2"))
+    return both.filter(shared >= similarity * (F.col("n1") + F.col("n2") - shared)).select("u", "v")
+
+
+def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY) -> DataFrame:
+    """(id, class) of the distinct sets that have a near copy; class is the smallest id reachable.
+
+    ids has (id, n, cells) of each set once; ``read`` gets (id) of those that share a cell
+    with another one and gives (id, n, shingles).
+
+    Sets in a cell are tried against its smallest one (linear). Of those that
+    still share a cell with another class the rarest shingles are paired: two sets
+    with that similarity share one of the n - ceil(similarity * n) + 1 shingles of
+    either that are rarest there, so no link within a cell's sets is lost, and
+    what many unlike texts have in common makes no pairs.
+    """
+    sized = (F.col("n") >= similarity * F.col("n2")) & (F.col("n2") >= similarity * F.col("n"))
+    cells = stored(ids.filter("n > 0").select("id", "n", F.explode("cells").alias("cell")))
+    least = cells.groupBy("cell").agg(F.min(F.struct("id", "n")).alias("l"), F.count("*").alias("many")).filter("many > 1").select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"))
+    crowded = stored(cells.join(least, "cell"))
+    dropped(cells)
+    sets = stored(read(crowded.select("id").distinct()))
+    stars = verified(crowded.filter((F.col("id") != F.col("v")) & sized).select(F.col("id").alias("u"), "v"), sets, similarity)
+    first = stored(components(stars))
+
+    labelled = crowded.join(first, F.col("id") == F.col("node"), "left").select("cell", "id", F.coalesce("component", "id").alias("comp"))
+    mixed = labelled.groupBy("cell").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("cell")
+    left = stored(labelled.join(mixed, "cell", "left_semi").select("id", "comp").distinct())
+    dropped(crowded)
+    each = sets.join(left, "id").select("id", "n", "comp", F.explode("shingles").alias("h"))
+    each = stored(each)
+    often = each.groupBy("h").agg(F.count("*").alias("df"), F.min("comp").alias("a"), F.max("comp").alias("b"))
+    ranked = each.join(often, "h").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "h")))
+    prefix = stored(ranked.filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("a") < F.col("b"))).select("h", "id", "n", "comp"))
+    right = prefix.select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    across = prefix.join(right, "h").filter((F.col("comp") < F.col("comp2")) & sized).select(F.col("id").alias("u"), F.col("id2").alias("v"))
+    links = verified(across, sets, similarity)
+    names = first.withColumnsRenamed({"node": "id", "component": "comp"})
+    of = lambda c, to: F.coalesce(F.col(c), F.col(to))
+    left_named = links.join(names.select(F.col("id").alias("u"), F.col("comp").alias("cu")), "u", "left").join(names.select(F.col("id").alias("v"), F.col("comp").alias("cv")), "v", "left")
+    more = components(left_named.select(of("cu", "u").alias("u"), of("cv", "v").alias("v")))
+    whole = names.join(more, F.col("comp") == F.col("node"), "left").select("id", F.coalesce("component", "comp").alias("class"))
+    single = more.join(names.select(F.col("comp").alias("node")), "node", "left_anti").select(F.col("node").alias("id"), F.col("component").alias("class"))
+    out = stored(whole.unionByName(single))
+    for table in (sets, first, left, each, prefix):
+        dropped(table)
+    return out
+
+
+def deduplicated(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of near copies: the smallest doc_id's, with all columns, whatever their names.
+
+    Texts are near copies if their sets of ``k``-word shingles have that Jaccard
+    similarity; groups are what such links connect. Texts without words (null,
+    empty, white space) are copies of each other; of rows that repeat or share a
+    doc_id one stays, and a null doc_id only stays where the group has no other. An
+    empty table gives an empty one. Texts are taken whole, at any length.
+    """
+    small_batches(docs.sparkSession)
+    own = docs.select(F.struct("*").alias("row")).select("row", F.monotonically_increasing_id().alias("at"), shingle_set(F.coalesce("row.text", F.lit("")), k, similarity).alias("s"))
+    own = stored(own.select("row", "at", "s.*"))  # the places of rows are fixed from here on
+    key = F.struct(F.coalesce(F.col("row.doc_id"), F.lit((1 << 63) - 1)).alias("doc_id"), "at")
+    ids = stored(own.groupBy("id").agg(F.min(key).alias("key"), F.first("n").alias("n"), F.first("cells").alias("cells")))
+
+    def read(some: DataFrame) -> DataFrame:
+        at = ids.join(some, "id").select("key.at")
+        return own.join(at, "at", "left_semi").select("id", "n", shingles_of(F.coalesce("row.text", F.lit("")), k).alias("shingles"))
+
+    classes = near_copy_classes(ids.drop("key"), read, similarity)
+    keep = ids.select("id", "key").join(classes, "id", "left").groupBy(F.coalesce("class", "id").alias("class")).agg(F.min("key").alias("key"))
+    keep = stored(keep.select(F.col("key.at").alias("at")))
+    dropped(ids)
+    return own.join(keep, "at", "left_semi").select("row.*")
