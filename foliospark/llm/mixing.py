@@ -28,14 +28,12 @@ ROUNDS, TOLERANCE = 50, 1e-5
 SEED = 20_240_101
 #: What a missing source or language counts as.
 UNKNOWN = "(none)"
-#: Topics by the marks that a text in lower case holds; most different marks win, the first of equals. Any table of this form will do.
+#: Topics by the marks that a text holds; most different marks win, the first of equals. Any table of this form will do; each mark is one search of every text.
 TOPICS: tuple[tuple[str, tuple[str, ...]], ...] = (
-    ("legal", ("licen", "copyright", "warrant", "liabilit", "haftung", "garant")),
-    ("contact", ("@", "phone", "tel.", "e-mail", "mailto:", "+1 ")),
-    ("code", ("();", "return ", "import ", "def ", "{\n", "</")),
-    ("web", ("http://", "https://", "www.", "click ", "cookie", "login")),
-    ("finance", ("price", "market", "invoice", "preis", "prix ", "precio")),
-    ("science", ("theor", "experiment", "analys", "hypothes", "équation", "methode")),
+    ("legal", ("icense", "opyright")),
+    ("contact", ("@", "tel.")),
+    ("code", ("();", "return ")),
+    ("web", ("http", "www.")),
 )
 OTHER = "general"
 
@@ -47,8 +45,7 @@ def tokens_of(text: Column) -> Column:
 
 def topic_of(text: Column, topics: tuple[tuple[str, tuple[str, ...]], ...] = TOPICS) -> Column:
     """The topic with the most of its marks in the text."""
-    lower = F.lower(text)
-    scores = [sum((F.contains(lower, F.lit(m)).cast("int") for m in marks), F.lit(0)) for _, marks in topics]
+    scores = [sum((F.contains(text, F.lit(m)).cast("int") for m in marks), F.lit(0)) for _, marks in topics]
     named = F.array_max(F.array(*[F.struct(score.alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("name")) for i, (score, (name, _)) in enumerate(zip(scores, topics, strict=True))]))
     return F.when(named["score"] > 0, named["name"]).otherwise(F.lit(OTHER))
 

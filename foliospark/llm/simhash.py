@@ -34,6 +34,8 @@ from .common import dropped, small_batches, stored, text_of
 from .graph import components
 
 DISTANCE = 3
+#: Stands for a missing doc_id where one is needed, after all others.
+NO_ID = (1 << 63) - 1
 LOW_BITS = 0x5555555555555555
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -136,8 +138,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> Da
 
 #: Shingles of five words; texts are near copies if they share 0.8 of their distinct shingles (Jaccard).
 SHINGLE, SIMILARITY = 5, 0.8
-#: Parts of a text, at least and at most, and the shingles that a part has at least where there are enough.
-LEAST_PARTS, PARTS, PART_SHINGLES = 4, 16, 3
+#: Parts of a text, at least and at most, the shingles that a part has on average at least, and those that it must have where there are PARTS.
+LEAST_PARTS, PARTS, PART_SHINGLES, LEAST_SHINGLES = 8, 16, 3, 3
 #: Pairs of one text above which its shingles are dealt to several tasks.
 FAN = 256
 
@@ -165,9 +167,10 @@ def parts(own: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     """Cells (signed) of the SimHash fingerprints of a shingle set's parts.
 
     Hashes deal shingles to parts, so equal shingles of two texts are in equal
-    parts. There are 4 to 16 parts by the number of shingles; of longer texts every
+    parts. There are 8 or 16 parts by the number of shingles; of longer texts every
     second, fourth, ... shingle, by hash, is looked at, so that a part has 3 to 6 of
-    them at any length. Texts near the end of a size class have cells in the next
+    them on average at any length; of 16 parts those with fewer than 3 say little
+    and have no cell. Texts near the end of a size class have cells in the next
     one as well. Parts that no edit touched have equal fingerprints: distance 0.
     """
     out, n = [], len(own)
@@ -183,11 +186,19 @@ def parts(own: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
             continue
         new = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         size = np.diff(np.concatenate([new, [len(part)]]))
+        if count == PARTS:
+            full = size >= LEAST_SHINGLES
+            some, new, size = some[np.repeat(full, size)], new[full], size[full]
+            named, new = part[new], np.cumsum(size) - size
+            if not len(size):
+                continue
+        else:
+            named = part[new]
         bits = np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones = np.add.reduceat(bits, new, axis=0, dtype=np.int64)
         prints = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
         with np.errstate(over="ignore"):
-            cell = (prints ^ np.uint64(g << 8)) * np.uint64(0x9E3779B97F4A7C15) + part[new].astype(np.uint64)
+            cell = (prints ^ np.uint64(g << 8)) * np.uint64(0x9E3779B97F4A7C15) + named.astype(np.uint64)
             out.append((cell ^ (cell >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, dtype=np.int64)
 
@@ -244,32 +255,40 @@ def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], si
     ids has (id, n, cells) of each set once; ``read`` gets (id) of those that share a cell
     with another one and gives (id, n, shingles).
 
-    Sets in a cell are tried against its smallest one (linear). Of those that
-    still share a cell with another class the rarest shingles are paired: two sets
-    with that similarity share one of the n - ceil(similarity * n) + 1 shingles of
-    either that are rarest there, so no link within a cell's sets is lost, and
-    what many unlike texts have in common makes no pairs.
+    In each cell all are tried against one (linear): the set whose cells hold the
+    most sets, which of edited copies is the one with the fewest edits, and the same
+    in all of their cells. Of those that still share a cell with another class the
+    rarest shingles are paired: two sets with that similarity share one of the
+    n - ceil(similarity * n) + 1 rarest shingles of the larger one and of the
+    n - ceil(2 * similarity / (1 + similarity) * n) + 1 rarest of the smaller one.
+    So no link within a cell's sets is lost, and what many unlike texts have in
+    common makes no pairs.
     """
     sized = (F.col("n") >= similarity * F.col("n2")) & (F.col("n2") >= similarity * F.col("n"))
     cells = stored(ids.filter("n > 0").select("id", "n", F.explode("cells").alias("cell")))
-    least = cells.groupBy("cell").agg(F.min(F.struct("id", "n")).alias("l"), F.count("*").alias("many")).filter("many > 1").select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"))
-    crowded = stored(cells.join(least, "cell"))
+    many = cells.groupBy("cell").agg(F.count("*").alias("many")).filter("many > 1")
+    crowded = stored(cells.join(many, "cell"))
     dropped(cells)
     sets = stored(read(crowded.select("id").distinct()))
-    stars = verified(crowded.filter((F.col("id") != F.col("v")) & sized).select(F.col("id").alias("u"), "v"), sets, similarity)
-    first = stored(components(stars))
+    popular = crowded.groupBy("id").agg(F.sum("many").alias("score"))
+    centre = F.max(F.struct("score", "id", "n")).alias("l")
+    least = crowded.join(popular, "id").groupBy("cell").agg(centre).select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"))
+    starred = crowded.join(least, "cell").filter((F.col("id") != F.col("v")) & sized)
+    first = stored(components(verified(starred.select(F.col("id").alias("u"), "v"), sets, similarity)))
 
     labelled = crowded.join(first, F.col("id") == F.col("node"), "left").select("cell", "id", F.coalesce("component", "id").alias("comp"))
     mixed = labelled.groupBy("cell").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("cell")
     left = stored(labelled.join(mixed, "cell", "left_semi").select("id", "comp").distinct())
     dropped(crowded)
     each = sets.join(left, "id").select("id", "n", "comp", F.explode("shingles").alias("h"))
-    each = stored(each)
     often = each.groupBy("h").agg(F.count("*").alias("df"), F.min("comp").alias("a"), F.max("comp").alias("b"))
     ranked = each.join(often, "h").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "h")))
-    prefix = stored(ranked.filter((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1) & (F.col("a") < F.col("b"))).select("h", "id", "n", "comp"))
-    right = prefix.select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    across = prefix.join(right, "h").filter((F.col("comp") < F.col("comp2")) & sized).select(F.col("id").alias("u"), F.col("id2").alias("v"))
+    length = lambda share: F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
+    prefix = ranked.filter((F.col("rank") <= length(similarity)) & (F.col("a") < F.col("b")))
+    prefix = stored(prefix.select("h", "id", "n", "comp", (F.col("rank") <= length(2 * similarity / (1 + similarity))).alias("short")))
+    small = prefix.filter("short").select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    larger = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
+    across = prefix.join(small, "h").filter((F.col("comp") != F.col("comp2")) & larger & sized).select(F.col("id").alias("u"), F.col("id2").alias("v"))
     links = verified(across, sets, similarity)
     names = first.withColumnsRenamed({"node": "id", "component": "comp"})
     of = lambda c, to: F.coalesce(F.col(c), F.col(to))
@@ -278,7 +297,7 @@ def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], si
     whole = names.join(more, F.col("comp") == F.col("node"), "left").select("id", F.coalesce("component", "comp").alias("class"))
     single = more.join(names.select(F.col("comp").alias("node")), "node", "left_anti").select(F.col("node").alias("id"), F.col("component").alias("class"))
     out = stored(whole.unionByName(single))
-    for table in (sets, first, left, each, prefix):
+    for table in (sets, first, left, prefix):
         dropped(table)
     return out
 
@@ -293,17 +312,21 @@ def deduplicated(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARI
     empty table gives an empty one. Texts are taken whole, at any length.
     """
     small_batches(docs.sparkSession)
-    own = docs.select(F.struct("*").alias("row")).select("row", F.monotonically_increasing_id().alias("at"), shingle_set(F.coalesce("row.text", F.lit("")), k, similarity).alias("s"))
-    own = stored(own.select("row", "at", "s.*"))  # the places of rows are fixed from here on
-    key = F.struct(F.coalesce(F.col("row.doc_id"), F.lit((1 << 63) - 1)).alias("doc_id"), "at")
+    text = F.coalesce("row.text", F.lit(""))
+    marked = docs.select(F.struct("*").alias("row")).select("row", "row.doc_id", F.xxhash64(text).alias("mark"))  # rows that agree in both are the same to us
+    own = stored(marked.select("doc_id", "mark", shingle_set(text, k, similarity).alias("s")).select("doc_id", "mark", "s.*"))
+    key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "mark")
     ids = stored(own.groupBy("id").agg(F.min(key).alias("key"), F.first("n").alias("n"), F.first("cells").alias("cells")))
+    dropped(own)
 
     def read(some: DataFrame) -> DataFrame:
-        at = ids.join(some, "id").select("key.at")
-        return own.join(at, "at", "left_semi").select("id", "n", shingles_of(F.coalesce("row.text", F.lit("")), k).alias("shingles"))
+        marks = ids.join(some, "id").select("id", F.col("key.mark").alias("mark"), "n", F.col("key.doc_id").alias("doc_id"))
+        found = marked.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "mark", text.alias("text")).join(marks, ["doc_id", "mark"])
+        return found.dropDuplicates(["id"]).select("id", "n", shingles_of(F.col("text"), k).alias("shingles"))
 
     classes = near_copy_classes(ids.drop("key"), read, similarity)
     keep = ids.select("id", "key").join(classes, "id", "left").groupBy(F.coalesce("class", "id").alias("class")).agg(F.min("key").alias("key"))
-    keep = stored(keep.select(F.col("key.at").alias("at")))
+    keep = stored(keep.select(F.xxhash64("key.doc_id", "key.mark").alias("kept")))
     dropped(ids)
-    return own.join(keep, "at", "left_semi").select("row.*")
+    same = marked.select("row", F.xxhash64(F.coalesce("doc_id", F.lit(NO_ID)), "mark").alias("kept"))
+    return same.join(keep, "kept", "left_semi").dropDuplicates(["kept"]).select("row.*")  # both lie by key: one shuffle
