@@ -314,12 +314,26 @@ def spelling_of(stats: DataFrame) -> np.ndarray:
     return np.log((n + kinds * base) / (n.sum(axis=1, keepdims=True) + kinds))
 
 
-def _found(keys: np.ndarray, weights: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(whether a key is there, its weight)."""
-    if not len(keys):
-        return np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
-    i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return keys[i] == wanted, weights[i]
+class Table:
+    """Weights by key; a bitmap of the keys' upper bits tells most others apart at once."""
+
+    def __init__(self, keys: np.ndarray, weights: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.weights = keys[order], weights[order]
+        bits = max(8, (16 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, dtype=bool)
+        self.maybe[(keys >> self.shift).astype(np.int64)] = True
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``wanted`` of keys that are there, their weights)."""
+        at = np.flatnonzero(self.maybe[(wanted >> self.shift).astype(np.int64)])
+        if not len(at):
+            return at, np.zeros(0)
+        own = wanted[at]
+        i = np.minimum(np.searchsorted(self.keys, own), len(self.keys) - 1)
+        same = self.keys[i] == own
+        return at[same], self.weights[i[same]]
 
 
 TRAVEL = "shard int, kind int, key bigint, weight double, refs binary, sizes binary, keys binary, less binary, base binary"
@@ -335,6 +349,7 @@ def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: n
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, weights, letters = shared.value
+        hot = Table(keys, weights)
         with np.errstate(over="ignore"):
             for nth, batch in enumerate(batches):
                 refs = np.asarray(batch.column("ref"))
@@ -342,17 +357,20 @@ def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: n
                 doc = np.repeat(np.arange(len(refs)), own.size)
                 plain = own.spelled(letters)[own.seq] + np.asarray(batch.column("unknown"))[doc]
                 plain[own.starts] = 0.0
-                at = np.flatnonzero(~own.starts)
-                inner = at[~own.starts[at - 1]]
                 w = own.words
-                wanted = np.concatenate([key_of(w), key_of(w[at - 1], w[at]), key_of(w[inner - 2], w[inner - 1], w[inner])])
-                of = np.concatenate([doc, doc[at], doc[inner]])
-                less = np.concatenate([plain, np.zeros(len(at) + len(inner))])
-                there, weight = _found(keys, weights, wanted)
-                known = np.bincount(doc, weights=plain, minlength=len(refs)) + np.bincount(of[there], weights=(weight - less)[there], minlength=len(refs))
-                wanted, of, less = wanted[~there], of[~there], less[~there].astype(np.float32)
-                shard = (wanted % np.uint64(shards)).astype(np.int64)
-                order = np.lexsort((of, shard))
+                wanted, less = np.empty((len(w), 3), dtype=np.uint64), np.zeros((len(w), 3), dtype=np.float32)
+                wanted[:, 0], wanted[1:, 1], wanted[2:, 2], less[:, 0] = key_of(w), key_of(w[:-1], w[1:]), key_of(w[:-2], w[1:-1], w[2:]), plain
+                within = np.ones((len(w), 3), dtype=bool)
+                within[own.starts, 1:] = False
+                within[1:][own.starts[:-1], 2] = False
+                wanted, less, of = wanted[within], less[within], np.repeat(doc, 3)[within.ravel()]
+                there, weight = hot.find(wanted)
+                known = np.bincount(doc, weights=plain, minlength=len(refs)) + np.bincount(of[there], weights=weight - less[there], minlength=len(refs))
+                rest = np.ones(len(wanted), dtype=bool)
+                rest[there] = False
+                wanted, of, less = wanted[rest], of[rest], less[rest]
+                shard = (wanted % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+                order = np.argsort(shard, kind="stable")  # by shard, then by document
                 wanted, of, less, shard = wanted[order], of[order], less[order], shard[order]
                 ends = np.searchsorted(shard, np.arange(shards + 1))
                 base = np.stack([known, own.size - 1.0, np.ones(len(refs))])
@@ -374,7 +392,7 @@ def met(rows: DataFrame, shards: int) -> DataFrame:
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        keys, weights, stale = np.zeros(0, np.uint64), np.zeros(0), False
+        table, stale = Table(np.zeros(0, np.uint64), np.zeros(0)), False
         for batch in batches:
             kind, keyed = np.asarray(batch.column("kind")), batch.column("key")
             for i, j in zip(*(lambda cuts: (cuts[:-1], cuts[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(kind)) + 1, [len(kind)]])), strict=True):
@@ -386,17 +404,15 @@ def met(rows: DataFrame, shards: int) -> DataFrame:
                     held.append((np.asarray(keyed.slice(i, j - i)).view(np.uint64), np.asarray(batch.column("weight").slice(i, j - i))))
                     continue
                 if stale:
-                    keys, weights = (np.concatenate(x) for x in zip(*held, strict=True))
-                    order = np.argsort(keys)
-                    keys, weights, held, stale = keys[order], weights[order], [], False
+                    table, held, stale = Table(*(np.concatenate(x) for x in zip(*held, strict=True))), [], False
                 columns = [batch.column(c).slice(i, j - i).to_pylist() for c in ("refs", "sizes", "keys", "less", "base")]
                 out = []
                 for refs, sizes, wanted, less, base in zip(*columns, strict=True):
                     refs, sizes = np.frombuffer(refs, dtype=np.int64), np.frombuffer(sizes, dtype=np.uint32)
-                    there, weight = _found(keys, weights, np.frombuffer(wanted, dtype=np.uint64))
-                    value = np.where(there, weight - np.frombuffer(less, dtype=np.float32), 0.0)
+                    there, weight = table.find(np.frombuffer(wanted, dtype=np.uint64))
+                    of = np.searchsorted(np.cumsum(sizes), there, side="right")
                     own = np.zeros((3, len(refs))) if base is None else np.frombuffer(base).reshape(3, -1).copy()
-                    own[0] += np.bincount(np.repeat(np.arange(len(refs)), sizes), weights=value, minlength=len(refs))
+                    own[0] += np.bincount(of, weights=weight - np.frombuffer(less, dtype=np.float32)[there], minlength=len(refs))
                     some = own.any(axis=0)
                     out.append((refs[some], *own[:, some]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["ref", "log_p", "n_tokens", "n_rows"])
@@ -434,7 +450,7 @@ def held_out(known: DataFrame) -> DataFrame:
     The text with the smallest mark of a language is held out and the one with
     the largest is counted, so that any language with two texts has both.
     """
-    ends = known.groupBy("lang").agg(F.min("mark").alias("first"), F.max("mark").alias("last"))  # a row a language
+    ends = stored(known.groupBy("lang").agg(F.min("mark").alias("first"), F.max("mark").alias("last")))  # a row a language
     held = ((F.pmod("mark", F.lit(FOLDS)) == 0) | (F.col("mark") == F.col("first"))) & (F.col("mark") != F.col("last"))
     return known.join(ends, "lang").withColumn("held", held).drop("first", "last")
 
@@ -445,12 +461,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     return own.withColumn("ref", F.xxhash64("id", "mark", "lang"))
 
 
-def trained(full: DataFrame, good: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """model_of and STATS of the trusted texts that aren't held out. full: keyed texts, good: their ids."""
-    counted = held_out(full.join(good, "id", "left_semi")).filter("NOT held").select("lang", "text")
-    n_bytes = counted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """model_of and STATS of trusted texts that aren't held out. full: keyed texts, known: (ref, n_bytes, held) of the trusted ones."""
+    counted = stored(known.filter("NOT held").select("ref", "n_bytes"))
+    n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(full.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // (6 * SHARD_TRIGRAMS)))
-    stats = stored(statistics(counted, shards), large=True)
+    texts = full.join(counted.select("ref").distinct(), "ref", "left_semi").select("lang", "text")
+    stats = stored(statistics(texts, shards), large=True)
+    dropped(counted)
     return *model_of(stats), stats
 
 
@@ -469,20 +487,21 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     own = keyed(docs)
     full = own.filter("text <> ''")
+    facts = stored(own.select("doc_id", "id", "mark", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes")))
     good = trusted.select(F.col("doc_id").alias("id")).filter("id IS NOT NULL").distinct()
-    model, unknown, stats = trained(full, good)
+    known = stored(held_out(facts.filter("n_bytes > 0").join(good, "id", "left_semi")))
+    model, unknown, stats = trained(full, known)
     sums = scored(full.select("ref", "lang", "text"), model, unknown, stats).withColumn("log_p", F.round("log_p", 6))
 
     measured = lambda own, c: F.coalesce(own(F.when(F.col("held"), F.col(c))), own(c))
-    known = stored(held_out(full.join(good, "id", "left_semi").select("mark", "lang", "ref")).join(sums, "ref"))
+    known = stored(known.select("lang", "ref", "held").join(sums, "ref"))
     average = known.groupBy("lang").agg((measured(F.sum, "log_p") / measured(F.sum, "n_tokens")).alias("mean"))  # a row a language
     prior = F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_WORDS)
     score = F.exp(-(F.col("log_p") + F.coalesce("mean", F.lit(0.0)) * prior) / (F.col("n_tokens") + prior))
     quantile = lambda c: F.percentile_approx(c, F.lit(QUANTILE), F.lit(10_000))
     limits = known.join(average, "lang").withColumn("score", score).groupBy("lang").agg(measured(quantile, "score").alias("threshold"), F.first("mean").alias("mean"))
     limits = stored(limits)
-    rows = own.select("doc_id", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes"))
-    judged = rows.join(sums, "ref", "left").join(limits, "lang", "left").withColumn("score", score)
+    judged = facts.join(sums, "ref", "left").join(limits, "lang", "left").withColumn("score", score)
     kept = F.col("score").isNotNull() & (F.col("threshold").isNull() | (F.col("score") <= F.col("threshold")))
     perplexity = F.exp(-F.col("log_p") / F.col("n_tokens"))
     return judged.select("doc_id", "lang", "n_bytes", F.col("n_tokens").cast("long").alias("n_tokens"), perplexity.alias("perplexity"), "score", "threshold", kept.alias("kept"))

@@ -140,6 +140,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> Da
 SHINGLE, SIMILARITY = 5, 0.8
 #: Parts of a text, at least and at most, the shingles that a part has on average at least, and those that it must have where there are PARTS.
 LEAST_PARTS, PARTS, PART_SHINGLES, LEAST_SHINGLES = 8, 16, 3, 3
+#: Longs of a shingle set's sketch.
+SKETCH = 8
 #: Pairs of one text above which its shingles are dealt to several tasks.
 FAN = 256
 
@@ -224,14 +226,21 @@ def shingle_set(text: Column, k: int = SHINGLE, similarity: float = SIMILARITY)
     return sets(text)
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in 64 * SKETCH buckets, as longs. The sketches of two sets differ in no more bits than the sets in shingles."""
+    bucket = (own >> np.uint64(20)).astype(np.int64) % (64 * SKETCH)
+    return np.packbits(np.bincount(bucket, minlength=64 * SKETCH) & 1, bitorder="little").view(np.int64)
+
+
 def shingles_of(text: Column, k: int = SHINGLE) -> Column:
-    """The sorted distinct shingles of a text, as signed longs."""
+    """Struct (shingles, sketch) of a text: its sorted distinct shingles as signed longs."""
 
-    @arrow_udf("array<bigint>")
-    def own(texts: pa.Array) -> pa.Array:
-        return _lists([shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()])
+    @arrow_udf("struct<shingles:array<bigint>,sketch:array<bigint>>")
+    def sets(texts: pa.Array) -> pa.Array:
+        own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
+        return pa.StructArray.from_arrays([_lists(own), _lists([sketch(x) for x in own])], names=["shingles", "sketch"])
 
-    return own(text)
+    return sets(text)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -253,7 +262,7 @@ def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], si
     """(id, class) of the distinct sets that have a near copy; class is the smallest id reachable.
 
     ids has (id, n, cells) of each set once; ``read`` gets (id) of those that share a cell
-    with another one and gives (id, n, shingles).
+    with another one and gives (id, n, shingles, sketch).
 
     In each cell all are tried against one (linear): the set whose cells hold the
     most sets, which of edited copies is the one with the fewest edits, and the same
@@ -262,7 +271,8 @@ def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], si
     n - ceil(similarity * n) + 1 rarest shingles of the larger one and of the
     n - ceil(2 * similarity / (1 + similarity) * n) + 1 rarest of the smaller one.
     So no link within a cell's sets is lost, and what many unlike texts have in
-    common makes no pairs.
+    common makes no pairs. Sketches bound the difference of two sets from below, so
+    that hardly any pairs but links leave the join.
     """
     sized = (F.col("n") >= similarity * F.col("n2")) & (F.col("n2") >= similarity * F.col("n"))
     cells = stored(ids.filter("n > 0").select("id", "n", F.explode("cells").alias("cell")))
@@ -280,15 +290,17 @@ def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], si
     mixed = labelled.groupBy("cell").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("cell")
     left = stored(labelled.join(mixed, "cell", "left_semi").select("id", "comp").distinct())
     dropped(crowded)
-    each = sets.join(left, "id").select("id", "n", "comp", F.explode("shingles").alias("h"))
+    each = sets.join(left, "id").select("id", "n", "comp", "sketch", F.explode("shingles").alias("h"))
     often = each.groupBy("h").agg(F.count("*").alias("df"), F.min("comp").alias("a"), F.max("comp").alias("b"))
     ranked = each.join(often, "h").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "h")))
     length = lambda share: F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
     prefix = ranked.filter((F.col("rank") <= length(similarity)) & (F.col("a") < F.col("b")))
-    prefix = stored(prefix.select("h", "id", "n", "comp", (F.col("rank") <= length(2 * similarity / (1 + similarity))).alias("short")))
-    small = prefix.filter("short").select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    prefix = stored(prefix.select("h", "id", "n", "comp", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)], (F.col("rank") <= length(2 * similarity / (1 + similarity))).alias("short")))
+    small = prefix.filter("short").select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
+    apart = sum((_differing(f"s{i}", f"t{i}") for i in range(SKETCH)), F.lit(0))
+    bound = apart <= (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("n2")) + 1e-9
     larger = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
-    across = prefix.join(small, "h").filter((F.col("comp") != F.col("comp2")) & larger & sized).select(F.col("id").alias("u"), F.col("id2").alias("v"))
+    across = prefix.join(small, "h").filter((F.col("comp") != F.col("comp2")) & larger & sized & bound).select(F.col("id").alias("u"), F.col("id2").alias("v"))
     links = verified(across, sets, similarity)
     names = first.withColumnsRenamed({"node": "id", "component": "comp"})
     of = lambda c, to: F.coalesce(F.col(c), F.col(to))
@@ -322,7 +334,7 @@ def deduplicated(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARI
     def read(some: DataFrame) -> DataFrame:
         marks = ids.join(some, "id").select("id", F.col("key.mark").alias("mark"), "n", F.col("key.doc_id").alias("doc_id"))
         found = marked.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "mark", text.alias("text")).join(marks, ["doc_id", "mark"])
-        return found.dropDuplicates(["id"]).select("id", "n", shingles_of(F.col("text"), k).alias("shingles"))
+        return found.dropDuplicates(["id"]).select("id", "n", shingles_of(F.col("text"), k).alias("s")).select("id", "n", "s.*")
 
     classes = near_copy_classes(ids.drop("key"), read, similarity)
     keep = ids.select("id", "key").join(classes, "id", "left").groupBy(F.coalesce("class", "id").alias("class")).agg(F.min("key").alias("key"))
