@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from .common import dropped, small_batches, stored, text_of
@@ -123,6 +124,23 @@ class Read:
         return np.where(size > 0, steps[at + size + 1] - steps[at], 0.0)
 
 
+def _packed(hashes: np.ndarray, names: list[np.ndarray], n: np.ndarray) -> bytes:
+    """Trigrams of a batch's names with their counts: a table of the hashes that occur, then places in it."""
+    used, at = np.unique(np.concatenate(names), return_inverse=True)
+    kind = np.uint16 if len(used) <= 1 << 16 else np.uint32
+    head = np.array([len(used), len(n)], dtype=np.uint32)
+    return b"".join([head.tobytes(), hashes[used].tobytes(), n.astype(np.uint32).tobytes(), at.astype(kind).tobytes()])
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
+    """(a, b, c, n) of ``_packed`` trigrams, word hashes and counts."""
+    used, k = (int(x) for x in np.frombuffer(blob, dtype=np.uint32, count=2))
+    hashes = np.frombuffer(blob, dtype=np.uint64, count=used, offset=8)
+    n = np.frombuffer(blob, dtype=np.uint32, count=k, offset=8 + 8 * used).astype(np.int64)
+    at = np.frombuffer(blob, dtype=np.uint16 if used <= 1 << 16 else np.uint32, offset=8 + 8 * used + 4 * k)
+    return *hashes[at].reshape(3, k), n
+
+
 def _once(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct trigrams with their counts, sorted by the pair (b, c)."""
     pair, three = key_of(b, c), key_of(a, b, c)
@@ -149,13 +167,15 @@ def trigrams(texts: DataFrame, shards: int) -> DataFrame:
                     spelling += np.bincount(letters[:-1] << 8 | letters[1:], minlength=1 << 16)
                     at = np.flatnonzero(~own.starts)
                     before = np.where(own.starts[at - 1], at - 1, at - 2)
-                    a, b, c, n = _once(own.words[before], own.words[at - 1], own.words[at], np.ones(len(at), np.int64))
-                    shard = (key_of(b, c) % np.uint64(shards)).astype(np.int64)
-                    order = np.lexsort((b, shard))
+                    places = np.stack([before, at - 1, at])
+                    _, some, n = np.unique(key_of(*own.words[places]), return_index=True, return_counts=True)
+                    places = places[:, some]
+                    shard = (key_of(own.words[places[1]], own.words[places[2]]) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+                    order = np.argsort(shard, kind="stable")
                     ends = np.searchsorted(shard[order], np.arange(shards + 1))
                     for s in np.flatnonzero(np.diff(ends)):
                         k = order[ends[s] : ends[s + 1]]
-                        out.append((int(s), lang, b"".join(x[k].tobytes() for x in (a, b, c)) + n[k].astype(np.uint32).tobytes()))
+                        out.append((int(s), lang, _packed(own.hashes, list(own.seq[places[:, k]]), n[k])))
                 out.append((nth % shards, None, spelling.tobytes()))
                 for i in range(0, len(out), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 64], strict=True), (pa.int32(), pa.string(), pa.binary()), strict=True)], names=["shard", "lang", "blob"])
@@ -208,10 +228,8 @@ def statistics(texts: DataFrame, shards: int) -> DataFrame:
                     if lang is None:
                         spelling += np.frombuffer(blob, dtype=np.int64)
                         continue
-                    k = len(blob) // 28
-                    words = [np.frombuffer(blob, dtype=np.uint64, count=k, offset=8 * k * i) for i in range(3)]
                     own = held.setdefault(lang, [])
-                    own.append((*words, np.frombuffer(blob, dtype=np.uint32, offset=24 * k).astype(np.int64)))
+                    own.append(_unpacked(blob))
                     if sum(len(x[0]) for x in own[1:]) > max(SHARD_TRIGRAMS, len(own[0][0])):
                         held[lang] = [join(own)]
             for lang in sorted(held):
@@ -234,7 +252,7 @@ def discount(n: Column, often: list[Column]) -> Column:
     return F.when(n == 1, one).when(n == 2, two).otherwise(three)
 
 
-@arrow_udf("long")
+@arrow_udf(T.LongType())
 def _key(x: pa.Array, y: pa.Array, z: pa.Array, n: pa.Array) -> pa.Array:
     words = [np.asarray(c).view(np.uint64) for c in (x, y, z)]
     with np.errstate(over="ignore"):
@@ -439,7 +457,7 @@ def scored(texts: DataFrame, model: DataFrame, unknown: DataFrame, stats: DataFr
     return done
 
 
-@arrow_udf("int")
+@arrow_udf(T.IntegerType())
 def _shard(key: pa.Array, shards: pa.Array) -> pa.Array:
     return pa.array((np.asarray(key).view(np.uint64) % np.asarray(shards).astype(np.uint64)).astype(np.int32))
 
@@ -466,9 +484,10 @@ def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, Da
     counted = stored(known.filter("NOT held").select("ref", "n_bytes"))
     n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(full.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // (6 * SHARD_TRIGRAMS)))
-    texts = full.join(counted.select("ref").distinct(), "ref", "left_semi").select("lang", "text")
+    texts = stored(full.join(counted.select("ref").distinct(), "ref", "left_semi").select("lang", "text"), large=True)
     stats = stored(statistics(texts, shards), large=True)
     dropped(counted)
+    dropped(texts)
     return *model_of(stats), stats
 
 
