@@ -44,7 +44,7 @@ LEAST = 2
 #: Documents are scored in so many parts, one after the other.
 SLICES = 4
 #: N-grams that every task gets, trusted trigrams of a shard, and keys of a shard: all bound what a task holds.
-HOT, SHARD_TRIGRAMS, SHARD_KEYS = 1 << 18, 1 << 21, 1 << 21
+HOT, SHARD_TRIGRAMS, SHARD_KEYS = 1 << 17, 1 << 20, 1 << 21
 NO_ID, NO_LANG = -(1 << 63), "(none)"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 MARKS = tuple(bytes([c]) for c in b".,;:!?|()\"")
@@ -164,7 +164,10 @@ def trigrams(texts: DataFrame, shards: int) -> DataFrame:
                 for lang in sorted(set(langs)):
                     own = Read([raw[i] for i in np.flatnonzero(langs == lang)], [lang] * int((langs == lang).sum()))
                     letters = np.frombuffer(b" " + b" ".join(own.names[2:]) + b" ", dtype=np.uint8).astype(np.int64)
-                    spelling += np.bincount(letters[:-1] << 8 | letters[1:], minlength=1 << 16)
+                    once = np.unique(np.repeat(np.arange(len(own.size)), own.size) << 32 | own.seq) & 0xFFFFFFFF  # each word once a text
+                    times = np.bincount(once, minlength=len(own.names))[2:]
+                    each = np.repeat(times, [len(w) + 1 for w in own.names[2:]]) if len(times) else np.zeros(1)
+                    spelling += np.bincount(letters[:-1] << 8 | letters[1:], weights=each, minlength=1 << 16).astype(np.int64)
                     at = np.flatnonzero(~own.starts)
                     before = np.where(own.starts[at - 1], at - 1, at - 2)
                     places = np.stack([before, at - 1, at])
@@ -354,7 +357,37 @@ class Table:
         return at[same], self.weights[i[same]]
 
 
-TRAVEL = "shard int, kind int, key bigint, weight double, refs binary, sizes binary, keys binary, less binary, base binary"
+TRAVEL = "shard int, kind int, refs binary, sizes binary, keys binary, less binary, base binary"
+#: Keys of the model that travel in one row.
+TOGETHER = 1 << 16
+NAMES = [f.split()[0] for f in TRAVEL.split(", ")]
+
+
+def packed(model: DataFrame, shards: int) -> DataFrame:
+    """The model (key, weight) as TRAVEL rows of kind 0: keys, and weights in ``less``, of one shard."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys, weights = (np.concatenate(x) for x in zip(*held, strict=True))
+            shard = (keys % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard, kind="stable")
+            ends = np.searchsorted(shard[order], np.arange(shards + 1))
+            cuts = [(int(s), order[i : min(i + TOGETHER, ends[s + 1])]) for s in np.flatnonzero(np.diff(ends)) for i in range(ends[s], ends[s + 1], TOGETHER)]
+            none = pa.nulls(len(cuts), pa.binary())
+            own = [pa.array([x[k].tobytes() for _, k in cuts], pa.binary()) for x in (keys, weights)]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in cuts], pa.int32()), pa.array([0] * len(cuts), pa.int32()), none, none, *own, none], names=NAMES)
+            held.clear()
+
+        for batch in batches:
+            held.append((np.asarray(batch.column("key")).view(np.uint64), np.asarray(batch.column("weight")).astype(np.float32)))
+            if sum(len(x[0]) for x in held) >= 16 * TOGETHER:
+                yield from out()
+        if sum(len(x[0]) for x in held):
+            yield from out()
+
+    return model.select("key", "weight").mapInArrow(rows, TRAVEL)
 
 
 def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: np.ndarray, shards: int) -> DataFrame:
@@ -398,28 +431,29 @@ def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: n
                     k = slice(ends[s], ends[s + 1])
                     size = np.bincount(of[k], minlength=len(refs))
                     some = size > 0 if s != first else np.ones(len(refs), dtype=bool)
-                    out.append((int(s), 1, None, None, refs[some].tobytes(), size[some].astype(np.uint32).tobytes(), wanted[k].tobytes(), less[k].tobytes(), base.tobytes() if s == first else None))
-                types = (pa.int32(), pa.int32(), pa.int64(), pa.float64(), *[pa.binary()] * 5)
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=[f.split()[0] for f in TRAVEL.split(", ")])
+                    out.append((int(s), 1, refs[some].tobytes(), size[some].astype(np.uint32).tobytes(), wanted[k].tobytes(), less[k].tobytes(), base.tobytes() if s == first else None))
+                types = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=NAMES)
 
     return texts.select("ref", "lang", "text", "unknown").mapInArrow(rows, TRAVEL)
 
 
 def met(rows: DataFrame, shards: int) -> DataFrame:
-    """(ref, log_p, n_tokens, n_rows) from TRAVEL rows of documents and of the model (kind 0, key and weight), shard by shard; still to be summed by ref."""
+    """(ref, log_p, n_tokens, n_rows) from TRAVEL rows of documents and of the model, shard by shard; still to be summed by ref."""
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         table, stale = Table(np.zeros(0, np.uint64), np.zeros(0)), False
         for batch in batches:
-            kind, keyed = np.asarray(batch.column("kind")), batch.column("key")
+            kind = np.asarray(batch.column("kind"))
             for i, j in zip(*(lambda cuts: (cuts[:-1], cuts[1:]))(np.concatenate([[0], np.flatnonzero(np.diff(kind)) + 1, [len(kind)]])), strict=True):
                 if i == j:
                     continue
                 if kind[i] == 0:
                     if not stale:  # a new shard begins: the one before is done with
                         held, stale = [], True
-                    held.append((np.asarray(keyed.slice(i, j - i)).view(np.uint64), np.asarray(batch.column("weight").slice(i, j - i))))
+                    both = (batch.column(c).slice(i, j - i).to_pylist() for c in ("keys", "less"))
+                    held += [(np.frombuffer(k, dtype=np.uint64), np.frombuffer(w, dtype=np.float32)) for k, w in zip(*both, strict=True)]
                     continue
                 if stale:
                     table, held, stale = Table(*(np.concatenate(x) for x in zip(*held, strict=True))), [], False
@@ -440,28 +474,24 @@ def met(rows: DataFrame, shards: int) -> DataFrame:
 
 
 def scored(texts: DataFrame, model: DataFrame, unknown: DataFrame, stats: DataFrame) -> DataFrame:
-    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one."""
+    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one. The tables of model and stats are removed."""
     spark = texts.sparkSession
     hot, spelling = most_frequent(model), spelling_of(stats)
+    dropped(stats)
     shards = max(2 * spark.sparkContext.defaultParallelism, -(-model.count() // SHARD_KEYS))
-    none = lambda *kinds: [F.lit(None).cast(k) for k in kinds]
-    part = F.pmod("key", F.lit(shards)) if shards & (shards - 1) == 0 else _shard("key", F.lit(shards))
-    own = model.select(part.cast("int"), F.lit(0), "key", "weight", *none(*["binary"] * 5))
+    own = stored(packed(model, shards), large=True)
+    dropped(model)
     known = texts.join(unknown, "lang", "left").withColumn("unknown", F.coalesce("unknown", F.lit(0.0)))
     done = None
     for nth in range(SLICES):
         slice_ = travelling(known.filter(F.pmod("ref", F.lit(SLICES)) == nth), hot, spelling, shards)
-        sums = met(own.toDF(*slice_.columns).unionByName(slice_), shards).groupBy("ref").agg(F.sum("log_p").alias("log_p"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_rows").alias("n"))
+        sums = met(own.unionByName(slice_), shards).groupBy("ref").agg(F.sum("log_p").alias("log_p"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_rows").alias("n"))
         table = stored(sums.select("ref", (F.col("log_p") / F.col("n")).alias("log_p"), (F.col("n_tokens") / F.col("n")).alias("n_tokens")), large=True)
         done = table if done is None else done.unionByName(table)
+    dropped(own)
     return done
 
 
-@arrow_udf(T.IntegerType())
-def _shard(key: pa.Array, shards: pa.Array) -> pa.Array:
-    return pa.array((np.asarray(key).view(np.uint64) % np.asarray(shards).astype(np.uint64)).astype(np.int32))
-
-
 def held_out(known: DataFrame) -> DataFrame:
     """``known`` (mark, lang, ...) with held: whether a text is in the fold that is measured and not counted.
 
@@ -503,7 +533,7 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     A missing language is one. Equal texts of a language score equally but for
     rounding, repeated rows as one.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, 8000, 8 << 20)  # n-grams of many documents travel together
     own = keyed(docs)
     full = own.filter("text <> ''")
     facts = stored(own.select("doc_id", "id", "mark", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes")))
