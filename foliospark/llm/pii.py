@@ -125,8 +125,8 @@ def apart(found: DataFrame) -> DataFrame:
 
 
 def patterns_of(one: Column, two: Column) -> Column:
-    """The patterns of a match's context: both words, and the nearer one alone, in lower case with digits as 0."""
-    plain = lambda c: F.regexp_replace(F.lower(c), "[0-9]", "0")
+    """The patterns of a match's context: both words, and the nearer one alone, in lower case with runs of digits as 0."""
+    plain = lambda c: F.regexp_replace(F.lower(c), "[0-9]+", "0")
     return F.array_compact(F.array(F.concat(plain(two), F.lit(" "), plain(one)), plain(one)))
 
 

@@ -54,7 +54,7 @@ RULES = (
     Rule("assign", rf"({_NAMES})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}"),
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN (?:(?!PRIVATE KEY-----)[A-Z]++ )*+PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abpr]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),

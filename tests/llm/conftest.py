@@ -25,6 +25,20 @@ def rows():
     return out
 
 
+#: Names that operators use for columns of their own.
+CLASHES = (
+    "__key", "__id", "__mark", "__spans", "__counts", "__pattern", "__topic", "__tokens", "__weight", "token_ids", "row", "id", "counts", "votes", "posterior", "base_failed",
+    "selected", "weight", "probability", "tokens", "masked", "at", "s", "n", "cells", "pattern", "rules", "ref", "score", "threshold",
+)
+
+
+@pytest.fixture(scope="session")
+def clashing(spark):
+    """The rows with such columns, a value of its own in each."""
+    own = [(*r, *(f"{c} of {r[0]}" for c in CLASHES)) for r in rows()]
+    return spark.createDataFrame(own, SCHEMA + "".join(f", {c} string" for c in CLASHES)).repartition(3)
+
+
 @pytest.fixture(scope="session")
 def docs(spark):
     return spark.createDataFrame(rows(), SCHEMA).repartition(3)

@@ -60,6 +60,18 @@ def test_trigram_queries_admit_every_match():
     assert secrets.trigram_query("(?:abc|abd)e+fgh") == [["abc", "fgh"], ["abd", "fgh"]]
 
 
+def test_added_spans_of_secrets(spark):
+    texts = {
+        "github": f"x ghp_{'a' * 40} y", "slack": "xoxb-123456789012-abc", "google": "k AIza" + "b" * 35, "bearer": "Authorization: Bearer abcdefghijklmnop.qrs",
+        "private_key": f"-----BEGIN {'LONG NAME OF A ' * 9}PRIVATE KEY-----\nabc", "jwt": "eyJabcdefgh.eyJabcdefgh.sig",
+    }
+    rows = [*texts.values(), "ghp_short xoxb-1 AIza bearer short -----BEGIN CERTIFICATE-----", None]
+    got = {r["doc_id"]: {s["kind"] for s in r["spans"]} for r in secrets.find_secrets(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    for i, kind in enumerate(texts):
+        assert kind in got[i], kind
+    assert got[len(texts)] == got[len(texts) + 1] == set()
+
+
 def test_tokens_of_any_length(spark):
     a, b, c = "eyJ" + "a" * 9000, "eyJ" + "bc_-" * 50_000, "sig-_9"
     texts = [f"x {a}.{b}.{c} y", f"__{a}.eyJabcdefgh.{c}", f"eyJshort.eyJabcdefgh.{c}", f"eyJabcdefgh.XeyJ{'d' * 5000}.eyJabcdefgh.{c}.eyJ", "eyJ" * 300_000, "no token"]
@@ -607,6 +619,90 @@ def test_contexts_find_unseen_identifiers(spark):
     assert masked[0] == "please write to [EMAIL] today" and masked[8] == "please write to [LIKE_EMAIL] today" and masked[9] == odd[1]
 
 
+def plain_context(x, start):
+    """The two words before the word that holds a place, the nearer one first."""
+    words = [m for m in re.finditer(r"[^\x20\x09-\x0D]+", x) if m.start() <= start]
+    before = [m[0] for m in words[:-1]]
+    return (before[-1] if before else None, before[-2] if len(before) > 1 else None)
+
+
+def test_contexts_are_the_words_of_the_text(spark):
+    rnd = np.random.default_rng(4)
+    bits = ["ref", "12", "ab", "call", "ext2:", "7435553824", "x9(at)y", "bob@x.example.com", "(amy@y.org,", "10.0.0.1", "+1 (743) 555-3824", "4111 1111 1111 1111", "a" * 70, "é", "1234"]
+    texts = ["".join(x for w in rnd.choice(bits, rnd.integers(1, 30)) for x in (w, rnd.choice([" ", "\n", "  ", "\t "]))) for _ in range(300)]
+    got = defaultdict(set)
+    for r in pii.matches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        got[r["id"]].add((r["kind"], r["start"], r["end"], r["one"], r["two"]))
+    for i, x in enumerate(texts):
+        found = [(k, a, b) for a, _, b, k in base_personal(x)]
+        found += [("word", m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", x) if len(DIGITS(m[0])) >= pii.LEAST_DIGITS]
+        assert got[i] == {(k, a, b, *plain_context(x, a)) for k, a, b in found}, x
+
+
+def test_digits_in_the_context(spark):
+    rows = [f"ref 12 mail user{i}@mail{i}.example.com now" for i in range(8)] + ["ref 12 mail user99(at)mail1234 now", "ref 7 mail nobody now"]
+    rows += [f"call ext{i}: +1 743 555 38{i:02} soon" for i in range(10, 20)] + ["call ext2: 7435553824 soon"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    spans = {r["doc_id"]: [(s["kind"], rows[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in pii.spans_by_row(docs).collect()}
+    assert spans[8] == [("like_email", "user99(at)mail1234")] and spans[9] == []
+    assert spans[20] == [("like_phone", "7435553824")]
+
+
+def plain_scores(edges, kind):
+    """Trusted patterns of one kind by plain rounds over (pattern, kind, instance) edges."""
+    edges = set(edges)
+    seeds = Counter(p for p, k, _ in edges if k == kind)
+    own = {p for p, n in seeds.items() if n >= pii.SUPPORT}
+    linked = [(p, k, m) for p, k, m in edges if p in own]
+    belief = defaultdict(float, {m: 1.0 for _, k, m in linked if k == kind})
+    score = {}
+    for _ in range(pii.ROUNDS):
+        score = {p: sum(belief[m] for q, _, m in linked if q == p) / (1 + sum(q == p for q, *_ in linked)) for p in own}
+        for m in {m for *_, m in linked}:
+            if not any(k == kind for _, k, x in linked if x == m):
+                belief[m] = 1 - float(np.prod([1 - min(score[p], 0.999) for p, _, x in linked if x == m]))
+    return {p: s for p, s in score.items() if s >= pii.TRUST}
+
+
+def test_scores_of_patterns(spark):
+    rnd = np.random.default_rng(6)
+    edges = [(f"p{rnd.integers(8)}", str(rnd.choice(["email", "email", "email", "email", "phone", "word"])), f"m{rnd.integers(60)}") for _ in range(260)]
+    kind_of = {}
+    edges = [(p, kind_of.setdefault(m, k), m) for p, k, m in edges]  # an instance has one kind
+    edges += [("q", "email", f"e{i}") for i in range(9)] + [("q", "word", "w1"), ("r", "word", "w1"), ("r", "email", "e1")]
+    got = {r["pattern"]: (r["as_kind"], r["score"]) for r in pii.trusted_patterns(spark.createDataFrame(edges, "pattern string, kind string, match string")).collect()}
+    want = {}
+    for kind in pii.KINDS:
+        for p, s in plain_scores(edges, kind).items():
+            if p not in want or s > want[p][1]:
+                want[p] = (kind, s)
+    assert set(got) == set(want) and "q" in got
+    for p, (kind, s) in want.items():
+        assert got[p] == (kind, pytest.approx(s))
+
+
+def test_precision_and_recall_on_planted_identifiers(spark):
+    rnd = np.random.default_rng(9)
+    word = lambda: "".join(rnd.choice(list("abdeiknorst"), 5))
+    openings = ("mail address:", "reach us at", "send it to")
+    rows, planted, other = [], {}, 0
+    for i in range(400):
+        lead, tail = [word() for _ in range(int(rnd.integers(1, 9)))], [word() for _ in range(5)]
+        at = " ".join([*lead, str(rnd.choice(openings))]) + " "
+        if i % 5:
+            rows.append(f"{at}{word()}{i}@{word()}.example.com {' '.join(tail)}")
+        else:
+            hidden = f"{word()}{1000 + i}(at){word()}.example"
+            planted[len(rows)] = (len(at), len(at) + len(hidden))
+            rows.append(f"{at}{hidden} {' '.join(tail)}")
+    for i in range(200):
+        rows.append(" ".join([word(), word(), f"item{10_000 + i}", word()]))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    added = {(r["doc_id"], s["start"], s["end"]) for r in pii.spans_by_row(docs).collect() for s in r["spans"] if s["kind"].startswith("like_")}
+    want = {(i, *s) for i, s in planted.items()}
+    assert len(added & want) >= 0.95 * len(want) and len(added & want) >= 0.95 * len(added)
+
+
 # All of them
 
 def test_empty_tables(spark, empty):
@@ -618,6 +714,31 @@ def test_empty_tables(spark, empty):
         assert found.count() == 0
 
 
+@pytest.mark.parametrize("stage", [quality.passed, simhash.deduplicated, pii.redacted, mixing.sampled, bpe.tokenized])
+def test_columns_of_the_caller_stay(clashing, stage):
+    from .conftest import CLASHES
+
+    out = stage(clashing)
+    same = [c for c in clashing.columns if c not in ("text", "n_chars")]
+    assert set(same) <= set(out.columns)
+    before = Counter(tuple(str(r[c]) for c in same) for r in clashing.collect())
+    after = Counter(tuple(str(r[c]) for c in same) for r in out.collect())
+    assert after and not after - before
+    assert stage is not bpe.tokenized or "token_ids_" in out.columns
+    assert len(CLASHES) < len(out.columns)
+
+
+def test_reports_with_clashing_columns(clashing):
+    n = clashing.count()
+    trusted = clashing.filter("doc_id < 20").select("doc_id")
+    for found in (
+        secrets.find_secrets(clashing), mixing.mixture_report(clashing), simhash.near_duplicates(clashing), suffixes.with_spans(clashing), bpe.round_trip(clashing),
+        perplexity.classify(clashing, trusted), ordermin.edit_report_by_row(clashing), quality.quality_report(clashing), pii.spans_by_row(clashing),
+    ):
+        assert found.count() == n
+    assert licenses.find_licenses(clashing).count() == 1
+
+
 def test_pipeline(spark, tmp_path, docs, tokenizer):
     import corpus_pipeline
 
