@@ -42,7 +42,7 @@ PRIOR_WORDS = 10
 #: Pairs and trigrams that come less often are left to the back-off.
 LEAST = 2
 #: Documents are scored in so many parts, one after the other.
-SLICES = 4
+SLICES = 6
 #: N-grams that every task gets, trusted trigrams of a shard, and keys of a shard: all bound what a task holds.
 HOT, SHARD_TRIGRAMS, SHARD_KEYS = 1 << 17, 1 << 20, 1 << 21
 NO_ID, NO_LANG = -(1 << 63), "(none)"
@@ -533,7 +533,7 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     A missing language is one. Equal texts of a language score equally but for
     rounding, repeated rows as one.
     """
-    small_batches(docs.sparkSession, 8000, 8 << 20)  # n-grams of many documents travel together
+    small_batches(docs.sparkSession, 5000, 5 << 20)  # n-grams of many documents travel together
     own = keyed(docs)
     full = own.filter("text <> ''")
     facts = stored(own.select("doc_id", "id", "mark", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes")))

@@ -277,40 +277,46 @@ def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], si
     sized = (F.col("n") >= similarity * F.col("n2")) & (F.col("n2") >= similarity * F.col("n"))
     cells = stored(ids.filter("n > 0").select("id", "n", F.explode("cells").alias("cell")))
     many = cells.groupBy("cell").agg(F.count("*").alias("many")).filter("many > 1")
-    crowded = stored(cells.join(many, "cell"))
-    dropped(cells)
+    crowded = cells.join(many, "cell")
     sets = stored(read(crowded.select("id").distinct()))
     popular = crowded.groupBy("id").agg(F.sum("many").alias("score"))
-    centre = F.max(F.struct("score", "id", "n")).alias("l")
-    least = crowded.join(popular, "id").groupBy("cell").agg(centre).select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"))
-    starred = crowded.join(least, "cell").filter((F.col("id") != F.col("v")) & sized)
-    first = stored(components(verified(starred.select(F.col("id").alias("u"), "v"), sets, similarity)))
+    crowded = stored(crowded.join(popular, "id").select("cell", "id", "n", "score"))
+    dropped(cells)
+    centre = crowded.groupBy("cell").agg(F.max(F.struct("score", "id", "n")).alias("l")).select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"))
+    starred = crowded.join(centre, "cell").filter((F.col("id") != F.col("v")) & sized).select(F.col("id").alias("u"), "v")
+    named = _joined(stored(sets.select("id", F.col("id").alias("comp"))), verified(starred, sets, similarity))
 
-    labelled = crowded.join(first, F.col("id") == F.col("node"), "left").select("cell", "id", F.coalesce("component", "id").alias("comp"))
+    labelled = crowded.join(named, "id").select("cell", "id", "comp")
     mixed = labelled.groupBy("cell").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("cell")
     left = stored(labelled.join(mixed, "cell", "left_semi").select("id", "comp").distinct())
     dropped(crowded)
-    each = sets.join(left, "id").select("id", "n", "comp", "sketch", F.explode("shingles").alias("h"))
+    each = sets.join(left, "id").select("id", "n", "comp", F.explode("shingles").alias("h"))
     often = each.groupBy("h").agg(F.count("*").alias("df"), F.min("comp").alias("a"), F.max("comp").alias("b"))
     ranked = each.join(often, "h").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "h")))
     length = lambda share: F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
     prefix = ranked.filter((F.col("rank") <= length(similarity)) & (F.col("a") < F.col("b")))
-    prefix = stored(prefix.select("h", "id", "n", "comp", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)], (F.col("rank") <= length(2 * similarity / (1 + similarity))).alias("short")))
-    small = prefix.filter("short").select("h", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
+    prefix = prefix.join(sets.select("id", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]), "id")
+    prefix = stored(prefix.select("h", "id", "n", "comp", "rank", *[f"s{i}" for i in range(SKETCH)]))
+    small = prefix.filter(F.col("rank") <= length(2 * similarity / (1 + similarity))).select("h", F.col("rank").alias("rank2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
     apart = sum((_differing(f"s{i}", f"t{i}") for i in range(SKETCH)), F.lit(0))
     bound = apart <= (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("n2")) + 1e-9
+    least = F.ceil((F.col("n") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-9)
+    first = (F.col("rank") <= F.col("n") - least + 1) & (F.col("rank2") <= F.col("n2") - least + 1)
     larger = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
-    across = prefix.join(small, "h").filter((F.col("comp") != F.col("comp2")) & larger & sized & bound).select(F.col("id").alias("u"), F.col("id2").alias("v"))
-    links = verified(across, sets, similarity)
-    names = first.withColumnsRenamed({"node": "id", "component": "comp"})
-    of = lambda c, to: F.coalesce(F.col(c), F.col(to))
-    left_named = links.join(names.select(F.col("id").alias("u"), F.col("comp").alias("cu")), "u", "left").join(names.select(F.col("id").alias("v"), F.col("comp").alias("cv")), "v", "left")
-    more = components(left_named.select(of("cu", "u").alias("u"), of("cv", "v").alias("v")))
-    whole = names.join(more, F.col("comp") == F.col("node"), "left").select("id", F.coalesce("component", "comp").alias("class"))
-    single = more.join(names.select(F.col("comp").alias("node")), "node", "left_anti").select(F.col("node").alias("id"), F.col("component").alias("class"))
-    out = stored(whole.unionByName(single))
-    for table in (sets, first, left, prefix):
+    across = prefix.join(small, "h").filter((F.col("comp") != F.col("comp2")) & larger & sized & first & bound).select(F.col("id").alias("u"), F.col("id2").alias("v"))
+    named = _joined(named, verified(across, sets, similarity))
+    for table in (sets, left, prefix):
         dropped(table)
+    return named.withColumnRenamed("comp", "class")
+
+
+def _joined(named: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, comp) with the classes that links (u, v) connect as one. The table that was there before is removed."""
+    of = lambda c: named.select(F.col("id").alias(c), F.col("comp").alias(f"comp_{c}"))
+    between = links.join(of("u"), "u").join(of("v"), "v").select(F.col("comp_u").alias("u"), F.col("comp_v").alias("v"))
+    more = components(between)
+    out = stored(named.join(more, F.col("comp") == F.col("node"), "left").select("id", F.coalesce("component", "comp").alias("comp")))
+    dropped(named)
     return out
 
 
