@@ -40,7 +40,8 @@ def redact_keys(text: Column, keys: list[str], most: int = 500) -> Column:
 
 
 def log_chunks(text: Column, size: int = 4000) -> Column:
-    """(part, parts, chunk) structs of a redacted text; an empty text has one empty chunk."""
-    safe = redact(text)
-    n = F.greatest(F.lit(1), F.ceil(F.length(safe) / size)).cast("int")
-    return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("part"), n.alias("parts"), F.substring(safe, (i - 1) * size + 1, F.lit(size)).alias("chunk")))
+    """(part, parts, chunk) structs of a redacted text; an empty text has one empty chunk. The text is redacted once, before it is cut."""
+    cut = F.regexp_extract_all(redact(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    some = lambda own: F.when(F.size(own) == 0, F.array(F.lit(""))).otherwise(own)
+    numbered = lambda own: F.transform(own, lambda c, i: F.struct((i + 1).alias("part"), F.size(own).alias("parts"), c.alias("chunk")))
+    return F.get(F.transform(F.array(cut), lambda own: numbered(some(own))), F.lit(0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,9 +17,6 @@ IMAGE_LIST_MARK = r"(?s)\n?<!--\s*aw:images:(\[.*?\])\s*-->"
 SAFE_DIV = r"""(?:class\s*=\s*["']analysis-box["']|align\s*=\s*["']?right["']?|style\s*=\s*["']\s*text-align\s*:\s*right\s*;?\s*["'])"""
 MOST_CHARS, MOST_REPEATS = 30_000, 400
 LAYOUT_COMMENT = "此行视具体排版"
-#: How often nested wrappers are unwrapped; every pass takes off the innermost ones.
-DEPTH = 12
-
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 
 
@@ -26,15 +25,44 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
 
 
-def clean_layout(text: Column, depth: int = DEPTH) -> Column:
+#: Stands between a tag and the text around it while a text is cut.
+CUT = "\ue001"
+
+
+def unwrapped(text: Column, removable: Callable[[Column], Column], trim: Callable[[Column], Column]) -> Column:
+    """``text`` without the div wrappers whose opening tag is ``removable``, at any depth; their content is trimmed.
+
+    A fold over tags and the text between them keeps what is open: a closing tag
+    ends the wrapper that was opened last. A wrapper that stays keeps those around
+    it; tags without a partner stay too.
+    """
+    tag = r"(?i)<div\b[^>]*>|</div\s*>"
+    pieces = F.split(F.regexp_replace(text, f"({tag})", f"{CUT}$1{CUT}"), CUT, -1)
+    level = lambda tag, free, own: F.struct(tag.alias("tag"), free.alias("free"), own.alias("own"))
+    below = lambda s, n: F.slice(s, 1, F.size(s) - n)
+
+    def take(s: Column, piece: Column) -> Column:
+        top, under = F.element_at(s, -1), F.try_element_at(s, F.lit(-2))
+        free = top["free"] & removable(top["tag"])
+        inner = F.when(free, trim(top["own"])).otherwise(F.concat(top["tag"], top["own"], piece))
+        closed = F.concat(below(s, 2), F.array(level(under["tag"], under["free"] & free, F.concat(under["own"], inner))))
+        added = F.concat(below(s, 1), F.array(level(top["tag"], top["free"], F.concat(top["own"], piece))))
+        opened = F.concat(s, F.array(level(piece, F.lit(True), F.lit(""))))
+        return F.when(piece.rlike(r"(?i)^<div\b[^>]*>$"), opened).when(piece.rlike(r"(?i)^</div\s*>$") & (F.size(s) > 1), closed).otherwise(added)
+
+    start = F.array(level(F.lit(""), F.lit(True), F.lit("")))
+    folded = F.aggregate(pieces, start, take, lambda s: F.array_join(F.transform(s, lambda x: F.concat(x["tag"], x["own"])), ""))
+    return F.when(text.rlike(r"(?i)</div\s*>"), folded).otherwise(text)
+
+
+def clean_layout(text: Column) -> Column:
     """Decorative wrappers unwrapped, table styles reduced to alignment, borders dropped, line breaks closed.
 
-    Text, tables and image links stay. Each pass unwraps the innermost wrappers
-    that have no attributes or only decorative ones.
+    Text, tables and image links stay. Wrappers go, at any depth, if they have no
+    attributes or only decorative ones and no wrapper inside stays.
     """
-    wrapper = rf"(?is)<div(?:\s+{SAFE_DIV})?\s*>\n*((?:(?!<div\b).)*?)\n*</div\s*>"
-    for _ in range(depth):
-        text = F.regexp_replace(text, wrapper, "$1")
+    newlines = lambda c: F.regexp_replace(c, r"^\n+|\n+$", "")
+    text = unwrapped(text, lambda tag: tag.rlike(rf"(?is)^<div(?:\s+{SAFE_DIV})?\s*>$"), newlines)
     style = r"""\s+style\s*=\s*(["'])"""
     align = rf"""(?is)(<(?:td|th)\b[^>]*?){style}(?:(?!\2)[^>])*?(?:(?<=["';])|(?<=["';]\s))\s*text-align\s*:\s*(left|right|center)\b(?:(?!\2)[^>])*?\2"""
     text = F.regexp_replace(text, align, '$1 align="$3"')

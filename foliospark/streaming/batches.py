@@ -12,39 +12,52 @@ BATCH_PARTS, BATCH_BYTES = 4, 250 << 10
 LAST = 9998
 
 
-def first_sequence(key: str, n_parts: int) -> int:
-    """The sequence that a new part asks for."""
-    if key.startswith("step:"):
-        return int(key.split(":")[1]) + 1
-    return {"agent-status": 10_000, "answer": 9_999, "reasoning": 1}.get(key, n_parts + 1)
+#: Sequences of parts that have one of their own.
+FIXED = {"agent-status": 10_000, "answer": 9_999}
+MOST_PARTS = 10_000
+
+
+def wanted(key: Column) -> Column:
+    """The sequence that a part asks for: its own, a step's number plus one, 1 for reasoning; null: the next after those that are there."""
+    step = F.regexp_extract(key, "^step:([0-9]+)", 1)
+    own = F.when(step != "", step.cast("long") + 1).when(key == "reasoning", F.lit(1))
+    for name, sequence in FIXED.items():
+        own = own.when(key == name, F.lit(sequence))
+    return own.cast("long")
 
 
 def numbered(parts: DataFrame) -> DataFrame:
     """(message, key, sequence) in order of arrival: a part keeps its first sequence, one that is taken moves up, none beyond 9998.
 
-    parts: message, arrival, key. A message's parts are at most 10,000.
+    parts: message, arrival, key. A message's parts are at most 10,000. Requests
+    are columns; in a message each takes the first free place at or after the one
+    it wants, found over links from taken places to the places behind them.
     """
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken: dict[str, int] = {}
-        used: set[int] = set()
-        for key in pdf.sort_values("arrival")["key"]:
-            if key in taken or len(taken) >= 10_000:
-                continue
-            sequence = first_sequence(key, len(taken))
-            if key.startswith("step:") and sequence > LAST:
-                continue
-            if key not in ("answer", "agent-status"):
-                while sequence in used and sequence <= LAST:
-                    sequence += 1
-                if sequence > LAST:
-                    continue
-            taken[key] = sequence
-            used.add(sequence)
-        return pd.DataFrame([(pdf["message"].iloc[0], k, s) for k, s in taken.items()], columns=["message", "key", "sequence"])
+    first = parts.groupBy("message", "key").agg(F.min("arrival").alias("arrival"))
+    asked = first.select("message", "key", "arrival", wanted(F.col("key")).alias("want"), F.col("key").isin(*FIXED).alias("fixed"))
+
+    def place(pdf: pd.DataFrame) -> pd.DataFrame:
+        behind: dict[int, int] = {}
+
+        def free(at: int) -> int:
+            way = []
+            while at in behind:
+                way.append(at)
+                at = behind[at]
+            behind.update((w, at) for w in way)
+            return at
+
+        out: list[tuple] = []
+        for r in pdf.sort_values("arrival").itertuples():
+            at = len(out) + 1 if pd.isna(r.want) else int(r.want)
+            at = at if r.fixed else free(at)
+            if len(out) < MOST_PARTS and (r.fixed or at <= LAST):
+                behind[at] = at + 1
+                out.append((r.message, r.key, at))
+        return pd.DataFrame(out, columns=["message", "key", "sequence"])
 
     schema = f"message {parts.schema['message'].dataType.simpleString()}, key string, sequence long"
-    return parts.groupBy("message").applyInPandas(assign, schema)
+    return asked.groupBy("message").applyInPandas(place, schema)
 
 
 def batched(parts: DataFrame, most_parts: int = BATCH_PARTS, most_bytes: int = BATCH_BYTES) -> DataFrame:

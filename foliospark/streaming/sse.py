@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.text import strip
 
 MOST_BYTES = 2 << 20
-PART_BYTES, MOST_STEPS, MOST_INDEX = 60 << 10, 128, 10_000
+PART_BYTES, MOST_STEPS, MOST_INDEX, MOST_SEEN = 60 << 10, 128, 10_000, 20_000
 ACCUMULATED = "stream string, index int, kind string, content string, status string, truncated boolean"
 STATE = "state string"
 
@@ -54,135 +55,116 @@ def first_seen(events: DataFrame, stream: str, identity: str, arrival: str) -> D
     return events.withColumn("__r", F.row_number().over(w)).filter(F.col(identity).isNull() | (F.col("__r") == 1)).drop("__r")
 
 
-def cut_bytes(text: str, most: int = PART_BYTES) -> str:
-    """At most so many bytes of UTF-8; a character that is cut goes."""
-    return text.encode()[:most].decode("utf-8", "ignore")
+#: Deltas: the kind of a step whose start was missed, where the added text stands, the kinds of steps that take it (a regex).
+DELTAS = {
+    "text": ("model_output", "$.delta.text", "^model_output$"), "arguments_delta": ("function_call", "$.delta.arguments", ""), "thought_summary": ("thought", "$.delta.content.text", ""),
+    "thought_signature": ("thought", None, ""), "image": ("model_output", None, ""), "text_annotation_delta": ("model_output", None, ""),
+}
+#: Tool steps take any other delta whole, in place of the one before.
+TOOLS = "(_call|_result)$"
+REPLAY = "replay"
 
 
-def inferred_kind(delta: str) -> str:
-    """The kind of a step whose start was missed."""
-    if delta in ("thought_summary", "thought_signature"):
-        return "thought"
-    if delta == "arguments_delta":
-        return "function_call"
-    return "model_output" if delta in ("text", "image", "text_annotation_delta") else delta
+def operations(events: DataFrame) -> DataFrame:
+    """(stream, arrival, id, index, op, kind, text, into): what events (stream, arrival, event, id, data) do to a stream's steps.
+
+    op is open, add, put, close or replay (an event of that name: a new connection
+    without a cursor); kind that of the step, or null where it stays what it was;
+    into says by a regex which kinds take the text. Other events are left out.
+    """
+    at = lambda path: F.get_json_object("data", path)
+    name = F.coalesce(F.nullif(at("$.event_type"), F.lit("")), F.col("event"))
+    index = F.when(at("$.index").rlike("^[0-9]{1,5}$"), at("$.index").cast("int"))
+    table = lambda i: F.create_map(*[F.lit(x) for k, v in DELTAS.items() if v[i] is not None for x in (k, v[i])])
+    delta, step = F.coalesce(at("$.delta.type"), F.lit("")), F.startswith(at("$.step"), F.lit("{"))
+    added = F.coalesce(*[F.when(delta == k, at(path)) for k, (_, path, _) in DELTAS.items() if path], F.lit(""))
+    rest = F.regexp_replace(F.regexp_replace(at("$.delta"), r'^\{"type":"[^"]*",?', "{"), r',"type":"[^"]*"(?=\}$)', "")
+    known = F.array_contains(F.map_keys(table(1)), delta)
+    final = F.coalesce(*[F.nullif(at(f"$.step.{c}"), F.lit("")) for c in ("text", "summary", "arguments")], F.lit(""))
+    cases = {
+        "open": (name == "step.start", F.coalesce(at("$.step.type"), F.lit("")), F.lit(""), F.lit("")),
+        "add": ((name == "step.delta") & known, F.try_element_at(table(0), delta), added, F.try_element_at(table(2), delta)),
+        "put": (name == "step.delta", F.coalesce(F.try_element_at(table(0), delta), delta), F.nullif(rest, F.lit("{}")), F.lit(TOOLS)),
+        "close": (name == "step.stop", F.when(step, F.coalesce(at("$.step.type"), F.lit(""))), final, F.lit("")),
+        REPLAY: (name == REPLAY, F.lit(None).cast("string"), F.lit(""), F.lit("")),
+    }
+    made = F.coalesce(*[F.when(when, F.struct(F.lit(op).alias("op"), kind.alias("kind"), text.alias("text"), into.alias("into"))) for op, (when, kind, text, into) in cases.items()])
+    own = events.select("stream", "arrival", F.nullif(F.col("id"), F.lit("")).alias("id"), index.alias("index"), made.alias("o"))
+    return own.filter((F.col("index") < MOST_INDEX) | (F.col("o.op") == REPLAY)).select("stream", "arrival", "id", "index", "o.*")
 
 
 class Steps:
-    """One stream's steps: what start, delta and stop events make of them. Plain data, so that it can be kept as state."""
+    """The steps of one stream as plain data, so that they can be kept as state: open ones by index, indexes that were closed, ids that were seen."""
 
     def __init__(self, saved: str | None = None):
-        own = json.loads(saved) if saved else {}
-        self.open: dict[str, dict] = own.get("open", {})
-        self.done: list[str] = own.get("done", [])
-        self.seen: dict[str, None] = dict.fromkeys(own.get("seen", []))
+        own = json.loads(saved) if saved else {"open": {}, "closed": [], "seen": []}
+        self.open, self.closed, self.seen = own["open"], set(own["closed"]), dict.fromkeys(own["seen"])
 
     def saved(self) -> str:
-        return json.dumps({"open": self.open, "done": self.done, "seen": list(self.seen)[-20_000:]})
-
-    def take(self, raw: str, sse_type: str, identity: str | None) -> dict | None:
-        """The row that an event changes, or None."""
-        if identity:
-            if identity in self.seen:
-                return None
-            self.seen[identity] = None
-            if len(self.seen) > 20_000:
-                self.seen.pop(next(iter(self.seen)))
-        try:
-            data = json.loads(raw)
-        except ValueError:
-            return None
-        if not isinstance(data, dict):
-            return None
-        kind, index = data.get("event_type") or sse_type, data.get("index")
-        if type(index) is not int or not 0 <= index < MOST_INDEX:
-            return None
-        key = str(index)
-        if kind == "step.start":
-            step = data.get("step") or {}
-            if len(self.open) < MOST_STEPS:
-                self.open[key] = {"kind": step.get("type", ""), "content": "", "truncated": False}
-            return self._row(key, "running")
-        if kind == "step.delta":
-            delta = data.get("delta") or {}
-            if key not in self.open:
-                if len(self.open) >= MOST_STEPS:
-                    return None
-                self.open[key] = {"kind": inferred_kind(delta.get("type", "")), "content": "", "truncated": False}
-            self._append(self.open[key], delta)
-            return self._row(key, "running")
-        if kind == "step.stop" and (key in self.open or isinstance(data.get("step"), dict)):
-            final = data.get("step")
-            if isinstance(final, dict):
-                text = final.get("text") or final.get("summary") or final.get("arguments") or ""
-                text = text if isinstance(text, str) else json.dumps(text, ensure_ascii=False)
-                self.open[key] = {"kind": final.get("type", ""), "content": cut_bytes(text), "truncated": len(text.encode()) > PART_BYTES}
-            row = self._row(key, "completed")
-            self.open.pop(key)
-            self.done.append(key)
-            return row
-        return None
-
-    def replayed(self) -> None:
-        """A new connection without a cursor: buffers start anew, what is completed stays so."""
-        self.open.clear()
-
-    @staticmethod
-    def _append(step: dict, delta: dict) -> None:
-        kind = delta.get("type", "")
-        if kind == "thought_summary":
-            content = delta.get("content") or {}
-            added = content.get("text", "") if isinstance(content, dict) and content.get("type") == "text" else ""
-        elif kind == "text":
-            added = delta.get("text", "") if step["kind"] == "model_output" else ""
-        elif kind == "arguments_delta":
-            added = delta.get("arguments", "")
-        else:
-            rest = {k: v for k, v in delta.items() if k != "type"}
-            if step["kind"].endswith(("_call", "_result")) and rest:  # other tool deltas overwrite
-                step["content"] = cut_bytes(json.dumps(rest, ensure_ascii=False))
-            return
-        text = step["content"] + added
-        step["truncated"] = step["truncated"] or len(text.encode()) > PART_BYTES
-        step["content"] = cut_bytes(text)
-
-    def _row(self, key: str, status: str) -> dict | None:
-        step = self.open.get(key)
-        if step is None or status == "running" and key in self.done:  # a replay takes nothing back
-            return None
-        return {"index": int(key), **step, "status": status}
+        return json.dumps({"open": self.open, "closed": sorted(self.closed), "seen": list(self.seen)})
+
+    def new(self, identity: str | None) -> bool:
+        """Whether an event wasn't there before; the last MOST_SEEN identities are kept."""
+        if not identity:
+            return True
+        fresh = identity not in self.seen
+        self.seen[identity] = None
+        if len(self.seen) > MOST_SEEN:
+            del self.seen[next(iter(self.seen))]
+        return fresh
+
+    def apply(self, rows: pd.DataFrame) -> dict[int, dict]:
+        """The rows of ACCUMULATED that operations, in order of arrival, leave changed, by index."""
+        changed = {}
+        for r in rows.sort_values("arrival", kind="stable").itertuples():
+            if not self.new(r.id):
+                continue
+            if r.op == REPLAY:  # buffers start anew, what is closed stays so
+                self.open.clear()
+                continue
+            key = str(int(r.index_))
+            step = self.open.get(key)
+            if r.op == "open" or step is None and r.op != "close" or r.op == "close" and r.kind is not None:
+                if key not in self.open and len(self.open) >= MOST_STEPS and r.op != "close":
+                    continue
+                step = self.open[key] = {"kind": r.kind, "content": "", "truncated": False}
+            if step is None:
+                continue
+            if r.op != "open" and r.text and re.search(r.into, step["kind"]):
+                whole = (step["content"] if r.op != "put" else "") + r.text
+                raw = whole.encode()
+                step["truncated"] |= len(raw) > PART_BYTES and r.op != "put"
+                step["content"] = raw[:PART_BYTES].decode("utf-8", "ignore")
+            if r.op == "close":
+                self.closed.add(key)
+                changed[int(key)] = {"index": int(key), **self.open.pop(key), "status": "completed"}
+            elif key not in self.closed:  # a replay takes nothing back
+                changed[int(key)] = {"index": int(key), **step, "status": "running"}
+        return changed
+
+
+def _rows(stream, changed: dict[int, dict]) -> pd.DataFrame:
+    return pd.DataFrame([{"stream": stream, **r} for r in changed.values()], columns=["stream", "index", "kind", "content", "status", "truncated"])
 
 
 def accumulate(events: DataFrame) -> DataFrame:
     """Parts of each stream from its events: a streaming DataFrame of (stream, arrival, event, id, data).
 
     State is keyed by stream and bounded: 128 open steps, 60 KiB a step, 20,000
-    ids. A part is emitted whenever a batch changed it, in update mode.
+    ids. A part is emitted whenever a trigger changed it, in update mode; a
+    trigger's events of a stream are ordered over all of its Arrow batches.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         own = Steps(state.get[0] if state.exists else None)
-        rows: dict[int, dict] = {}
-        for batch in batches:
-            for r in batch.sort_values("arrival").itertuples():
-                row = own.take(r.data, r.event or "", r.id or None)
-                if row:
-                    rows[row["index"]] = row
+        changed = own.apply(pd.concat(list(batches)))
         state.update((own.saved(),))
-        yield pd.DataFrame([{"stream": key[0], **r} for r in rows.values()], columns=["stream", "index", "kind", "content", "status", "truncated"])
+        yield _rows(key[0], changed)
 
-    return events.groupBy("stream").applyInPandasWithState(step, ACCUMULATED, STATE, "update", GroupStateTimeout.NoTimeout)
+    return operations(events).withColumnRenamed("index", "index_").groupBy("stream").applyInPandasWithState(step, ACCUMULATED, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
 def accumulated(events: DataFrame) -> DataFrame:
     """The same over a finished log: the last state of each part."""
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, rows = Steps(), {}
-        for r in pdf.sort_values("arrival").itertuples():
-            row = own.take(r.data, r.event or "", r.id or None)
-            if row:
-                rows[row["index"]] = row
-        return pd.DataFrame([{"stream": pdf["stream"].iloc[0], **r} for r in rows.values()], columns=["stream", "index", "kind", "content", "status", "truncated"])
-
-    return events.groupBy("stream").applyInPandas(fold, ACCUMULATED)
+    fold = lambda pdf: _rows(pdf["stream"].iloc[0], Steps().apply(pdf))
+    return operations(events).withColumnRenamed("index", "index_").groupBy("stream").applyInPandas(fold, ACCUMULATED)

@@ -43,6 +43,12 @@ def test_clean_layout(spark):
     assert clean(nested) == "x" and clean(clean(nested)) == "x"
 
 
+def test_wrappers_of_any_depth(spark):
+    assert text(spark, X.clean_layout, "<div>" * 40 + "\nx\n" + "</div>" * 40) == "x"
+    assert text(spark, X.clean_layout, "a</div><div><div id='k'>x</div>y</div><div>z") == "a</div><div><div id='k'>x</div>y</div><div>z"
+    assert text(spark, X.clean_layout, "<div><div align=right>\n\nx</div>\n</div >b") == "xb"
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([("<!-- 第 1 页 -->\n<div>![a](images/p1.png) b&nbsp;</div>",)], "t string")
     row = df.select(*[c.alias(n) for n, c in X.metrics(F.col("t")).items()]).first()
@@ -79,9 +85,10 @@ def test_lists(spark):
 
 
 def test_math(spark):
-    assert M.tidy_math_line("x $ a + b $   $ c $ y") == "x $a + b$ $c$ y"
-    assert M.tidy_math_line("one $ only") == "one $ only"
-    assert (M.dollars("$$$"), M.open_dollars("$$$")) == ([2], [])
+    assert text(spark, M.tidy_math_line, "x $ a + b $   $ c $ y") == "x $a + b$ $c$ y"
+    assert text(spark, M.tidy_math_line, "one $ only") == "one $ only"
+    assert text(spark, M.tidy_math_line, "$$$ x $") == "$$$x$" and text(spark, M.tidy_math_line, r"\\$ a $ b $") == r"\\$ a $b$"
+    assert text(spark, M.math_lines, "$$$\nx")["odd"] == [] and text(spark, M.math_lines, "a $\nb\n c\nd $ e\nf")["text"] == "a $ b c d $ e\nf"
     row = text(spark, M.math_lines, "a $x\n= y$ b\nc $d")
     assert (row["text"], row["odd"]) == ("a $x = y$ b\nc $d", [2])
 
@@ -268,11 +275,14 @@ def events(spark):
 def test_steps(spark):
     assert {tuple(r) for r in sse.accumulated(events(spark)).collect()} == WANT
     assert sse.first_seen(events(spark), "stream", "id", "arrival").count() == len(EVENTS) - 1
-    own = sse.Steps()
-    own.take('{"event_type": "step.start", "index": 0, "step": {"type": "model_output"}}', "", None)
-    own.take('{"event_type": "step.stop", "index": 0}', "", None)
-    own.replayed()
-    assert own.take('{"event_type": "step.start", "index": 0, "step": {"type": "model_output"}}', "", None) is None
+    event = lambda n, name, data: ("s", n, name, None, json.dumps({"index": 0, **data}))
+    start, stop = {"step": {"type": "model_output"}}, {"step": {"type": "x_result", "text": "done"}}
+    rows = [event(1, "step.start", start), event(2, "step.stop", stop), event(3, sse.REPLAY, {}), event(4, "step.start", start), event(5, "step.delta", {"delta": {"type": "text", "text": "again"}})]
+    got = sse.accumulated(spark.createDataFrame(rows, "stream string, arrival long, event string, id string, data string")).collect()
+    assert [tuple(r) for r in got] == [("s", 0, "x_result", "done", "completed", False)]
+    tool = [event(1, "step.start", {"step": {"type": "search_call"}}), event(2, "step.delta", {"delta": {"type": "query", "q": "a"}}), event(3, "step.delta", {"delta": {"q": "b", "type": "query"}})]
+    got = sse.accumulated(spark.createDataFrame(tool, "stream string, arrival long, event string, id string, data string")).collect()
+    assert [tuple(r) for r in got] == [("s", 0, "search_call", '{"q":"b"}', "running", False)]
 
 
 def test_streamed_steps(spark, tmp_path):
