@@ -288,12 +288,12 @@ def model_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = stored(pairs.select("b", "c", "n", "part"))
     masses = stored(pairs.groupBy("b").agg(mass(F.col("part")).alias("g2")))
     whole = pairs.join(masses, "b").join(words.select("c", "p1"), "c").withColumn("p2", F.col("part") + F.exp("g2") * F.col("p1"))
-    whole = stored(whole.select("b", "c", "n", "p2", (F.log("p2") - F.col("g2") - F.log("p1")).alias("e2")))
+    whole = stored(whole.select("b", "c", "n", "p2", (F.log("p2") - F.col("g2") - F.log("p1")).alias("e2")), large=True)
     dropped(pairs)
 
     three = kind(TRIGRAM).join(facts, "lang").select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("z").alias("c"), "n", cut(3, "n").alias("cut"))
     three = three.join(whole.select(F.col("b").alias("a"), F.col("c").alias("b"), F.col("n").alias("total")), ["a", "b"])
-    three = stored(three.select("a", "b", "c", "n", (F.col("cut") / F.col("total")).alias("part")))
+    three = stored(three.select("a", "b", "c", "n", (F.col("cut") / F.col("total")).alias("part")), large=True)
     back = stored(three.groupBy("a", "b").agg(mass(F.col("part")).alias("g3")))
     top = three.join(back, ["a", "b"]).join(whole.select("b", "c", "p2"), ["b", "c"])
     e3 = F.log(F.col("part") + F.exp("g3") * F.col("p2")) - F.col("g3") - F.log("p2")
@@ -304,7 +304,7 @@ def model_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     two = whole.join(back.select(F.col("a").alias("b"), F.col("b").alias("c"), "g3"), ["b", "c"], "left")
     rows = rows.unionAll(two.select("b", "c", zero, F.lit(2), F.col("e2") + F.coalesce("g3", F.lit(0.0)), "n")).unionAll(top.select("a", "b", "c", F.lit(3), e3, "n"))
     rows = rows.toDF("x", "y", "z", "o", "weight", "n")
-    out = stored(rows.select(_key("x", "y", "z", "o").alias("key"), "weight", "n"))
+    out = stored(rows.select(_key("x", "y", "z", "o").alias("key"), "weight", "n"), large=True)
     for table in (last, facts, masses, whole, three, back):
         dropped(table)
     return out, unknown
@@ -533,7 +533,7 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     A missing language is one. Equal texts of a language score equally but for
     rounding, repeated rows as one.
     """
-    small_batches(docs.sparkSession, 5000, 5 << 20)  # n-grams of many documents travel together
+    small_batches(docs.sparkSession, 3000, 3 << 20)  # n-grams of many documents travel together
     own = keyed(docs)
     full = own.filter("text <> ''")
     facts = stored(own.select("doc_id", "id", "mark", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes")))
