@@ -22,6 +22,7 @@ Each language has a model of its trusted text. Words are told by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,8 @@ PRIOR_WORDS = 10
 LEAST = 2
 #: Documents are scored in so many parts, one after the other.
 SLICES = 6
+#: Trigrams are counted in so many parts, one after the other.
+COUNTS = 2
 #: N-grams that every task gets, trusted trigrams of a shard, and keys of a shard: all bound what a task holds.
 HOT, SHARD_TRIGRAMS, SHARD_KEYS = 1 << 17, 1 << 20, 1 << 21
 NO_ID, NO_LANG = -(1 << 63), "(none)"
@@ -151,8 +154,8 @@ def _once(a: np.ndarray, b: np.ndarray, c: np.ndarray, n: np.ndarray) -> tuple[n
     return a[at], b[at], c[at], np.add.reduceat(n[order], new) if len(new) else n[:0]
 
 
-def trigrams(texts: DataFrame, shards: int) -> DataFrame:
-    """(shard, lang, blob) of distinct trigrams of a batch, and blobs of byte-pair counts, lang null. texts: lang, text."""
+def trigrams(texts: DataFrame, shards: int, part: int = 0, of: int = 1) -> DataFrame:
+    """(shard, lang, blob) of distinct trigrams of a batch in every ``of``-th shard from ``part`` on, and blobs of byte-pair counts with part 0, lang null. texts: lang, text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -177,9 +180,12 @@ def trigrams(texts: DataFrame, shards: int) -> DataFrame:
                     order = np.argsort(shard, kind="stable")
                     ends = np.searchsorted(shard[order], np.arange(shards + 1))
                     for s in np.flatnonzero(np.diff(ends)):
+                        if s % of != part:
+                            continue
                         k = order[ends[s] : ends[s + 1]]
                         out.append((int(s), lang, _packed(own.hashes, list(own.seq[places[:, k]]), n[k])))
-                out.append((nth % shards, None, spelling.tobytes()))
+                if part == 0:
+                    out.append((nth % shards, None, spelling.tobytes()))
                 for i in range(0, len(out), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 64], strict=True), (pa.int32(), pa.string(), pa.binary()), strict=True)], names=["shard", "lang", "blob"])
 
@@ -191,10 +197,10 @@ STATS = "lang string, kind int, x bigint, y bigint, z bigint, n bigint, m bigint
 OFTEN, LAST, FIRST, TRIGRAM, PAIR, LETTERS = range(6)
 
 
-def statistics(texts: DataFrame, shards: int) -> DataFrame:
-    """STATS of trusted texts (lang, text); rows of kinds OFTEN, LAST, FIRST and LETTERS are still to be summed."""
+def statistics(texts: DataFrame, shards: int, part: int = 0, of: int = 1) -> DataFrame:
+    """A part of the STATS of trusted texts (lang, text); rows of kinds OFTEN, LAST, FIRST and LETTERS are still to be summed."""
 
-    def part(lang: str | None, kind: int, x: np.ndarray, y=None, z=None, n=None, m=None) -> pa.RecordBatch:
+    def row(lang: str | None, kind: int, x: np.ndarray, y=None, z=None, n=None, m=None) -> pa.RecordBatch:
         none = np.zeros(len(x), dtype=np.int64)
         columns = [none if c is None else np.ascontiguousarray(c).view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in (x, y, z, n, m)]
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(x), pa.string()), pa.array(np.full(len(x), kind, np.int32)), *map(pa.array, columns)], names=["lang", "kind", "x", "y", "z", "n", "m"])
@@ -210,16 +216,16 @@ def statistics(texts: DataFrame, shards: int) -> DataFrame:
         b2, c2 = b[new], c[new]
         for order, own in ((3, n), (2, after)):
             k = np.arange(1, 5)
-            yield part(lang, OFTEN, np.full(4, order), k, n=np.array([(own == i).sum() for i in k]))
+            yield row(lang, OFTEN, np.full(4, order), k, n=np.array([(own == i).sum() for i in k]))
         ends, many = counted(c2, np.ones(len(c2)))
-        yield part(lang, LAST, ends, n=many)
+        yield row(lang, LAST, ends, n=many)
         begins, many = counted(b2, after)
-        yield part(lang, FIRST, begins, n=many)
+        yield row(lang, FIRST, begins, n=many)
         start = mixed(np.array([xxhash.xxh64_intdigest(b"", 7) ^ xxhash.xxh64_intdigest(lang.encode(), 11)], dtype=np.uint64))[0]
         keep = (n >= LEAST) & (b != start)  # the first word of a text has a pair only
-        yield part(lang, TRIGRAM, a[keep], b[keep], c[keep], n[keep])
+        yield row(lang, TRIGRAM, a[keep], b[keep], c[keep], n[keep])
         keep = seen >= LEAST
-        yield part(lang, PAIR, b2[keep], c2[keep], n=seen[keep], m=after[keep])
+        yield row(lang, PAIR, b2[keep], c2[keep], n=seen[keep], m=after[keep])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[tuple[np.ndarray, ...]]] = {}
@@ -238,9 +244,9 @@ def statistics(texts: DataFrame, shards: int) -> DataFrame:
             for lang in sorted(held):
                 yield from summed(lang, *join(held.pop(lang)))
             seen = np.flatnonzero(spelling)
-            yield part(None, LETTERS, seen, n=spelling[seen])
+            yield row(None, LETTERS, seen, n=spelling[seen])
 
-    return trigrams(texts, shards).repartition(shards, "shard").select("lang", "blob").mapInArrow(rows, STATS)
+    return trigrams(texts, shards, part, of).repartition(shards, "shard").select("lang", "blob").mapInArrow(rows, STATS)
 
 
 def discount(n: Column, often: list[Column]) -> Column:
@@ -473,11 +479,10 @@ def met(rows: DataFrame, shards: int) -> DataFrame:
     return dealt.mapInArrow(match, "ref bigint, log_p double, n_tokens double, n_rows double")
 
 
-def scored(texts: DataFrame, model: DataFrame, unknown: DataFrame, stats: DataFrame) -> DataFrame:
-    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one. The tables of model and stats are removed."""
+def scored(texts: DataFrame, model: DataFrame, unknown: DataFrame, spelling: np.ndarray) -> DataFrame:
+    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one. The model's table is removed."""
     spark = texts.sparkSession
-    hot, spelling = most_frequent(model), spelling_of(stats)
-    dropped(stats)
+    hot = most_frequent(model)
     shards = max(2 * spark.sparkContext.defaultParallelism, -(-model.count() // SHARD_KEYS))
     own = stored(packed(model, shards), large=True)
     dropped(model)
@@ -509,16 +514,20 @@ def keyed(docs: DataFrame) -> DataFrame:
     return own.withColumn("ref", F.xxhash64("id", "mark", "lang"))
 
 
-def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """model_of and STATS of trusted texts that aren't held out. full: keyed texts, known: (ref, n_bytes, held) of the trusted ones."""
+def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """model_of and spelling_of the trusted texts that aren't held out. full: keyed texts, known: (ref, n_bytes, held) of the trusted ones."""
     counted = stored(known.filter("NOT held").select("ref", "n_bytes"))
     n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(full.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // (6 * SHARD_TRIGRAMS)))
     texts = stored(full.join(counted.select("ref").distinct(), "ref", "left_semi").select("lang", "text"), large=True)
-    stats = stored(statistics(texts, shards), large=True)
+    parts = [stored(statistics(texts, shards, n, COUNTS), large=True) for n in range(COUNTS)]
     dropped(counted)
     dropped(texts)
-    return *model_of(stats), stats
+    stats = reduce(DataFrame.unionByName, parts)
+    out = (*model_of(stats), spelling_of(stats))
+    for table in parts:
+        dropped(table)
+    return out
 
 
 def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -539,8 +548,8 @@ def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     facts = stored(own.select("doc_id", "id", "mark", "lang", "ref", F.octet_length("text").cast("long").alias("n_bytes")))
     good = trusted.select(F.col("doc_id").alias("id")).filter("id IS NOT NULL").distinct()
     known = stored(held_out(facts.filter("n_bytes > 0").join(good, "id", "left_semi")))
-    model, unknown, stats = trained(full, known)
-    sums = scored(full.select("ref", "lang", "text"), model, unknown, stats).withColumn("log_p", F.round("log_p", 6))
+    model, unknown, spelling = trained(full, known)
+    sums = scored(full.select("ref", "lang", "text"), model, unknown, spelling).withColumn("log_p", F.round("log_p", 6))
 
     measured = lambda own, c: F.coalesce(own(F.when(F.col("held"), F.col(c))), own(c))
     known = stored(known.select("lang", "ref", "held").join(sums, "ref"))
