@@ -44,7 +44,7 @@ PRIOR_WORDS = 10
 LEAST = 2
 #: Documents are scored in so many parts, one after the other.
 SLICES = 6
-#: Trigrams are counted in so many parts, one after the other.
+#: Trusted texts are picked, and trigrams are counted, in so many parts, one after the other.
 COUNTS = 2
 #: N-grams that every task gets, trusted trigrams of a shard, and keys of a shard: all bound what a task holds.
 HOT, SHARD_TRIGRAMS, SHARD_KEYS = 1 << 17, 1 << 20, 1 << 21
@@ -519,10 +519,11 @@ def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, np
     counted = stored(known.filter("NOT held").select("ref", "n_bytes"))
     n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(full.sparkSession.sparkContext.defaultParallelism, -(-n_bytes // (6 * SHARD_TRIGRAMS)))
-    texts = stored(full.join(counted.select("ref").distinct(), "ref", "left_semi").select("lang", "text"), large=True)
-    parts = [stored(statistics(texts, shards, n, COUNTS), large=True) for n in range(COUNTS)]
-    dropped(counted)
-    dropped(texts)
+    some = lambda n: full.filter(F.pmod("ref", F.lit(COUNTS)) == n).join(counted.select("ref").distinct(), "ref", "left_semi")
+    texts = [stored(some(n).select("lang", "text"), large=True) for n in range(COUNTS)]
+    parts = [stored(statistics(reduce(DataFrame.unionByName, texts), shards, n, COUNTS), large=True) for n in range(COUNTS)]
+    for table in (counted, *texts):
+        dropped(table)
     stats = reduce(DataFrame.unionByName, parts)
     out = (*model_of(stats), spelling_of(stats))
     for table in parts:
