@@ -6,9 +6,10 @@ on them is an operator's logic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.windows import numbered
 from .session import table
 
 #: The same views for SQL; each is a common table expression.
@@ -22,10 +23,10 @@ CASE event_type WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 429 ELSE 503 E
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     """Pages of documents: doc, number from 1, status ok, blank or failed, origin model or ocr."""
     labels = table(spark, folder, "labels").select("doc_id", "quality", F.lit(True).alias("seen"))
-    numbered = table(spark, folder, "documents").withColumn("number", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")).cast("long"))
+    own = numbered(table(spark, folder, "documents"), "source", "doc_id", "number")
     status = F.when(F.col("seen").isNull(), "failed").when(F.col("n_chars") < 200, "blank").otherwise("ok")
     origin = F.when(F.col("quality") == 1, "model").when(F.col("quality") == 0, "ocr")
-    return numbered.join(labels, "doc_id", "left").select("doc_id", F.col("source").alias("doc"), "number", "text", "n_chars", status.alias("status"), origin.alias("origin"))
+    return own.join(labels, "doc_id", "left").select("doc_id", F.col("source").alias("doc"), "number", "text", "n_chars", status.alias("status"), origin.alias("origin"))
 
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:

@@ -38,6 +38,23 @@ def unsaved(batch: DataFrame, saved: DataFrame, fields: list[str]) -> DataFrame:
     return batch.join(saved, condition, "left_anti")
 
 
+def holding(texts: DataFrame, anchors: DataFrame, first: str = "[e0-9\\u4e00-\\u4fff]", size: int = 16) -> DataFrame:
+    """(text_id, anchor_id) of each text that contains an anchor; an empty anchor is in every text, a null one in none.
+
+    texts: text_id, text; anchors: anchor_id, anchor. Each anchor is looked up by one of its stretches of ``size``
+    characters that start with a character of the class ``first``; a text that holds the anchor has that stretch too.
+    Equal stretches meet in a join by key, which Spark broadcasts where the anchors' measured size allows; anchors
+    without such a stretch are compared with every text.
+    """
+    windows = lambda c: F.regexp_extract_all(c, F.lit(f"(?s)(?=({first}.{{{size - 1}}}))"), F.lit(1))
+    keyed = anchors.filter(F.col("anchor").isNotNull()).withColumn("__k", F.array_max(F.transform(windows(F.col("anchor")), lambda w: F.xxhash64(w))))
+    bare = keyed.filter("__k IS NULL").select("anchor_id", "anchor")
+    grams = texts.select("text_id", F.explode(F.array_distinct(F.transform(windows(F.col("text")), lambda w: F.xxhash64(w)))).alias("__k"))
+    met = grams.join(keyed.filter("__k IS NOT NULL").select("__k", "anchor_id", "anchor"), "__k").select("text_id", "anchor_id", "anchor")
+    checked = texts.join(met, "text_id").filter(F.contains("text", F.col("anchor"))).select("text_id", "anchor_id")
+    return checked.unionByName(texts.join(bare, F.expr("contains(text, anchor)")).select("text_id", "anchor_id"))
+
+
 def near(a: str, b: str, width: Column | str, height: Column | str) -> Column:
     """Whether two boxes stand side by side: half of the smaller height overlaps and the gap is at most 8 % of the
     page's width; or both are panels, half of the smaller width overlaps and the gap is at most 5.5 % of its height."""

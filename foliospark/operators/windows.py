@@ -13,6 +13,21 @@ def islands(rows: DataFrame, key: list[str], number: str) -> DataFrame:
     return distinct.withColumn("__g", F.col(number) - F.row_number().over(w)).groupBy(*key, "__g").agg(F.min(number).alias("first"), F.max(number).alias("last")).drop("__g")
 
 
+def numbered(rows: DataFrame, key: str, order: str, number: str, block: int = 65536) -> DataFrame:
+    """Rows of each key numbered from 1 along the whole-number column ``order`` (ties in no fixed order).
+
+    Windows hold one block of ``order`` values; a block's first number comes from the counts of
+    the blocks before it, so that a key with a third of all rows is spread over many tasks.
+    """
+    own = rows.withColumn("__b", F.floor(F.col(order) / block))
+    counts = own.groupBy(F.col(key).alias("__k"), F.col("__b").alias("__c")).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__k").orderBy("__c").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("__k", "__c", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    within = own.withColumn(number, F.row_number().over(Window.partitionBy(key, "__b").orderBy(order)).cast("long"))
+    same = F.col(key).eqNullSafe(F.col("__k")) & F.col("__b").eqNullSafe(F.col("__c"))
+    return within.join(counts, same).withColumn(number, F.col(number) + F.col("__o")).drop("__b", "__k", "__c", "__o")
+
+
 def range_label(first: Column, last: Column) -> Column:
     return F.when(first == last, first.cast("string")).otherwise(F.concat(first.cast("string"), F.lit("–"), last.cast("string")))
 

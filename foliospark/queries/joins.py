@@ -11,12 +11,12 @@ from ..registry import query
 from ..session import table
 
 
-@query(f"""WITH {PAGES_SQL}, r AS (SELECT user_id % 20 AS k, user_id // 20 + 1 AS number, arg_max(event_type, event_id) AS result FROM events GROUP BY ALL)
-SELECT doc, number, coalesce(result IN ('click', 'view'), FALSE) AS completed FROM pg LEFT JOIN r USING (number) WHERE coalesce(k, 0) = 0""")
+@query(f"""WITH {PAGES_SQL}, r AS (SELECT user_id + 1 AS number, arg_max(event_type, event_id) AS result FROM events GROUP BY ALL)
+SELECT doc, number, coalesce(result IN ('click', 'view'), FALSE) AS completed FROM pg LEFT JOIN r USING (number)""")
 def j01_pages_results(spark, folder):
     """The last result of a page counts; pages without one are not completed."""
-    results = table(spark, folder, "events").select((F.col("user_id") % 20).alias("k"), F.floor(F.col("user_id") / 20).alias("n"), "event_id", "event_type").filter("k = 0")
-    joined = J.with_latest(pages(spark, folder).select("doc", "number"), results.select((F.col("n") + 1).alias("number"), "event_id", F.col("event_type").alias("result")), ["number"], "event_id")
+    results = table(spark, folder, "events").select((F.col("user_id") + 1).alias("number"), "event_id", F.col("event_type").alias("result"))
+    joined = J.with_latest(pages(spark, folder).select("doc", "number"), results, ["number"], "event_id")
     return joined.select("doc", "number", F.coalesce(F.col("result").isin("click", "view"), F.lit(False)).alias("completed"))
 
 
@@ -94,14 +94,14 @@ def j14_credential_hash(spark, folder):
 _NORM = r"regexp_replace(regexp_replace({c}, '<[^>]+>', '', 'g'), '[\t-\r \x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}\\$*`{{}}]', '', 'g')"
 
 
-@query(f"""WITH b AS (SELECT item_id, {_NORM.format(c='substr(text, 1, 60)')} AS anchor FROM benchmark), d AS (SELECT doc_id, {_NORM.format(c='text')} AS t FROM documents)
+@query(f"""WITH b AS (SELECT item_id, {_NORM.format(c='text')} AS anchor FROM benchmark), d AS (SELECT doc_id, {_NORM.format(c='text')} AS t FROM documents)
 SELECT item_id, count(doc_id) AS n_docs, min(doc_id) AS first_doc FROM b LEFT JOIN d ON contains(t, anchor) GROUP BY item_id""")
 def j15_anchor_matches(spark, folder):
-    """Anchors that a normalised text contains. Anchors are few and broadcast; texts stream past them once."""
-    anchors = table(spark, folder, "benchmark").select("item_id", X.score_text(F.substring("text", 1, 60)).alias("anchor"))
-    texts = table(spark, folder, "documents").select("doc_id", X.score_text(F.col("text")).alias("t"))
-    hits = texts.join(F.broadcast(anchors.withColumnRenamed("item_id", "hit")), F.expr("contains(t, anchor)")).groupBy("hit").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
-    return anchors.join(hits, F.col("hit") == F.col("item_id"), "left").select("item_id", F.coalesce("n", F.lit(0)).alias("n_docs"), "first_doc")
+    """Whole passages that a normalised text contains."""
+    items = table(spark, folder, "benchmark")
+    texts = table(spark, folder, "documents").select(F.col("doc_id").alias("text_id"), X.score_text(F.col("text")).alias("text"))
+    hits = J.holding(texts, items.select(F.col("item_id").alias("anchor_id"), X.score_text(F.col("text")).alias("anchor"))).groupBy("anchor_id").agg(F.count("*").alias("n"), F.min("text_id").alias("first_doc"))
+    return items.join(hits, F.col("anchor_id") == F.col("item_id"), "left").select("item_id", F.coalesce("n", F.lit(0)).alias("n_docs"), "first_doc")
 
 
 _BOXES = "bx AS (SELECT event_id, user_id, event_type, value AS x0, value + 12 AS x1, (event_id % 97)::DOUBLE AS y0, (event_id % 97 + 5)::DOUBLE AS y1, event_type = 'view' AS panel FROM events)"
@@ -154,8 +154,8 @@ def j19_parent_messages(spark, folder):
 
 @query("SELECT p_brand, list_contains(list([p_type, p_size::VARCHAR]), ['ECONOMY', '11']) AS has_row FROM part GROUP BY p_brand")
 def j20_expected_rows(spark, folder):
-    rows = F.collect_list(F.array("p_type", F.col("p_size").cast("string")))
-    return table(spark, folder, "part").groupBy("p_brand").agg(F.array_contains(rows, F.array(F.lit("ECONOMY"), F.lit("11"))).alias("has_row"))
+    same = (F.col("p_type") == "ECONOMY") & (F.col("p_size").cast("string") == "11")
+    return table(spark, folder, "part").groupBy("p_brand").agg(F.bool_or(F.coalesce(same, F.lit(False))).alias("has_row"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_extendedprice > 2000.0::DOUBLE * (l_quantity + 1) AS heavy FROM lineitem")

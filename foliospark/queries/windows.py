@@ -11,9 +11,11 @@ from ..session import table
 _ISLANDS = "d AS (SELECT DISTINCT doc, number FROM pg WHERE status <> 'failed'), g AS (SELECT doc, number, number - row_number() OVER (PARTITION BY doc ORDER BY number) AS k FROM d), i AS (SELECT doc, k, min(number) AS a, max(number) AS b FROM g GROUP BY ALL)"
 
 
-@query(f"WITH {PAGES_SQL}, {_ISLANDS} SELECT doc, string_agg(CASE WHEN a = b THEN a::VARCHAR ELSE a || '–' || b END, '、' ORDER BY a) AS ranges FROM i GROUP BY doc")
+@query(f"WITH {PAGES_SQL}, {_ISLANDS} SELECT doc, a AS first, CASE WHEN a = b THEN a::VARCHAR ELSE a || '–' || b END AS label FROM i")
 def w01_page_ranges(spark, folder):
-    return W.page_ranges(pages(spark, folder).filter("status <> 'failed'"), ["doc"], "number")
+    """A row a range: a source may have any number of them."""
+    own = W.islands(pages(spark, folder).filter("status <> 'failed'"), ["doc"], "number")
+    return own.select("doc", "first", W.range_label(F.col("first"), F.col("last")).alias("label"))
 
 
 @query("""WITH s AS (SELECT page_id, string_split(html, '<p>') AS p FROM pages), e AS (SELECT page_id, generate_subscripts(p, 1) - 1 AS nth, unnest(p) AS body FROM s)
@@ -181,11 +183,13 @@ def u03_unknown_keys(spark, folder):
     return table(spark, folder, "events").select("event_id", F.array_join(F.array_except(keys, F.array(F.lit("x"))), ",").alias("unknown"))
 
 
-@query("SELECT string_agg(t, '|' ORDER BY item_id) AS joined FROM (SELECT item_id, substr(text, 1, 10) AS t FROM benchmark UNION ALL SELECT 1000 + doc_id, substr(text, 1, 10) FROM documents WHERE doc_id < 20)")
+@query("SELECT n, sha256(string_agg(t, '|' ORDER BY o)) AS joined FROM (SELECT item_id AS n, 0 AS o, text AS t FROM benchmark UNION ALL SELECT doc_id, 1, text FROM documents) WHERE t IS NOT NULL GROUP BY n")
 def u04_union_of_texts(spark, folder):
-    a = table(spark, folder, "benchmark").select(F.col("item_id").alias("n"), F.substring("text", 1, 10).alias("t"))
-    b = table(spark, folder, "documents").filter("doc_id < 20").select((F.col("doc_id") + 1000).alias("n"), F.substring("text", 1, 10).alias("t"))
-    return a.unionByName(b).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "t"))), lambda r: r["t"]), "|").alias("joined"))
+    """Passage and document of one number joined, the passage first."""
+    a = table(spark, folder, "benchmark").select(F.col("item_id").alias("n"), F.lit(0).alias("o"), F.col("text").alias("t"))
+    b = table(spark, folder, "documents").select(F.col("doc_id").alias("n"), F.lit(1).alias("o"), F.col("text").alias("t"))
+    own = a.unionByName(b).filter("t IS NOT NULL").groupBy("n").agg(F.array_sort(F.collect_list(F.struct("o", "t"))).alias("p"))
+    return own.select("n", F.sha2(F.array_join(F.transform("p", lambda r: r["t"]), "|"), 256).alias("joined"))
 
 
 @query(r"""WITH e AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages), x AS (SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS i FROM e), f AS (SELECT page_id, link, min(i) AS i FROM x GROUP BY ALL)
