@@ -21,7 +21,7 @@ Each language has a model of its trusted text. Words are told by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -269,8 +269,11 @@ def _key(x: pa.Array, y: pa.Array, z: pa.Array, n: pa.Array) -> pa.Array:
     return pa.array(np.choose(np.asarray(n) - 1, keys).view(np.int64))
 
 
-def model_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, weight, n) of all n-grams that the model has, and (lang, unknown): log of the mass that unknown words share.
+def model_of(stats: DataFrame, read: Callable[[], None] = lambda: None) -> tuple[list[DataFrame], DataFrame]:
+    """Tables (key, weight, n) of the words, pairs and trigrams that the model has, and (lang, unknown): log of the mass that unknown words share.
+
+    ``read`` is called when ``stats`` is needed no more. The tables are written one
+    after the other, so that each one's shuffle files go before the next one's come.
 
     With p1, p2, p3 the interpolated probabilities and g2, g3 the back-off masses
     of contexts, the weight of a word is log p1 + log g2, that of a pair (b, c)
@@ -301,17 +304,20 @@ def model_of(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     three = three.join(whole.select(F.col("b").alias("a"), F.col("c").alias("b"), F.col("n").alias("total")), ["a", "b"])
     three = stored(three.select("a", "b", "c", "n", (F.col("cut") / F.col("total")).alias("part")), large=True)
     back = stored(three.groupBy("a", "b").agg(mass(F.col("part")).alias("g3")))
-    top = three.join(back, ["a", "b"]).join(whole.select("b", "c", "p2"), ["b", "c"])
-    e3 = F.log(F.col("part") + F.exp("g3") * F.col("p2")) - F.col("g3") - F.log("p2")
+    read()
+    partly = stored(three.join(back, ["a", "b"]), large=True)
+    dropped(three)
 
     zero = F.lit(0).cast("long")
     one = words.join(masses.withColumnRenamed("b", "c"), "c", "full")
-    rows = one.select(F.col("c").alias("x"), zero.alias("y"), zero.alias("z"), F.lit(1).alias("o"), F.coalesce(F.log("p1"), F.lit(0.0)) + F.coalesce("g2", F.lit(0.0)), F.coalesce("n", F.lit(1 << 40)))
+    one = one.select(F.col("c"), zero, zero, F.lit(1), F.coalesce(F.log("p1"), F.lit(0.0)) + F.coalesce("g2", F.lit(0.0)), F.coalesce("n", F.lit(1 << 40)))
     two = whole.join(back.select(F.col("a").alias("b"), F.col("b").alias("c"), "g3"), ["b", "c"], "left")
-    rows = rows.unionAll(two.select("b", "c", zero, F.lit(2), F.col("e2") + F.coalesce("g3", F.lit(0.0)), "n")).unionAll(top.select("a", "b", "c", F.lit(3), e3, "n"))
-    rows = rows.toDF("x", "y", "z", "o", "weight", "n")
-    out = stored(rows.select(_key("x", "y", "z", "o").alias("key"), "weight", "n"), large=True)
-    for table in (last, facts, masses, whole, three, back):
+    two = two.select("b", "c", zero, F.lit(2), F.col("e2") + F.coalesce("g3", F.lit(0.0)), "n")
+    top = partly.join(whole.select("b", "c", "p2"), ["b", "c"])
+    e3 = F.log(F.col("part") + F.exp("g3") * F.col("p2")) - F.col("g3") - F.log("p2")
+    top = top.select("a", "b", "c", F.lit(3), e3, "n")
+    out = [stored(rows.toDF("x", "y", "z", "o", "weight", "n").select(_key("x", "y", "z", "o").alias("key"), "weight", "n"), large=True) for rows in (one, two, top)]
+    for table in (last, facts, masses, whole, back, partly):
         dropped(table)
     return out, unknown
 
@@ -479,13 +485,15 @@ def met(rows: DataFrame, shards: int) -> DataFrame:
     return dealt.mapInArrow(match, "ref bigint, log_p double, n_tokens double, n_rows double")
 
 
-def scored(texts: DataFrame, model: DataFrame, unknown: DataFrame, spelling: np.ndarray) -> DataFrame:
-    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one. The model's table is removed."""
+def scored(texts: DataFrame, tables: list[DataFrame], unknown: DataFrame, spelling: np.ndarray) -> DataFrame:
+    """(ref, log_p, n_tokens) of each ref in texts (ref, lang, text); rows that share a ref are one. The model's tables are removed."""
     spark = texts.sparkSession
+    model = reduce(DataFrame.unionByName, tables)
     hot = most_frequent(model)
     shards = max(2 * spark.sparkContext.defaultParallelism, -(-model.count() // SHARD_KEYS))
     own = stored(packed(model, shards), large=True)
-    dropped(model)
+    for table in tables:
+        dropped(table)
     known = texts.join(unknown, "lang", "left").withColumn("unknown", F.coalesce("unknown", F.lit(0.0)))
     done = None
     for nth in range(SLICES):
@@ -514,7 +522,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return own.withColumn("ref", F.xxhash64("id", "mark", "lang"))
 
 
-def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+def trained(full: DataFrame, known: DataFrame) -> tuple[list[DataFrame], DataFrame, np.ndarray]:
     """model_of and spelling_of the trusted texts that aren't held out. full: keyed texts, known: (ref, n_bytes, held) of the trusted ones."""
     counted = stored(known.filter("NOT held").select("ref", "n_bytes"))
     n_bytes = counted.agg(F.sum("n_bytes")).first()[0] or 0
@@ -525,10 +533,9 @@ def trained(full: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame, np
     for table in (counted, *texts):
         dropped(table)
     stats = reduce(DataFrame.unionByName, parts)
-    out = (*model_of(stats), spelling_of(stats))
-    for table in parts:
-        dropped(table)
-    return out
+    spelling = spelling_of(stats)
+    model, unknown = model_of(stats, lambda: [dropped(table) for table in parts])
+    return model, unknown, spelling
 
 
 def classify(docs: DataFrame, trusted: DataFrame) -> DataFrame:
