@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import sys
 import tempfile
 import time
 import types
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +79,21 @@ def tidy(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+def handing_back(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``rows`` for mapInArrow; at its end the worker, which lives on, hands what was freed back to the machine."""
+
+    @functools.wraps(rows)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from rows(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
+
+    return wrapped
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker.
 

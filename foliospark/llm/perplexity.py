@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .common import dropped, small_batches, stored, text_of
+from .common import dropped, handing_back, small_batches, stored, text_of
 
 #: The quantile of held-out trusted perplexities that a document may reach.
 QUANTILE = 0.99
@@ -189,7 +189,7 @@ def trigrams(texts: DataFrame, shards: int, part: int = 0, of: int = 1) -> DataF
                 for i in range(0, len(out), 64):
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 64], strict=True), (pa.int32(), pa.string(), pa.binary()), strict=True)], names=["shard", "lang", "blob"])
 
-    return texts.select("lang", "text").mapInArrow(rows, "shard int, lang string, blob binary")
+    return texts.select("lang", "text").mapInArrow(handing_back(rows), "shard int, lang string, blob binary")
 
 
 STATS = "lang string, kind int, x bigint, y bigint, z bigint, n bigint, m bigint"
@@ -246,7 +246,7 @@ def statistics(texts: DataFrame, shards: int, part: int = 0, of: int = 1) -> Dat
             seen = np.flatnonzero(spelling)
             yield row(None, LETTERS, seen, n=spelling[seen])
 
-    return trigrams(texts, shards, part, of).repartition(shards, "shard").select("lang", "blob").mapInArrow(rows, STATS)
+    return trigrams(texts, shards, part, of).repartition(shards, "shard").select("lang", "blob").mapInArrow(handing_back(rows), STATS)
 
 
 def discount(n: Column, often: list[Column]) -> Column:
@@ -399,7 +399,7 @@ def packed(model: DataFrame, shards: int) -> DataFrame:
         if sum(len(x[0]) for x in held):
             yield from out()
 
-    return model.select("key", "weight").mapInArrow(rows, TRAVEL)
+    return model.select("key", "weight").mapInArrow(handing_back(rows), TRAVEL)
 
 
 def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: np.ndarray, shards: int) -> DataFrame:
@@ -447,7 +447,7 @@ def travelling(texts: DataFrame, hot: tuple[np.ndarray, np.ndarray], spelling: n
                 types = (pa.int32(), pa.int32(), *[pa.binary()] * 5)
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=NAMES)
 
-    return texts.select("ref", "lang", "text", "unknown").mapInArrow(rows, TRAVEL)
+    return texts.select("ref", "lang", "text", "unknown").mapInArrow(handing_back(rows), TRAVEL)
 
 
 def met(rows: DataFrame, shards: int) -> DataFrame:
@@ -482,7 +482,7 @@ def met(rows: DataFrame, shards: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], names=["ref", "log_p", "n_tokens", "n_rows"])
 
     dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind")
-    return dealt.mapInArrow(match, "ref bigint, log_p double, n_tokens double, n_rows double")
+    return dealt.mapInArrow(handing_back(match), "ref bigint, log_p double, n_tokens double, n_rows double")
 
 
 def scored(texts: DataFrame, tables: list[DataFrame], unknown: DataFrame, spelling: np.ndarray) -> DataFrame:
