@@ -414,3 +414,48 @@ def v20_endpoints(spark, folder):
 def v21_repository_names(spark, folder):
     text = F.concat_ws("\n", F.coalesce("p_name", F.lit("")), F.coalesce(F.nullif("p_brand", F.lit("Brand#2")), F.lit("")))
     return table(spark, folder, "part").select("p_partkey", F.col("p_name").rlike("^[A-Za-z0-9_.-]+ [A-Za-z0-9_.-]+$").alias("valid"), text.alias("task"))
+
+
+def _candidates(spark, folder):
+    reason = F.when(F.col("conv_id") % 4 == 0, "MAX_TOKENS").when(F.col("conv_id") % 4 == 1, "SAFETY").when(F.col("conv_id") % 4 == 2, "STOP")
+    part = lambda text, thought: F.struct(text.alias("text"), F.lit(thought).alias("thought"))
+    parts = F.array(part(F.lit("draft"), True), part(F.col("text"), False))
+    return table(spark, folder, "conversations").select("conv_id", "turn", F.to_json(F.struct(F.array(F.struct(reason.alias("finishReason"), F.struct(parts.alias("parts")).alias("content"))).alias("candidates"))).alias("payload"))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN conv_id % 4 = 0 THEN 'truncated' WHEN conv_id % 4 = 1 THEN 'blocked' WHEN trim(coalesce(text, '')) = '' THEN 'empty' ELSE 'ok' END AS state, sha256(coalesce(text, '')) AS answer FROM conversations""")
+def c07_answers(spark, folder):
+    from ..sources import logs
+
+    return _candidates(spark, folder).select("conv_id", "turn", logs.answer_state(F.col("payload")).alias("state"), F.sha2(logs.answer(F.col("payload")), 256).alias("answer"))
+
+
+@query(f"SELECT conv_id, turn, sha256(CASE WHEN conv_id % 4 >= 2 THEN {_strip("coalesce(text, '')")} ELSE '' END) AS reply FROM conversations")
+def c20_fast_replies(spark, folder):
+    from ..sources import logs
+
+    return _candidates(spark, folder).select("conv_id", "turn", F.sha2(logs.fast_reply(F.col("payload")), 256).alias("reply"))
+
+
+@query(rf"""WITH c AS (SELECT conv_id, turn, conv_id % 6 AS k, coalesce(text, '') AS text FROM conversations),
+s AS (SELECT conv_id, turn, k, {_strip("CASE WHEN k = 1 THEN text || chr(10) || 'more' WHEN k = 4 THEN '' ELSE text END")} AS t FROM c)
+SELECT conv_id, turn, CASE WHEN k IN (2, 5) THEN 'blocked' WHEN k = 3 THEN 'truncated' WHEN t = '' THEN 'empty' ELSE 'ok' END AS state, CASE WHEN k < 2 AND t <> '' THEN sha256(t) END AS answer FROM s""")
+def c08_chat_answers(spark, folder):
+    from ..sources import logs
+
+    k, own = F.col("conv_id") % 6, F.coalesce("text", F.lit(""))
+    whole = F.to_json(F.struct(own.alias("content")))
+    body = F.expr("substring(j, 12, length(j) - 12)")  # the text as JSON
+    content = F.when(k == 1, F.concat(F.lit('[{"type": "text", "text": '), body, F.lit('}, {"type": "image"}, 7, {"text": "more"}]'))).when(k == 4, F.lit('" "')).otherwise(body)
+    refusal = F.when(k == 2, F.lit(', "refusal": "no"')).otherwise("")
+    reason = F.when(k == 3, F.lit('"length"')).when(k == 5, F.lit('"content_filter"')).otherwise("null")
+    payload = F.concat(F.lit('{"choices": [{"finish_reason": '), reason, F.lit(', "message": {"content": '), content, refusal, F.lit("}}]}"))
+    rows = table(spark, folder, "conversations").withColumn("j", whole).select("conv_id", "turn", logs.chat_answer(payload).alias("a"))
+    return rows.select("conv_id", "turn", "a.state", F.sha2("a.text", 256).alias("answer"))
+
+
+@query("SELECT c_name, c_acctbal FROM customer WHERE c_custkey = 42")
+def s09_point_read(spark, folder):
+    from ..sources import logs
+
+    return logs.record(table(spark, folder, "customer"), "c_custkey", 42, ["c_name", "c_acctbal"])

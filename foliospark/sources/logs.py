@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as X
+
 ID = r"^[a-zA-Z0-9][a-zA-Z0-9._-]{0,109}$"
 
 
@@ -59,18 +61,51 @@ def retry_after(header: Column, body: Column) -> Column:
 
 
 CANDIDATES = "struct<candidates:array<struct<finishReason:string,content:struct<parts:array<struct<text:string,thought:boolean>>>>>>"
+CHAT = "struct<choices:array<struct<finish_reason:string,message:struct<content:variant,refusal:string>>>>"
+# Finish reasons that refuse a page.
+BLOCKED = ("RECITATION", "SAFETY", "PROHIBITED_CONTENT", "BLOCKLIST", "SPII", "IMAGE_SAFETY", "LANGUAGE", "CONTENT_FILTER")
+
+
+def first_candidate(payload: Column) -> Column:
+    return F.get(F.from_json(payload, CANDIDATES)["candidates"], 0)
 
 
 def answer(payload: Column) -> Column:
     """The text of a model's answer: not its thoughts, parts joined by a line feed."""
-    first = F.from_json(payload, CANDIDATES)["candidates"][0]
-    parts = F.filter(first["content"]["parts"], lambda p: p["text"].isNotNull() & ~F.coalesce(p["thought"], F.lit(False)))
+    parts = F.filter(first_candidate(payload)["content"]["parts"], lambda p: p["text"].isNotNull() & ~F.coalesce(p["thought"], F.lit(False)))
     return F.array_join(F.transform(parts, lambda p: p["text"]), "\n")
 
 
 def answer_state(payload: Column) -> Column:
     """truncated, blocked, empty or ok; an unfinished or refused answer is none, whatever text it has."""
-    # Finish reasons that refuse a page.
-    blocked = ("RECITATION", "SAFETY", "PROHIBITED_CONTENT", "BLOCKLIST", "SPII", "IMAGE_SAFETY", "LANGUAGE", "CONTENT_FILTER")
-    reason = F.from_json(payload, CANDIDATES)["candidates"][0]["finishReason"]
-    return F.when(reason == "MAX_TOKENS", "truncated").when(reason.isin(*blocked), "blocked").when(F.coalesce(F.trim(answer(payload)), F.lit("")) == "", "empty").otherwise("ok")
+    reason = first_candidate(payload)["finishReason"]
+    return F.when(reason == "MAX_TOKENS", "truncated").when(reason.isin(*BLOCKED), "blocked").when(F.coalesce(F.trim(answer(payload)), F.lit("")) == "", "empty").otherwise("ok")
+
+
+def fast_reply(payload: Column) -> Column:
+    """The stripped answer of a reply that ended by itself; the empty text for any other."""
+    ended = F.coalesce(first_candidate(payload)["finishReason"], F.lit("")).isin("", "STOP")
+    return F.when(ended, X.strip(F.coalesce(answer(payload), F.lit("")))).otherwise("")
+
+
+def chat_answer(payload: Column) -> Column:
+    """(state, text) of a chat reply whose choices hold a text or a list of items: blocked before truncated before empty; text only where it is ok."""
+    choices = F.coalesce(F.from_json(payload, CHAT)["choices"], F.array().cast(CHAT[len("struct<choices:") : -1]))
+
+    def texts(choice: Column) -> Column:
+        content = choice["message"]["content"]
+        plain = F.try_variant_get(content, "$", "string")
+        item = lambda v: F.when(F.coalesce(F.try_variant_get(v, "$.type", "string"), F.lit("text")) == "text", F.nullif(F.try_variant_get(v, "$.text", "string"), F.lit("")))
+        return F.when(F.schema_of_variant(content) == "STRING", F.array(F.when(X.strip(plain) != "", plain))).otherwise(F.coalesce(F.transform(F.try_variant_get(content, "$", "array<variant>"), item), F.array().cast("array<string>")))
+
+    reason = lambda c: F.upper(F.coalesce(c["finish_reason"], F.lit("")))
+    refused = F.exists(choices, lambda c: (F.coalesce(c["message"]["refusal"], F.lit("")) != "") | reason(c).isin(*BLOCKED))
+    cut = F.exists(choices, lambda c: reason(c) == "LENGTH")
+    text = X.strip(F.array_join(F.flatten(F.transform(choices, texts)), "\n"))
+    state = F.when(refused, "blocked").when(cut, "truncated").when(text == "", "empty").otherwise("ok")
+    return F.struct(state.alias("state"), F.when(state == "ok", text).alias("text"))
+
+
+def record(table: DataFrame, key: str, value: object, fields: list[str]) -> DataFrame:
+    """Fields of the record with this key; the condition and the columns reach the scan."""
+    return table.filter(F.col(key) == F.lit(value)).select(*fields)
