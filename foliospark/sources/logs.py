@@ -52,10 +52,13 @@ def run_log(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("value").rlike(pattern)).select(part(1).alias("at"), part(2).alias("chunk"), part(3).cast("double").alias("seconds"))
 
 
-def retry_after(header: Column, body: Column) -> Column:
-    """The longest wait that a header in seconds and the body's retry delays ask for."""
+def retry_after(header: Column, body: Column, now: Column | None = None) -> Column:
+    """The longest wait that a header, in seconds or as a date, and the body's retry delays ask for."""
     delays = F.transform(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit(r'"retryDelay"\s*:\s*"\s*(\d+(?:\.\d+)?)s\s*"'), F.lit(1)), lambda x: x.cast("double"))
-    seconds = header.try_cast("double")
+    day = F.regexp_extract(header, r"^\s*\w{3}, (\d{2} \w{3} \d{4} \d{2}:\d{2}:\d{2}) GMT\s*$", 1)
+    date = F.try_to_timestamp(F.concat(day, F.lit(" +0000")), F.lit("dd MMM yyyy HH:mm:ss xx"))
+    left = (F.unix_micros(date) - F.unix_micros(F.current_timestamp() if now is None else now)) / 1e6
+    seconds = F.coalesce(header.try_cast("double"), left)
     own = F.when(seconds.isNotNull(), F.greatest(F.lit(0.0), seconds))
     return F.array_max(F.array_compact(F.concat(delays, F.array(own))))
 

@@ -135,6 +135,9 @@ def test_quota_and_waits(spark):
     wait = logs.retry_after(F.col("h"), F.col("b"))
     assert one(spark, wait, h="5", b='{"details": [{"retryDelay": "60s"}]}') == 60.0
     assert one(spark, wait, h="soon", b="{}") is None
+    dated = logs.retry_after(F.col("h"), F.col("b"), F.expr("timestamp'2015-10-21 07:27:30Z'"))
+    assert one(spark, dated, h="Wed, 21 Oct 2015 07:28:00 GMT", b='{"retryDelay": "7s"}') == 30.0
+    assert one(spark, dated, h="Wed, 21 Oct 2015 07:00:00 GMT", b="{}") == 0.0
 
 
 def test_answers(spark):
@@ -144,6 +147,28 @@ def test_answers(spark):
     assert [text(spark, logs.answer_state, p) for p in (whole, payload("MAX_TOKENS", {"text": "a"}), payload("SAFETY"), payload("STOP"))] == ["ok", "truncated", "blocked", "empty"]
 
 
+def test_chat_answers(spark):
+    def state(*choices):
+        own = text(spark, logs.chat_answer, json.dumps({"choices": list(choices)}))
+        return own["state"], own["text"]
+
+    choice = lambda content, reason="stop", **more: {"finish_reason": reason, "message": {"content": content, **more}}
+    items = [{"type": "text", "text": "b"}, {"type": None, "text": "c"}, {"type": "image", "text": "x"}, {"text": ""}, 7, {"type": "text"}]
+    assert state(choice(" a "), choice(items)) == ("ok", "a \nb\nc")
+    assert state(choice("a", "length")) == ("truncated", None)
+    assert state(choice("a", "length"), choice("b", "safety")) == ("blocked", None)
+    assert state(choice("a", refusal="no")) == ("blocked", None)
+    assert [state(), state({}), state(choice(None)), state(choice(" ")), state(choice(5))] == [("empty", None)] * 5
+    assert text(spark, logs.chat_answer, "{")["state"] == text(spark, logs.chat_answer, None)["state"] == "empty"
+
+
+def test_fast_replies(spark):
+    reply = lambda reason, *parts: text(spark, logs.fast_reply, json.dumps({"candidates": [{"finishReason": reason, "content": {"parts": list(parts)}}]}))
+    assert [reply(r, {"text": " a"}, {"text": "t", "thought": True}, {"text": "b "}) for r in ("STOP", "", None, "MAX_TOKENS")] == ["a\nb"] * 3 + [""]
+    assert [text(spark, logs.fast_reply, t) for t in ('{"candidates": []}', "{}", "{", None)] == [""] * 4
+    assert text(spark, logs.answer_state, '{"candidates": []}') == "empty"
+
+
 def test_segments(spark):
     own = lambda f, a, b, n: sorted((r["first"], r["last"]) for r in f(spark.createDataFrame([(1, a, b)], "doc int, first long, last long"), n).collect())
     assert own(S.segments, 3, 9, 3) == [(3, 5), (6, 8), (9, 9)]
