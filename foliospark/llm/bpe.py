@@ -72,8 +72,9 @@ class Vocabulary:
         for r, merge in enumerate(own["model"]["merges"]):
             a, b = map(raw, merge if isinstance(merge, list) else merge.split(" "))
             self.rank[self.id_of[a], self.id_of[b]] = (r, self.id_of[a + b])
-        self.single = [self.id_of[bytes([b])] for b in range(256)]
-        self.singles = np.array(self.single, dtype=np.int64)
+        self.singles = np.array([self.id_of[bytes([b])] for b in range(256)], dtype=np.int64)
+        end = (own["model"].get("end_of_word_suffix") or "").encode()
+        self.ends = np.array([self.id_of[bytes([b]) + end] for b in range(256)], dtype=np.int64)  # of a piece's last byte
         self.merged = np.array([new for _, new in self.rank.values()], dtype=np.int64)  # by rank
         pairs = np.array([a << 32 | b for a, b in self.rank], dtype=np.int64)
         at = np.argsort(pairs)
@@ -98,12 +99,12 @@ class Vocabulary:
         for n, members in by_length.items():
             if n > 64:
                 for i in members:
-                    out[i] = np.array(self._merge_long([self.single[b] for b in pieces[i]]), dtype="<u4").tobytes()
+                    out[i] = np.array(self._merge_long(self._start([pieces[i]], n)[0].tolist()), dtype="<u4").tobytes()
                 continue
             if not n:
                 continue
             rows = np.array(members)
-            ids = self.singles[np.frombuffer(b"".join(pieces[i] for i in members), dtype=np.uint8).reshape(-1, n)]
+            ids = self._start([pieces[i] for i in members], n)
             ranks = self._ranks(ids[:, :-1], ids[:, 1:])
             while True:
                 at = ranks.argmin(axis=1) if ids.shape[1] > 1 else np.zeros(len(rows), dtype=np.int64)
@@ -125,6 +126,11 @@ class Vocabulary:
                         ranks[line[ok], side[ok]] = self._ranks(ids[line[ok], side[ok]], ids[line[ok], side[ok] + 1])
         return out
 
+    def _start(self, pieces: list[bytes], n: int) -> np.ndarray:
+        """The ids of the bytes of pieces of length n, a row for each."""
+        raw = np.frombuffer(b"".join(pieces), dtype=np.uint8).reshape(-1, n)
+        return np.concatenate([self.singles[raw[:, :-1]], self.ends[raw[:, -1:]]], axis=1)
+
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         pair = a.astype(np.int64) << 32 | b
         i = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
@@ -322,6 +328,12 @@ def _ship(spark: SparkSession, data: bytes, suffix: str) -> str:
     return name
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Give every executor a copy of the file at ``path``; returns its name for SparkFiles."""
+    with open(path, "rb") as f:
+        return _ship(spark, f.read(), os.path.splitext(path)[1])
+
+
 def build_lexicon(docs: DataFrame, vocabulary: str | None = None, words: int = LEXICON_WORDS) -> tuple[str, str]:
     """Ship the vocabulary and the automaton of the ``words`` most frequent pieces; returns their file names.
 
@@ -340,8 +352,7 @@ def build_lexicon(docs: DataFrame, vocabulary: str | None = None, words: int = L
         least = row["least"]
     top = [r[0].encode() for r in counted.filter(F.col("n") >= least).select("piece").collect()] if least else []
     compiled = compile_lexicon({p: np.frombuffer(i, dtype="<u4").tolist() for p, i in zip(top, v.merge_all(top), strict=True)})
-    with open(path, "rb") as f:
-        return _ship(spark, f.read(), ".json"), _ship(spark, compiled, ".lexicon")
+    return ship_file(spark, path), _ship(spark, compiled, ".lexicon")
 
 
 def _encoder(files: tuple[str, str]) -> Encoder:

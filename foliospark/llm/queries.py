@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, mixing, ordermin, perplexity, pii, quality, secrets, simhash, suffixes
+from . import bpe, licenses, mixing, ordermin, packing, perplexity, pii, quality, secrets, simhash, suffixes
 from .common import documents
 
 
@@ -67,9 +67,15 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digest(pii.spans_by_row(documents(spark, sf_dir)), pii.KINDS)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, sf_dir))
+    return pieces.select("doc_id", "start", "length", packing.digest("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 _ALL = (
     op1_secret_scans, op2_mixing_sources, op3_simhash_near_dedup, op4_license_scans, op5_suffix_array_dedup,
     op6_bpe_encoding, op7_quality_classifier, op8_document_fingerprints, op9_quality_rules, op10_pii,
+    op12_packing,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
