@@ -1,6 +1,6 @@
 """All registered queries."""
 
 from ..registry import ORACLE_SQL, QUERIES
-from . import aggregates, functions, joins, reports, windows
+from . import aggregates, functions, joins, reports, stores, windows
 
-__all__ = ["ORACLE_SQL", "QUERIES", "aggregates", "functions", "joins", "reports", "windows"]
+__all__ = ["ORACLE_SQL", "QUERIES", "aggregates", "functions", "joins", "reports", "stores", "windows"]
