@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 EXACT, FIRST_OF_KIND, FIRST_IF_NO_ID = "exact", "first_of_kind", "first_if_no_id"
 
 
-def pair(rows: DataFrame, policy: str) -> DataFrame:
+def pair(rows: DataFrame, policy: str, replaced: bool = False) -> DataFrame:
     """(message, kind, call, result, association) from rows of message, seq, side (call or result), kind, id.
 
     association is call_id where the ids agree, type_fifo_estimate where the first
@@ -24,10 +24,14 @@ def pair(rows: DataFrame, policy: str) -> DataFrame:
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         open_calls: list[tuple[str, str, int]] = []
+        given_up: list[tuple[str, str, int]] = []
         out = []
         for r in pdf.sort_values("seq").itertuples():
             own = r.id or ""
             if r.side == "call":
+                if replaced:
+                    given_up += [c for c in open_calls if c[:2] == (r.kind, own)]
+                    open_calls = [c for c in open_calls if c[:2] != (r.kind, own)]
                 open_calls.append((r.kind, own, r.seq))
                 continue
             same = [c for c in open_calls if c[0] == r.kind]
@@ -39,7 +43,7 @@ def pair(rows: DataFrame, policy: str) -> DataFrame:
             if hit is not None:
                 open_calls.remove(hit)
             out.append((r.message, r.kind, hit[2] if hit else None, r.seq, how if hit else None))
-        out += [(pdf["message"].iloc[0], k, s, None, None) for k, _, s in open_calls]
+        out += [(pdf["message"].iloc[0], k, s, None, None) for k, _, s in given_up + open_calls]
         return pd.DataFrame(out, columns=["message", "kind", "call", "result", "association"]).astype({"call": "Int64", "result": "Int64"})
 
     message = rows.schema["message"].dataType.simpleString()
