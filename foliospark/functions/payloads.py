@@ -96,8 +96,8 @@ def _object(**values: Column) -> Column:
 
 
 def quote(text: Column) -> Column:
-    """A text as a JSON value."""
-    return F.substring(F.to_json(F.array(text)), F.lit(2), F.length(F.to_json(F.array(text))) - 2)
+    """A text as a JSON value; null stays null."""
+    return F.when(text.isNotNull(), F.substring(F.to_json(F.array(text)), F.lit(2), F.length(F.to_json(F.array(text))) - 2))
 
 
 def _candidate_parts(payloads: DataFrame) -> DataFrame:
@@ -395,7 +395,39 @@ def annotations(payloads: DataFrame, protocol: str) -> DataFrame:
     return first.select("message", place.alias("place"), F.coalesce(F.nullif("title", F.lit("")), "url").alias("title"), "url")
 
 
-# Agents' results
+# Models' and agents' results
+
+# Counters that a reply may have, and what is said of one that didn't end with a text.
+COUNTERS = ("promptTokenCount", "candidatesTokenCount", "totalTokenCount", "thoughtsTokenCount", "cachedContentTokenCount", "toolUsePromptTokenCount", "toolUseTokenCount")
+CUT, NOT_ENDED, NO_TEXT = "回复达到输出上限，已保留不完整正文；可提高输出上限后重新提交。", ("Gemini 未正常完成回复（", "）"), "Gemini 返回空回复"
+
+
+def answer_results(payloads: DataFrame) -> DataFrame:
+    """(message, reply, error, finish_reason, usage) of replies with candidates: the first one's texts, its thoughts apart, a line feed between them.
+
+    error is what is to be said of an end that wasn't a proper one; the reply and the
+    usage are there all the same. Counters are whole numbers of at least 0; those of
+    a tool's prompt count as a tool's use.
+    """
+    v = F.try_parse_json("payload")
+    c = F.get(array_at(v, "candidates"), 0)
+    parts = F.filter(array_at(c, "content.parts"), lambda p: is_text(get(p, "text")) & ~F.coalesce(get(p, "thought", "boolean"), F.lit(False)))
+    reply = F.array_join(F.transform(parts, lambda p: get(p, "text", "string")), "\n")
+    reason = F.left(F.coalesce(get(c, "finishReason", "string"), F.lit("")), F.lit(64))
+    stopped = F.coalesce(get(v, "promptFeedback.blockReason", "string"), F.lit("")) != ""
+    own = payloads.select("message", reply.alias("reply"), reason.alias("finish_reason"), stopped.alias("stopped"), v.alias("v"))
+    error = (
+        F.when(F.col("finish_reason") == "MAX_TOKENS", CUT)
+        .when(F.col("stopped") | ~F.col("finish_reason").isin("", "STOP"), F.concat(F.lit(NOT_ENDED[0]), F.coalesce(F.nullif("finish_reason", F.lit("")), F.lit("PROMPT_BLOCKED")), F.lit(NOT_ENDED[1])))
+        .when(strip(F.col("reply")) == "", NO_TEXT).otherwise("")
+    )
+    count = lambda n: F.when(F.schema_of_variant(get(F.col("v"), f"usageMetadata.{n}")) == "BIGINT", get(F.col("v"), f"usageMetadata.{n}", "long"))
+    of = {n: count(n) for n in COUNTERS}
+    prompt = of["toolUsePromptTokenCount"]
+    of["toolUseTokenCount"] = F.when(prompt >= 0, prompt).otherwise(of["toolUseTokenCount"])
+    usage = F.map_filter(F.create_map(*[x for n, k in of.items() for x in (F.lit(n), k)]), lambda _, n: n >= 0)
+    checked = F.when(F.octet_length("reply") > MOST_REPLY, F.raise_error(F.lit("a reply exceeds 2 MiB")).cast("string")).otherwise(F.col("reply"))
+    return own.select("message", checked.alias("reply"), error.alias("error"), "finish_reason", usage.alias("usage"))
 
 
 def interaction_results(payloads: DataFrame) -> DataFrame:

@@ -1,10 +1,14 @@
 """Queries for models' payloads (C)."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import payloads as P
+from ..functions import requests as R
+from ..functions import text as X
 from ..registry import query
 from ..session import stored, table
+from ..streaming import texts
 
 
 def _joined(spark, folder, part, head, tail):
@@ -113,3 +117,73 @@ def c10_interactions(spark, folder):
         "message", F.sha2("reply", 256).alias("reply"), "error", "finish_reason", used("totalTokenCount").alias("total_tokens"), used("promptTokenCount").alias("prompt_tokens"),
         calls("code_execution_call").alias("codes"), calls("web_search_call").alias("searches"), "step_count",
     )
+
+
+@query(f"""WITH {TURNS_SQL}, f AS (SELECT message, text, ['STOP', 'MAX_TOKENS', 'SAFETY', '', ''][(message % 5 + 1)::INTEGER] AS reason FROM t WHERE turn = 0)
+SELECT message, sha256(text) AS reply, CASE message % 5 WHEN 1 THEN '{P.CUT}' WHEN 2 THEN '{P.NOT_ENDED[0]}SAFETY{P.NOT_ENDED[1]}' WHEN 4 THEN '{P.NOT_ENDED[0]}PROMPT_BLOCKED{P.NOT_ENDED[1]}' ELSE CASE WHEN trim(text) = '' THEN '{P.NO_TEXT}' ELSE '' END END AS error,
+reason AS finish_reason, message AS total, CASE WHEN message % 2 = 1 THEN 3 END AS tools, CASE WHEN message % 2 = 1 THEN 2 ELSE 1 END AS counters FROM f""")
+def c09_answer_results(spark, folder):
+    """First turns as replies with a thought, ended in five ways."""
+    c = F.col("conv_id")
+    reason = F.element_at(F.array(*map(F.lit, ("STOP", "MAX_TOKENS", "SAFETY", "", ""))), (c % 5 + 1).cast("int"))
+    tools = F.when(c % 2 == 1, ',"toolUsePromptTokenCount":3').otherwise(',"toolUseTokenCount":-1')
+    payload = _text(
+        '{"candidates":[{"finishReason":"', reason, '","content":{"parts":[{"text":"thinking","thought":true},{"text":', P.quote(F.coalesce("text", F.lit(""))), '}]}}],"promptFeedback":{"blockReason":"', F.when(c % 5 == 4, "OTHER").otherwise(""),
+        '"},"usageMetadata":{"totalTokenCount":', c.cast("string"), ',"promptTokenCount":"many"', tools, "}}",
+    )
+    own = P.answer_results(table(spark, folder, "conversations").filter("turn = 0").select(c.alias("message"), payload.alias("payload")))
+    used = own.withColumn("usage", F.map_filter("usage", lambda k, _: k != "toolUsePromptTokenCount"))
+    return used.select("message", F.sha2("reply", 256).alias("reply"), "error", "finish_reason", F.col("usage")["totalTokenCount"].alias("total"), F.col("usage")["toolUseTokenCount"].alias("tools"), F.size("usage").cast("long").alias("counters"))
+
+
+MODELS = ("gemini-2.5-pro", "gemini-2.0-flash", "gemini-3-flash", "other", "gemini-2.5-flash", "gemini-1.5-thinking")
+LEVELS = ("none", "high", "", "max", "Low")
+#: What each model sends for each level, as known from the families' rules.
+THINKING = {
+    (0, 0): '{"thinkingBudget":128,"includeThoughts":true}', (0, 1): '{"thinkingBudget":24576,"includeThoughts":true}', (0, 2): '{"includeThoughts":true}', (0, 3): '{"thinkingBudget":24576,"includeThoughts":true}', (0, 4): '{"thinkingBudget":4096,"includeThoughts":true}',
+    **{(m, l): f'{{"thinkingLevel":"{v}","includeThoughts":true}}' for m in (2, 3, 5) for l, v in ((1, "high"), (3, "high"), (4, "low"))}, (2, 2): '{"includeThoughts":true}',
+    (4, 0): '{"thinkingBudget":0}', (4, 1): '{"thinkingBudget":24576,"includeThoughts":true}', (4, 2): '{"includeThoughts":true}', (4, 3): '{"thinkingBudget":24576,"includeThoughts":true}', (4, 4): '{"thinkingBudget":4096,"includeThoughts":true}',
+}
+THINKING_SQL = "CASE " + " ".join(f"WHEN message % 6 = {m} AND message % 5 = {level} THEN '\"thinkingConfig\":{text},'" for (m, level), text in THINKING.items()) + " ELSE '' END"
+
+
+@query(f"""WITH {TURNS_SQL}, m AS (SELECT message, max(q) FILTER (turn = 0) AS first, coalesce(string_agg('{{"role":"' || CASE WHEN turn % 2 = 0 THEN 'user' ELSE 'model' END || '","parts":[{{"text":' || {{0}} || '}}]}}', ',' ORDER BY turn) FILTER (turn > 0) || ',', '') AS history FROM t GROUP BY message)
+SELECT message, sha256('{{"contents":[' || history || '{{"role":"user","parts":[{{"text":"do"}}' || CASE WHEN first = '""' THEN '' ELSE ',{{"text":' || first || '}}' END || ',{{"inlineData":{{"mimeType":"image/png","data":"AA=="}}}}]}}],"generationConfig":{{' || {THINKING_SQL} || '"maxOutputTokens":' || CASE WHEN message % 2 = 0 THEN '8192' ELSE '100' END || '}},"systemInstruction":{{"parts":[{{"text":"be brief"}}]}}}}') AS payload FROM m""".replace("{0}", "q"))
+def c16_content_requests(spark, folder):
+    """First turns as inputs, the others as history, over six models and five levels."""
+    own = table(spark, folder, "conversations").select(F.col("conv_id").alias("message"), "turn", F.coalesce("text", F.lit("")).alias("text"))
+    later = F.collect_list(F.when(F.col("turn") > 0, F.struct("turn", F.when(F.col("turn") % 2 == 0, "user").otherwise("model").alias("role"), X.strip(F.col("text")).alias("text"))))
+    jobs = own.groupBy("message").agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("text"), F.transform(F.array_sort(later), lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text"))).alias("history"))
+    pick = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (F.col("message") % n + 1).cast("int"))
+    options = _text('{"thinkingLevel":"', pick(LEVELS, 5), '","maxOutputTokens":', F.when(F.col("message") % 2 == 0, "0").otherwise("100"), "}")
+    images = F.array(F.struct(F.lit("image/png").alias("mime"), F.lit("AA==").alias("data")))
+    return jobs.select("message", F.sha2(R.content_request(pick(MODELS, 6), F.lit("do"), F.col("text"), images, F.col("history"), F.lit("be brief"), options), 256).alias("payload"))
+
+
+@query(f"""WITH {TURNS_SQL} SELECT message, turn, sha256('{{"model":"m","messages":[{{"role":"user","content":[{{"type":"text","text":' || q || '}},{{"type":"image_url","image_url":{{"url":"data:image/png;base64,AA=="' || CASE turn % 3 WHEN 0 THEN '' WHEN 1 THEN ',"detail":"low"' ELSE ',"detail":"high"' END || '}}}}]}}]'
+|| CASE turn % 2 WHEN 0 THEN ',"reasoning_effort":"low"' ELSE '' END || CASE WHEN turn > 2 THEN ',"max_tokens":' || turn ELSE '' END || '}}') AS payload FROM t""")
+def c16_chat_requests(spark, folder):
+    t = F.col("turn")
+    images = F.array(F.struct(F.lit("").alias("mime"), F.lit("AA==").alias("data")))
+    detail = F.when(t % 3 == 1, "media_resolution_low").when(t % 3 == 2, "media_resolution_ultra_high")
+    request = R.chat_request(F.lit("m"), F.array(F.coalesce("text", F.lit(""))), images, detail, F.when(t % 2 == 0, "Minimal "), F.when(t > 2, t).otherwise(0))
+    return table(spark, folder, "conversations").select(F.col("conv_id").alias("message"), "turn", F.sha2(request, 256).alias("payload"))
+
+
+STREAM_SQL = f"{TURNS_SQL}, r AS (SELECT *, CASE WHEN turn = 0 OR (turn % 3 = 1) <> ((turn - 1) % 3 = 1) THEN 1 ELSE 0 END AS fresh FROM t)"
+
+
+@query(f"""WITH {STREAM_SQL} SELECT message, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (turn % 3 <> 1), '')) AS answer, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (turn % 3 = 1), '')) AS summary, sum(fresh)::INTEGER AS parts,
+'"' || arg_max(CASE WHEN turn = n - 1 THEN 'STOP' ELSE 'OTHER' END, turn) || '"' AS reason, string_agg(turn::VARCHAR, ',' ORDER BY turn) FILTER (turn > CASE WHEN n > 4 THEN 4 ELSE -1 END) AS sources, max(turn)::VARCHAR AS usage, count(*) AS chunks FROM r GROUP BY message""")
+def q15_streamed_texts(spark, folder):
+    """Turns as chunks of one reply: texts and thoughts, a source in each but the fifth, which drops those before it."""
+    t = F.col("turn")
+    last = F.max("turn").over(Window.partitionBy("conv_id"))
+    data = _text(
+        '{"candidates":[{"content":{"parts":[{"text":', P.quote(F.coalesce("text", F.lit(""))), F.when(t % 3 == 1, ',"thought":true').otherwise(""), '}]},"finishReason":"', F.when(t == last, "STOP").otherwise("OTHER"),
+        '","groundingMetadata":{"groundingChunks":[', F.when(t == 4, "").otherwise(t.cast("string")), ']}}],"usageMetadata":{"totalTokenCount":', t.cast("string"), "}}",
+    )
+    own = texts.merged(table(spark, folder, "conversations").select(F.col("conv_id").alias("message"), t.alias("chunk"), data.alias("data")))
+    usage = F.get_json_object(F.col("reply")["usageMetadata"], "$.totalTokenCount")
+    listed = F.nullif(F.array_join("sources", ","), F.lit(""))
+    return own.select("message", F.sha2("answer", 256).alias("answer"), F.sha2("summary", 256).alias("summary"), F.size("parts").alias("parts"), F.col("candidate")["finishReason"].alias("reason"), listed.alias("sources"), usage.alias("usage"), "chunks")
