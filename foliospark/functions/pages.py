@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import holding
 from . import text as X
 
 # Fixed value: texts that number a part of a drawing.
@@ -61,23 +62,27 @@ def rubric_score(pages: DataFrame, rubric: DataFrame) -> DataFrame:
 def mentioned_repositories(tasks: DataFrame, repositories: DataFrame) -> DataFrame:
     """(task, name, score): the best-ranked repositories that a task mentions: by owner/name, by name, by the name's last part.
 
-    repositories is an account's list and is broadcast.
+    tasks: task, text; repositories: name. Names are searched for in all tasks at
+    once, in one pass each for whole names and for names without marks; last parts
+    meet the tasks' distinct words by key.
     """
     short = F.element_at(F.split("name", "/"), 2)
     bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
     suffix = F.element_at(F.split(F.lower(short), "[-_.]"), -1)
-    listed = repositories.select("name", short.alias("short"), bare(short).alias("bare"), suffix.alias("suffix"))
-    own = tasks.select("task", "text", bare(F.col("text")).alias("joined"), F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)).alias("words"))
+    listed = repositories.filter("name IS NOT NULL").select("name", F.coalesce(short, F.lit("")).alias("short"), F.coalesce(bare(short), F.lit("")).alias("bare"), F.coalesce(suffix, F.lit("")).alias("suffix")).distinct()
+    own = tasks.filter("length(text) > 0").select("task", "text")
+    lower = own.select(F.struct("task", "text").alias("text_id"), F.lower("text").alias("text"))
     edge = "[A-Za-z0-9_.-]"
-    full = F.expr(f"text RLIKE concat('(?i)(?<!{edge})', '\\\\Q', name, '\\\\E', '(?!{edge})')")
-    score = (
-        F.when(full, 1000 + F.length("name"))
-        .when((F.length("bare") >= 4) & F.expr("contains(joined, bare)"), 100 + F.length("short"))
-        .when((F.length("suffix") >= 4) & F.expr("array_contains(words, suffix)"), 10 + F.length("suffix"))
-    )
-    found = own.join(F.broadcast(listed), F.expr("length(text) > 0")).withColumn("score", score).filter("score IS NOT NULL")
+    whole = holding(lower, listed.select(F.col("name").alias("anchor_id"), F.lower("name").alias("anchor"))).select("text_id.*", F.col("anchor_id").alias("name"))
+    whole = whole.filter(F.expr(f"text RLIKE concat('(?i)(?<!{edge})', '\\\\Q', name, '\\\\E', '(?!{edge})')")).select("task", "name", (1000 + F.length("name")).alias("score"))
+    joined = own.select(F.col("task").alias("text_id"), bare(F.col("text")).alias("text"))
+    inner = holding(joined, listed.filter("length(bare) >= 4").select(F.struct("name", "short").alias("anchor_id"), F.col("bare").alias("anchor")))
+    inner = inner.select(F.col("text_id").alias("task"), F.col("anchor_id.name").alias("name"), (100 + F.length("anchor_id.short")).alias("score"))
+    words = own.select("task", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)))).alias("suffix"))
+    ends = words.join(listed.filter("length(suffix) >= 4").select("name", "suffix"), "suffix").select("task", "name", (10 + F.length("suffix")).alias("score"))
+    best = whole.unionByName(inner).unionByName(ends).groupBy("task", "name").agg(F.max("score").alias("score"))
     w = Window.partitionBy("task").orderBy(F.desc("score"))
-    return found.withColumn("r", F.rank().over(w)).filter("r = 1").select("task", "name", "score")
+    return best.withColumn("r", F.rank().over(w)).filter("r = 1").select("task", "name", "score")
 
 
 PARTS = """struct<candidates:array<struct<content:struct<parts:array<struct<text:string,thought:boolean,executableCode:struct<id:string,language:string,code:string>,

@@ -25,8 +25,15 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+", ""), r"(?U)\s+$", "")
 
 
-#: Stands between a tag and the text around it while a text is cut.
-CUT = "\ue001"
+#: A character that marks places in a text while it is worked on; where the text holds it itself, it is written as a pair.
+MARK = "\ue000"
+CUT = MARK + "1"
+
+
+def marked(text: Column, work: Callable[[Column], Column]) -> Column:
+    """What ``work``, which may put CUT into the text and must take it out again, makes of ``text``, whatever characters it holds."""
+    own = F.replace(text, F.lit(MARK), F.lit(MARK + "0"))
+    return F.replace(work(own), F.lit(MARK + "0"), F.lit(MARK))
 
 
 def unwrapped(text: Column, removable: Callable[[Column], Column], trim: Callable[[Column], Column]) -> Column:
@@ -37,7 +44,6 @@ def unwrapped(text: Column, removable: Callable[[Column], Column], trim: Callabl
     it; tags without a partner stay too.
     """
     tag = r"(?i)<div\b[^>]*>|</div\s*>"
-    pieces = F.split(F.regexp_replace(text, f"({tag})", f"{CUT}$1{CUT}"), CUT, -1)
     level = lambda tag, free, own: F.struct(tag.alias("tag"), free.alias("free"), own.alias("own"))
     below = lambda s, n: F.slice(s, 1, F.size(s) - n)
 
@@ -51,8 +57,12 @@ def unwrapped(text: Column, removable: Callable[[Column], Column], trim: Callabl
         return F.when(piece.rlike(r"(?i)^<div\b[^>]*>$"), opened).when(piece.rlike(r"(?i)^</div\s*>$") & (F.size(s) > 1), closed).otherwise(added)
 
     start = F.array(level(F.lit(""), F.lit(True), F.lit("")))
-    folded = F.aggregate(pieces, start, take, lambda s: F.array_join(F.transform(s, lambda x: F.concat(x["tag"], x["own"])), ""))
-    return F.when(text.rlike(r"(?i)</div\s*>"), folded).otherwise(text)
+
+    def folded(own: Column) -> Column:
+        pieces = F.split(F.regexp_replace(own, f"({tag})", f"{CUT}$1{CUT}"), CUT, -1)
+        return F.aggregate(pieces, start, take, lambda s: F.array_join(F.transform(s, lambda x: F.concat(x["tag"], x["own"])), ""))
+
+    return F.when(text.rlike(r"(?i)</div\s*>"), marked(text, folded)).otherwise(text)
 
 
 def clean_layout(text: Column) -> Column:
@@ -166,6 +176,17 @@ def repeated_numbers(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\r\n|[\n\r]"), strip), lambda x: x.rlike(r"^\d{4,8}$"))
 
 
+def runs_away(text: Column) -> Column:
+    """Whether one unit of up to 40 characters comes 400 times in a row.
+
+    Such a run holds a whole one of the text's pieces of 100 characters, which then
+    has a period of 40 or less: only texts with such a piece are searched for it.
+    """
+    pieces = F.regexp_extract_all(text, F.lit("(?s).{1,100}"), F.lit(0))
+    periodic = F.exists(pieces, lambda p: (F.length(p) == 100) & p.rlike(r"(?s)^(.{1,40}?)\1++.{0,39}$"))
+    return F.when(periodic, text.rlike(rf"(?s)(.{{1,40}}?)\1{{{MOST_REPEATS - 1},}}")).otherwise(False)
+
+
 def fault(text: Column) -> Column:
     """Why a page's Markdown is rejected: the first check that fails, null if none does."""
     numbers = repeated_numbers(text)
@@ -173,7 +194,7 @@ def fault(text: Column) -> Column:
     return (
         F.when(F.contains(text, F.lit("�")), "replacement")
         .when(F.length(text) > MOST_CHARS, "too_long")
-        .when(text.rlike(rf"(?s)(.{{1,40}}?)\1{{{MOST_REPEATS - 1},}}"), "repeats")
+        .when(runs_away(text), "repeats")
         .when(F.contains(text, F.lit(LAYOUT_COMMENT)), "commentary")
         .when(thrice, "numbers")
     )

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def with_latest(left: DataFrame, right: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -38,21 +43,57 @@ def unsaved(batch: DataFrame, saved: DataFrame, fields: list[str]) -> DataFrame:
     return batch.join(saved, condition, "left_anti")
 
 
-def holding(texts: DataFrame, anchors: DataFrame, first: str = "[e0-9\\u4e00-\\u4fff]", size: int = 16) -> DataFrame:
+#: Bytes of anchors in one automaton, which bounds what a task holds.
+BLOCK_BYTES = 16 << 20
+
+
+def holding(texts: DataFrame, anchors: DataFrame) -> DataFrame:
     """(text_id, anchor_id) of each text that contains an anchor; an empty anchor is in every text, a null one in none.
 
-    texts: text_id, text; anchors: anchor_id, anchor. Each anchor is looked up by one of its stretches of ``size``
-    characters that start with a character of the class ``first``; a text that holds the anchor has that stretch too.
-    Equal stretches meet in a join by key, which Spark broadcasts where the anchors' measured size allows; anchors
-    without such a stretch are compared with every text.
+    texts: text_id, text; anchors: anchor_id, anchor. Anchors are dealt to blocks
+    of bounded size; a block is an automaton that reads each text once, whatever
+    the number of anchors. Texts are neither shuffled nor compared pair by pair.
     """
-    windows = lambda c: F.regexp_extract_all(c, F.lit(f"(?s)(?=({first}.{{{size - 1}}}))"), F.lit(1))
-    keyed = anchors.filter(F.col("anchor").isNotNull()).withColumn("__k", F.array_max(F.transform(windows(F.col("anchor")), lambda w: F.xxhash64(w))))
-    bare = keyed.filter("__k IS NULL").select("anchor_id", "anchor")
-    grams = texts.select("text_id", F.explode(F.array_distinct(F.transform(windows(F.col("text")), lambda w: F.xxhash64(w)))).alias("__k"))
-    met = grams.join(keyed.filter("__k IS NOT NULL").select("__k", "anchor_id", "anchor"), "__k").select("text_id", "anchor_id", "anchor")
-    checked = texts.join(met, "text_id").filter(F.contains("text", F.col("anchor"))).select("text_id", "anchor_id")
-    return checked.unionByName(texts.join(bare, F.expr("contains(text, anchor)")).select("text_id", "anchor_id"))
+    known = anchors.select("anchor_id", F.col("anchor").cast("string").alias("anchor")).filter("anchor IS NOT NULL")
+    size = known.agg(F.coalesce(F.sum(F.octet_length("anchor")), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    number = F.pmod(F.xxhash64("anchor"), F.lit(blocks))
+    kinds = {n: t.schema[n].dataType.simpleString() for t, n in ((texts, "text_id"), (anchors, "anchor_id"))}
+    found = None
+    for b in range(blocks):
+        rows = known.filter(number == b).collect() if blocks > 1 else known.collect()  # one block of anchors
+        hits = _in_block(texts, [(r["anchor"], r["anchor_id"]) for r in rows], kinds)
+        found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def _in_block(texts: DataFrame, anchors: list[tuple], kinds: dict[str, str]) -> DataFrame:
+    shared = texts.sparkSession.sparkContext.broadcast(anchors)
+    schema = T._parse_datatype_string(f"text_id {kinds['text_id']}, anchor_id {kinds['anchor_id']}")
+    arrow = to_arrow_schema(schema)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        ids: dict[str, list] = {}
+        for anchor, i in shared.value:
+            ids.setdefault(anchor, []).append(i)
+        automaton = ahocorasick.Automaton()
+        for anchor in ids:
+            if anchor:
+                automaton.add_word(anchor, anchor)
+        automaton.make_automaton()
+        everywhere = ids.get("", [])
+        for batch in batches:
+            out: list[tuple] = []
+            for text_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text is None:
+                    continue
+                held = {anchor for _, anchor in automaton.iter(text)} if len(automaton) else set()
+                out += [(text_id, i) for anchor in held for i in ids[anchor]] + [(text_id, i) for i in everywhere]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], arrow.field(c).type) for c in range(2)], schema=arrow)
+
+    return texts.select("text_id", "text").mapInArrow(search, schema)
 
 
 def near(a: str, b: str, width: Column | str, height: Column | str) -> Column:

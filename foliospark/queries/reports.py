@@ -80,7 +80,11 @@ def a21_batch_benchmark(spark, folder):
     return own.agg(F.ceil(F.count("*") / 5.0).alias("batches"), F.max("l_quantity").alias("wall"), F.count_if(F.col("l_linestatus") == "O").alias("checks"))
 
 
-@query(None)
+@query(r"""WITH n AS (SELECT DISTINCT 'ation/' || substr(n_name, 1, 4) || '-tion' AS name, substr(n_name, 1, 4) || '-tion' AS short FROM nation),
+l AS (SELECT name, short, regexp_replace(lower(short), '[^a-z0-9]', '', 'g') AS bare, 'tion' AS suffix FROM n),
+t AS (SELECT doc_id AS task, text, regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS joined, regexp_extract_all(lower(text), '[a-z0-9]+') AS words FROM documents WHERE length(text) > 0),
+s AS (SELECT task, name, CASE WHEN regexp_matches(text, '(?i)(^|[^A-Za-z0-9_.-])' || name || '($|[^A-Za-z0-9_.-])') THEN 1000 + length(name) WHEN contains(joined, bare) THEN 100 + length(short) WHEN list_contains(words, suffix) THEN 10 + length(suffix) END AS score FROM t, l)
+SELECT task, name, score::INTEGER AS score FROM (SELECT *, rank() OVER (PARTITION BY task ORDER BY score DESC) AS r FROM s WHERE score IS NOT NULL) WHERE r = 1""")
 def j21_repository_mentions(spark, folder):
     """Parts' brands as repositories that documents may mention."""
     listed = table(spark, folder, "nation").select(F.concat(F.lit("ation/"), F.substring("n_name", 1, 4), F.lit("-tion")).alias("name")).distinct()
