@@ -116,3 +116,23 @@ def hedge_budget(pages: Column) -> Column:
 def summary_interval(raw: Column) -> Column:
     value = F.try_cast(raw, "double") if hasattr(F, "try_cast") else raw.try_cast("double")
     return F.when(value.between(15.0, 3600.0), value).otherwise(120.0)
+
+
+def is_continuation(history: Column, parent: Column, root: Column, identity: Column) -> Column:
+    """Whether a job goes on with a thread: it has a history or a parent, or a root that isn't itself."""
+    has = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    return has(history) | has(parent) | (has(root) & has(identity) & (F.trim(root) != F.trim(identity)))
+
+
+# How a service says that a precondition failed.
+PRECONDITION = (400, "invalid_request", "Precondition check failed.")
+
+
+def is_precondition_error(status: Column, code: Column, message: Column) -> Column:
+    """Exactly the error that a reconnection may meet while the one before is released."""
+    return F.coalesce((status == PRECONDITION[0]) & (code == PRECONDITION[1]) & (message == PRECONDITION[2]), F.lit(False))
+
+
+def source_state(status: Column, path: Column, library: str) -> Column:
+    """gone for a missing source of the library below the path ``library``, failed for any other error, else ok."""
+    return F.when(status.isin(404, 410) & F.startswith(path, F.lit(library)), "gone").when(status >= 400, "failed").otherwise("ok")
