@@ -7,6 +7,9 @@ K + WINDOW - 1 characters that a template has too shares a fingerprint. Only
 fingerprints that the index has leave a document (the index is as large as the
 templates, whatever the corpus). Candidates are aligned with their template word
 by word in a band around the diagonal of each cluster of shared fingerprints.
+What was inserted into a notice or left out of it, however long, parts it into
+pieces on different diagonals: alignments that go on where another ended, in the
+text and in the template, are chained into one match.
 """
 
 from __future__ import annotations
@@ -23,9 +26,9 @@ from pyspark.sql.functions import arrow_udf
 
 from .common import small_batches, text_of
 
-K, WINDOW = 12, 8
-#: Words to either side of the diagonal that an alignment may use, and the least share of a template's words.
-BAND, COVERAGE = 8, 0.7
+K, WINDOW = 8, 3
+#: Words to either side of the diagonal that one alignment may use (chains have no such bound), the least words of a piece, and the least share of a template's words.
+BAND, PIECE, COVERAGE = 8, 3, 0.7
 
 #: Public licence notices.
 TEMPLATES = {
@@ -92,15 +95,16 @@ def winnowed(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h[at], at
 
 
-def inverted_index(templates: dict[str, str] = TEMPLATES) -> list[tuple[int, str]]:
-    """(fingerprint as a signed long, template), once each."""
-    return sorted({(int(h), name) for name, text in templates.items() for h in winnowed(text.encode())[0].view("i8")})
+def inverted_index(templates: dict[str, str] = TEMPLATES) -> list[tuple[int, str, int]]:
+    """(fingerprint as a signed long, template, how many of its fingerprints make a candidate), once each: one, and one more for each 20 words."""
+    need = {name: max(1, len(WORDS.findall(text.encode())) // 20) for name, text in templates.items()}
+    return sorted({(int(h), name, need[name]) for name, text in templates.items() for h in winnowed(text.encode())[0].view("i8")})
 
 
 def candidates(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """(doc_id, mark, templates): documents with at least one fingerprint of a template. docs: doc_id, mark, text."""
+    """(doc_id, mark, templates): documents with enough fingerprints of a template. docs: doc_id, mark, text."""
     index = inverted_index(templates)
-    asked = np.unique(np.array([h for h, _ in index], dtype=np.int64))
+    asked = np.unique(np.array([h for h, *_ in index], dtype=np.int64))
     seen = np.zeros(1 << 16, dtype=bool)
     seen[asked.view("u8") >> np.uint64(48)] = True
 
@@ -117,40 +121,45 @@ def candidates(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFr
                 at = pa.array(owner)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("mark").take(at), pa.array(np.concatenate(found))], names=["doc_id", "mark", "h"])
 
-    table = docs.sparkSession.createDataFrame(index, "h bigint, template string")  # as large as the templates
+    table = docs.sparkSession.createDataFrame(index, "h bigint, template string, need int")  # as large as the templates
     own = docs.mapInArrow(rows, "doc_id bigint, mark bigint, h bigint")
-    return own.join(F.broadcast(table), "h").groupBy("doc_id", "mark").agg(F.collect_set("template").alias("templates"))
+    shared = own.join(F.broadcast(table), "h").groupBy("doc_id", "mark", "template").agg(F.count_distinct("h").alias("n"), F.max("need").alias("need"))
+    return shared.filter("n >= need").groupBy("doc_id", "mark").agg(F.collect_set("template").alias("templates"))
 
 
-def aligned(own: list[bytes | None], template: list[bytes], shift: int, band: int = BAND) -> tuple[int, int, int] | None:
-    """(words matched, first, past the last own word) of the best alignment in a band.
+#: Words matched, the first own word and the one past the last, the template's first word and the one past the last.
+Piece = tuple[int, int, int, int, int]
+
+
+def aligned(own: list[bytes | None], template: list[bytes], shift: int, band: int = BAND) -> Piece | None:
+    """The best alignment in a band.
 
     The template's word j may stand against own words from j + shift - band to
     j + shift + band. A match counts 2, a mismatch or a gap -1; the ends are free.
     No alignment crosses an own word that is None.
     """
     width = 2 * band + 1
-    # score, matched, start of the alignment in own, end of it in own
-    before: list[tuple[int, int, int, int]] = [(0, 0, -1, -1)] * width
-    best = (0, 0, -1, -1)
+    nothing = (0, 0, -1, -1, -1, -1)  # score, matched, and the places of Piece
+    before = [nothing] * width
+    best = nothing
     for j, word in enumerate(template):
-        row: list[tuple[int, int, int, int]] = []
+        row: list[tuple] = []
         for k in range(width):
             i = j + shift - band + k  # own word
             if not 0 <= i < len(own) or own[i] is None:
-                row.append((0, 0, -1, -1))
+                row.append(nothing)
                 continue
-            s, m, a, e = before[k]
+            s, m, a, e, ja, je = before[k]
             if own[i] == word:
-                cell = (s + 2, m + 1, i if a < 0 else a, i + 1)
+                cell = (s + 2, m + 1, i, i + 1, j, j + 1) if a < 0 else (s + 2, m + 1, a, i + 1, ja, j + 1)
             else:
-                cell = (s - 1, m, a, e)
+                cell = (s - 1, m, a, e, ja, je)
             if k + 1 < width and before[k + 1][0] - 1 > cell[0]:  # the template's word is left out
                 cell = (before[k + 1][0] - 1, *before[k + 1][1:])
             if row and row[-1][0] - 1 > cell[0]:  # own word is left out
                 cell = (row[-1][0] - 1, *row[-1][1:])
             if cell[0] <= 0:
-                cell = (0, 0, -1, -1)
+                cell = nothing
             row.append(cell)
             if cell[0] > best[0]:
                 best = cell
@@ -158,8 +167,13 @@ def aligned(own: list[bytes | None], template: list[bytes], shift: int, band: in
     return best[1:] if best[1] else None
 
 
-def occurrences(own: list[bytes], template: list[bytes], shift: int, least: float) -> list[tuple[int, int, int]]:
-    """The alignments in a band that match at least ``least`` words, best first; none shares own words with another."""
+def least_piece(words: int) -> int:
+    return max(1, min(PIECE, words // 4))
+
+
+def pieces(own: list[bytes], template: list[bytes], shift: int) -> list[Piece]:
+    """The alignments in a band with at least PIECE words, or a quarter of a shorter template's, best first; none shares own words with another."""
+    least = least_piece(len(template))
     left: list[bytes | None] = list(own)
     out = []
     while (hit := aligned(left, template, shift)) and hit[0] >= least:
@@ -168,6 +182,46 @@ def occurrences(own: list[bytes], template: list[bytes], shift: int, least: floa
     return out
 
 
+def chains(found: list[Piece], words: int, least: float) -> list[tuple[int, int, int]]:
+    """(matched, first, past) of matches of at least ``least`` words, from pieces of one template: those that nothing can add to first, then chains.
+
+    In a chain each piece starts after the one before it, in the text and in the
+    template; words in which they overlap count once. A chain is taken as a whole,
+    the one with most words first; what it is made of is in no other.
+    """
+    out, short = [], least_piece(words)
+    taken: list[tuple[int, int]] = []
+    free = lambda p: all(p[2] <= a or p[1] >= e for a, e in taken)
+    for p in sorted(found, key=lambda p: (-p[0], p[1])):
+        if p[0] >= least and p[3] < short and words - p[4] < short and free(p):
+            out.append(p[:3])
+            taken.append(p[1:3])
+    rest = sorted({p for p in found if free(p)}, key=lambda p: (p[1], p[2], p[3]))
+    while rest:
+        ends: list[tuple[int, int] | None] = [None] * (words + 1)  # by the template's place: most words of a chain that ends there, and its last piece
+        score, before = [0] * len(rest), [-1] * len(rest)
+        for n, (m, a, _, ja, je) in enumerate(rest):
+            score[n] = m
+            for place in range(je):
+                if ends[place] is not None:
+                    gain = m - max(0, place - ja) - max(0, rest[ends[place][1]][2] - a)
+                    if gain > 0 and ends[place][0] + gain > score[n]:
+                        score[n], before[n] = ends[place][0] + gain, ends[place][1]
+            if ends[je] is None or score[n] > ends[je][0]:
+                ends[je] = (score[n], n)
+        n = max(range(len(rest)), key=lambda i: score[i])
+        if score[n] < least:
+            break
+        used, past, matched = set(), rest[n][2], score[n]
+        while n >= 0:
+            used.add(n)
+            first, n = rest[n][1], before[n]
+        out.append((matched, first, past))
+        spans = [rest[i][1:3] for i in used]
+        rest = [p for i, p in enumerate(rest) if i not in used and all(p[2] <= a or p[1] >= e for a, e in spans)]
+    return out
+
+
 FOUND = T.ArrayType(T.StructType([T.StructField("license", T.StringType()), T.StructField("coverage", T.DoubleType()), T.StructField("n_words", T.LongType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
@@ -194,9 +248,9 @@ def alignments(text: Column, names: Column, templates: dict[str, str] = TEMPLATE
                 if last is not None and s - last <= BAND // 2:
                     continue
                 last = s
-                found += occurrences(own, words, s, least * len(words))
+                found += pieces(own, words, s)
             past = -1
-            for m, a, e in sorted(found, key=lambda x: (x[1], -x[0])):
+            for m, a, e in sorted(chains(found, len(words), least * len(words)), key=lambda x: (x[1], -x[0])):
                 if a >= past:
                     past = e
                     begin, end = (len(raw[:b].decode("utf-8", "replace")) for b in (spans[a].start(), spans[e - 1].end()))
