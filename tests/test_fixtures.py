@@ -1,6 +1,8 @@
 """Operators whose results can't be told from the driver's tables, on small inputs with known results."""
 
 import json
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -258,6 +260,48 @@ def test_pairing(spark):
     assert paired(other, P.FIRST_OF_KIND) == [(False, 0, 2, "type_fifo_estimate"), (False, 1, None, None), (True, None, 3, None)]
 
 
+def test_messages_are_paired_by_one_task_for_many(spark):
+    """Many small messages in few batches, one that goes over several; the same as a plain fold. No worker's call for each message."""
+    rnd = random.Random(5)
+    rows = [(m, seq, rnd.choice(["call", "result"]), rnd.choice("pq"), rnd.choice(["a", "b", "", None])) for m in range(40) for seq in range(400 if m == 7 else rnd.randrange(9))]
+    df = spark.createDataFrame(rows, "message long, seq long, side string, kind string, id string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 37)
+    try:
+        for policy in (P.EXACT, P.FIRST_OF_KIND, P.FIRST_IF_NO_ID):
+            for replaced in (False, True):
+                found = P.pair(df, policy, replaced)
+                assert "FlatMapGroups" not in found._jdf.queryExecution().toString()
+                got = Counter(tuple(r) for r in found.collect())
+                assert got == plain_pairs(rows, policy, replaced)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def plain_pairs(rows, policy, replaced):
+    out = Counter()
+    for m in {r[0] for r in rows}:
+        calls = []
+        for _, seq, side, kind, own in sorted((r for r in rows if r[0] == m), key=lambda r: r[1]):
+            own = own or ""
+            if side == "call":
+                if replaced:
+                    out.update((m, k, s, None, None) for k, i, s in calls if (k, i) == (kind, own))
+                    calls = [c for c in calls if c[:2] != (kind, own)]
+                calls.append((kind, own, seq))
+                continue
+            same = [c for c in calls if c[0] == kind]
+            hit, how = next((c for c in reversed(same) if c[1] == own and own), None), "call_id"
+            if hit is None and not own and policy != P.FIRST_OF_KIND:
+                hit = next((c for c in reversed(same) if not c[1]), None)
+            if hit is None and (policy == P.FIRST_OF_KIND or policy == P.FIRST_IF_NO_ID and not own):
+                hit, how = next(iter(same), None), "type_fifo_estimate"
+            if hit:
+                calls.remove(hit)
+            out[m, kind, hit[2] if hit else None, seq, how if hit else None] += 1
+        out.update((m, k, s, None, None) for k, _, s in calls)
+    return out
+
+
 def test_figures(spark):
     html = '<img src="img_in_image_box_10_10_100_100.jpg"/> <div></div> <img src="img_in_image_box_110_12_200_100.jpg"/>\ntext <img src="img_in_image_box_500_500_600_600.jpg"/>'
     pages = spark.createDataFrame([(1, html, 1000.0, 1000.0)], "page long, text string, width double, height double")
