@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -85,8 +86,18 @@ SVG = {
 }
 
 
-def _config(v: Column, fields: dict[str, str], prefix: str) -> list[Column]:
+def _once(c: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
+def _facts(v: Column) -> Column:
     keys = F.map_keys(v.try_cast("map<string,variant>"))
+    return F.struct(v.alias("v"), keys.alias("keys"), F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False)).alias("whole"))
+
+
+def _config(facts: Column, fields: dict[str, str], prefix: str) -> list[Column]:
+    v, keys = facts["v"], facts["keys"]
     unknown = F.when(F.size(F.array_except(keys, F.array(*map(F.lit, fields)))) > 0, F.lit(f"{prefix}: unknown fields"))
     kind = lambda n: F.coalesce(F.schema_of_variant(get(v, n)), F.lit("VOID"))
     wrong = [F.when(F.array_contains(keys, n) & ~F.startswith(kind(n), F.lit(t)), F.lit(f"{prefix}.{n}: no {t}")) for n, t in fields.items()]
@@ -94,17 +105,25 @@ def _config(v: Column, fields: dict[str, str], prefix: str) -> list[Column]:
 
 
 def config_faults(image: Column, svg: Column) -> Column:
-    """What is wrong with an image and an SVG configuration in JSON: unknown fields, values of another type, a quality or level that there isn't; empty texts are none."""
-    out = []
-    for raw, fields, prefix in ((image, IMAGE, "image_config"), (svg, SVG, "svg_config")):
-        given = X.strip(F.coalesce(raw, F.lit(""))) != ""
-        v = F.try_parse_json(raw)
-        whole = F.coalesce(F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), F.lit(False))
-        out.append(F.when(given & ~whole, F.lit(f"{prefix}: no object")))
-        out += [F.when(given & whole, c) for c in _config(v, fields, prefix)]
-    i, inner = F.try_parse_json(image), get(F.try_parse_json(image), "svg")
-    out.append(F.when((F.schema_of_variant(get(i, "jpeg_quality")) == "BIGINT") & ~get(i, "jpeg_quality", "long").between(50, 100), F.lit("image_config.jpeg_quality: out of range")))
-    out += [F.when(F.startswith(F.schema_of_variant(inner), F.lit("OBJECT")), c) for c in _config(inner, SVG, "image_config.svg")]
-    level = X.strip(F.coalesce(get(F.try_parse_json(svg), "thinking_level", "string"), get(inner, "thinking_level", "string"), F.lit("")))
-    out.append(F.when(~level.isin("", *EFFORTS), F.lit("svg_config.thinking_level: unknown")))
-    return F.array_compact(F.array(*out))
+    """What is wrong with an image and an SVG configuration in JSON: unknown fields, values of another type, a quality or level that there isn't; empty texts are none.
+
+    Each text is parsed once.
+    """
+
+    def faults(s: Column) -> Column:
+        i, inner, own = s["image"]["v"], s["inner"], s["svg"]["v"]
+        out = []
+        for side, fields, prefix in (("image", IMAGE, "image_config"), ("svg", SVG, "svg_config")):
+            given, whole = s[f"{side}_given"], s[side]["whole"]
+            out.append(F.when(given & ~whole, F.lit(f"{prefix}: no object")))
+            out += [F.when(given & whole, c) for c in _config(s[side], fields, prefix)]
+        out.append(F.when((F.schema_of_variant(get(i, "jpeg_quality")) == "BIGINT") & ~get(i, "jpeg_quality", "long").between(50, 100), F.lit("image_config.jpeg_quality: out of range")))
+        out += [F.when(inner["whole"], c) for c in _config(inner, SVG, "image_config.svg")]
+        level = X.strip(F.coalesce(get(own, "thinking_level", "string"), get(inner["v"], "thinking_level", "string"), F.lit("")))
+        out.append(F.when(~level.isin("", *EFFORTS), F.lit("svg_config.thinking_level: unknown")))
+        return F.array_compact(F.array(*out))
+
+    given = lambda raw: X.strip(F.coalesce(raw, F.lit(""))) != ""
+    parsed = F.struct(F.try_parse_json(image).alias("i"), F.try_parse_json(svg).alias("s"))
+    facts = lambda p: F.struct(_facts(p["i"]).alias("image"), _facts(p["s"]).alias("svg"), _facts(get(p["i"], "svg")).alias("inner"), given(image).alias("image_given"), given(svg).alias("svg_given"))
+    return _once(parsed, lambda p: _once(facts(p), faults))
