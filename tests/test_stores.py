@@ -8,6 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark.queries import stores
 from foliospark.sources import catalogs, packages
 from foliospark.streaming import delivery as D
 from foliospark.streaming import heartbeats as H
@@ -338,3 +339,25 @@ def test_stream_of_parts_is_delivered(spark, tmp_path):
         assert {k: v[1] for k, v in store.saved.items() if k[0] == "n"} == {("n", "a"): "1"}
         assert store.saved["m", "a"][1] == str(i + 1)
     assert hashlib.sha256(str(sorted(store.saved)).encode()).hexdigest() == hashlib.sha256(str([("m", "a"), ("m", "b"), ("n", "a")]).encode()).hexdigest()
+
+
+def test_catalogs_longer_than_a_reader_takes(spark, duck_of, tmp_path):
+    """Brands with over 1,000 parts, broken ones among them: with models over the limit, and with pages over it only."""
+    brands = [("Brand#11", 1300), ("Brand#22", 1300), ("Brand#13", 1300), ("Brand#1", 1300), ("Brand#2", 1010), ("Brand#3", 1100), ("Brand#4", 1000)]
+    rows = [(k, f"name {k}", brand, "type", 7 if brand == "Brand#3" and k % 5 == 0 else k % 6 + 1) for k, brand in enumerate(b for b, n in brands for _ in range(n))]
+    folder = str(tmp_path)
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{folder}/part.parquet")
+    got = {(r["catalog"], r["error"]) for r in stores.s11_catalog_scan(spark, folder).collect()}
+    assert got == set(duck_of(folder, "part", f"SELECT catalog, error FROM ({stores.CATALOGS_SQL})")) and ("Brand#1", "over 1000 models") in got and ("Brand#3", "over 10 pages") in got
+
+
+@pytest.fixture
+def duck_of():
+    import duckdb
+
+    def rows(folder, table, sql):
+        con = duckdb.connect()
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
+        return con.sql(sql).fetchall()
+
+    return rows
