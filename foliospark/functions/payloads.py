@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import pairing
+from ..session import stored
 from . import markup as M
 from .text import strip
 
@@ -329,14 +330,12 @@ def display_parts(payloads: DataFrame, protocol: str, secrets: list[str] | None
     """(message, sequence, type, tool_call_id, tool_name, status, input, output, provider, text, mime, uri, inline, result_seq).
 
     A result goes into the row of its call; one without a call is a row of its own,
-    in its place. Inputs and outputs are JSON, bounded and without credentials.
+    in its place. Inputs and outputs are JSON, bounded and without credentials. The
+    payloads are read once; their parts go to the shared folder.
     """
-    rows = raw_parts(payloads, protocol)
-    tools = rows.filter("side IS NOT NULL")
-    pairs = None
-    for policy in (pairing.EXACT, pairing.FIRST_IF_NO_ID, pairing.FIRST_OF_KIND):
-        own = pairing.pair(tools.filter(F.col("policy") == policy).select("message", "seq", "side", "kind", "id"), policy, replaced=True)
-        pairs = own if pairs is None else pairs.unionByName(own)
+    rows = stored(raw_parts(payloads, protocol), "parts")
+    tools = rows.filter("side IS NOT NULL").select("message", "seq", "side", "kind", "id", "policy")
+    pairs = pairing.pair(tools, None, replaced=True)
     matched = pairs.filter("call IS NOT NULL AND result IS NOT NULL").select("message", "call", "result")
     results = rows.filter("side = 'result'").select("message", F.col("seq").alias("result"), F.col("body").alias("__out"), F.col("status").alias("__status"))
     answered = matched.join(results, ["message", "result"]).withColumnRenamed("call", "seq")

@@ -94,6 +94,12 @@ def test_display_of_candidates(spark):
     assert cited == [("Source", "https://example.com"), ("https://read.example", "https://read.example"), ("https://cited.example", "https://cited.example")]
 
 
+def test_payloads_are_parsed_once_for_display(spark):
+    found = P.display_parts(spark.createDataFrame([(1, '{"candidates":[]}')], "message long, payload string"), P.CANDIDATES)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "payload" not in plan and "FlatMapGroups" not in plan and found.count() == 0
+
+
 def test_unmatched_calls_and_results_stay_in_place(spark):
     call = lambda i, **k: {"functionCall": {"id": i, "name": "f", **k}}
     result = lambda i: {"functionResponse": {"id": i, "name": "f", "response": {"i": i}}}
