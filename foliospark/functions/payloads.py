@@ -8,8 +8,9 @@ then paired over that one order.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,20 +200,25 @@ def metadata(payload: Column, protocol: str) -> Column:
 def within(parts: DataFrame, shells: DataFrame, most_parts: int = MOST_PARTS, most_bytes: int = MOST_BYTES - MARGIN) -> DataFrame:
     """(message, place, kept): a running byte budget that starts with the shell and goes on after a part that doesn't fit; smaller ones may.
 
-    parts: message, place, bytes; shells: message, shell_bytes. A message's places are one group of numbers.
+    parts: message, place, bytes; shells: message, shell_bytes. Messages are dealt to
+    tasks, sorted there and read in one go.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place")
-        size, kept = int(pdf["shell_bytes"].iloc[0]), []
-        for place, own in zip(pdf["place"], pdf["bytes"], strict=True):
-            fits = place < most_parts and size + own + 2 <= most_bytes
-            size += own + 2 if fits else 0
-            kept.append(fits)
-        return pdf[["message", "place"]].assign(kept=kept)
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, size = None, None
+        for batch in batches:
+            kept = []
+            for message, place, own, shell in zip(*(batch.column(c).to_pylist() for c in ("message", "place", "bytes", "shell_bytes")), strict=True):
+                if size is None or message != last:
+                    last, size = message, shell
+                fits = place < most_parts and size + own + 2 <= most_bytes
+                size += own + 2 if fits else 0
+                kept.append(fits)
+            yield pa.RecordBatch.from_arrays([batch.column("message"), batch.column("place"), pa.array(kept, pa.bool_())], names=["message", "place", "kept"])
 
     message = parts.schema["message"].dataType.simpleString()
-    return parts.select("message", "place", "bytes").join(shells, "message").groupBy("message").applyInPandas(fold, f"message {message}, place int, kept boolean")
+    both = parts.select("message", "place", "bytes").join(shells, "message").select("message", F.col("place").cast("int").alias("place"), "bytes", "shell_bytes")
+    return both.repartition("message").sortWithinPartitions("message", "place").mapInArrow(fold, f"message {message}, place int, kept boolean")
 
 
 def snapshots(payloads: DataFrame, protocol: str, secrets: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -223,7 +229,7 @@ def snapshots(payloads: DataFrame, protocol: str, secrets: list[str] | None = No
     truncated), a row for every message, so that nothing is left out unsaid.
     """
     rows = snapshot_parts(payloads, protocol).select("message", "place", M.sanitize(F.col("part"), secrets).alias("part"))
-    rows = rows.withColumn("bytes", F.octet_length("part").cast("long"))
+    rows = stored(rows.withColumn("bytes", F.octet_length("part").cast("long")), "parts")  # cleaned once
     counted = rows.groupBy("message").agg(F.count("*").alias("total"))
     known = payloads.join(counted, "message", "left").select("message", _shell(protocol)(M.sanitize(metadata(F.col("payload"), protocol), secrets), F.coalesce("total", F.lit(0)).cast("long")).alias("s"), F.coalesce("total", F.lit(0)).alias("total_parts"))
     kept = within(rows, known.select("message", F.col("s.bytes").alias("shell_bytes")))

@@ -80,6 +80,22 @@ def shown(spark, protocol, *data, secrets=None):
     return rows, [r.asDict() for r in sorted(rows.collect(), key=lambda r: (r["message"], r["sequence"]))]
 
 
+def test_parts_are_cleaned_once_and_budgets_kept_for_many_messages_at_once(spark):
+    parts, captures = P.snapshots(payloads(spark, CONTENT), P.CANDIDATES)
+    plans = [d._jdf.queryExecution().optimizedPlan().toString() for d in (parts, captures)]
+    assert not any("content.parts" in p or "FlatMapGroups" in p for p in plans)
+    rows = [(m, p, 10 * (p % 3 + 1)) for m in range(50) for p in range(m % 9)]
+    shells = [(m, m) for m in range(50)]
+    got = P.within(spark.createDataFrame(rows, "message long, place int, bytes long"), spark.createDataFrame(shells, "message long, shell_bytes long"), 7, 90)
+    want = set()
+    for m, size in shells:
+        for _, place, own in (r for r in rows if r[0] == m):
+            fits = place < 7 and size + own + 2 <= 90
+            size += own + 2 if fits else 0
+            want.add((m, place, fits))
+    assert {tuple(r) for r in got.collect()} == want
+
+
 def test_display_of_candidates(spark):
     rows, parts = shown(spark, P.CANDIDATES, CONTENT)
     assert [(p["sequence"], p["type"], p["tool_name"], p["status"]) for p in parts] == [
