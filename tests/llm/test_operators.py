@@ -351,6 +351,14 @@ def test_repeated_strings(table):
     assert got == want
 
 
+def test_contexts_are_compared_in_groups(unique, monkeypatch):
+    """No more than half of all contexts lie in the tables of one comparison."""
+    sizes, expanded = [], suffixes.expanded
+    monkeypatch.setattr(suffixes, "expanded", lambda distinct: sizes.append(distinct.count()) or expanded(distinct))
+    suffixes.repeated_spans(unique)
+    assert sum(sizes) > 0 and max(sizes) <= sum(sizes) / 2
+
+
 def test_repeated_strings_of_hot_anchors(unique, monkeypatch):
     whole = suffixes.repeated_spans(unique).select("doc_id", F.explode("spans")).distinct()
     merged = lambda df: {r["doc_id"]: suffixes.merged([x.asDict() for x in r["s"]]) for r in df.groupBy("doc_id").agg(F.collect_list("col").alias("s")).collect()}
