@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 from foliospark.functions import classify as C
 from foliospark.operators import runs
@@ -79,3 +80,27 @@ def test_job_rules(spark):
     assert [r[0] for r in df.select(C.is_continuation(*map(F.col, "hpri"))).collect()] == [False, True, True, False, False]
     df = spark.createDataFrame([(400, "invalid_request", "Precondition check failed."), (400, "invalid_request", "Precondition check failed"), (401, "invalid_request", "Precondition check failed."), (400, None, "Precondition check failed.")], "s int, c string, m string")
     assert [r[0] for r in df.select(C.is_precondition_error(*map(F.col, "scm"))).collect()] == [True, False, False, False]
+
+
+def test_looks_at_many_open_steps(spark, tmp_path):
+    """Sixty steps that never stop and some that do; the last ten by start are listed, and no table of ticks is broadcast."""
+    rows = [(s, i, float(i * 7), "step.stop" if i % 4 == 3 else "step.start", json.dumps({"index": 99 if i % 4 > 1 else i % 5, "step": {"type": "thought"}})) for s in (1, 2) for i in range(80 + s)]
+    spark.createDataFrame(rows, "stream long, arrival long, at double, event string, data string").write.parquet(f"{tmp_path}/events")
+    found = traces.diagnostics(spark.read.parquet(f"{tmp_path}/events"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"BroadcastHashJoin \[stream#\d+L?, n#", plan)
+    got = {(r["stream"], r["tick"]): r["open_steps"] for r in found.collect()}
+    for (s, tick), listed in got.items():
+        steps = []
+        for _, i, at, event, data in (r for r in rows if r[0] == s):
+            index = json.loads(data)["index"]
+            if event == "step.start":
+                steps.append([at, index, None])
+            else:
+                of = [x for x in steps if x[1] == index]
+                if of:
+                    of[-1][2] = at
+        number = lambda t: max(0, -int(-t // 20.0)) if t is not None else None
+        n, last = round(tick / 20), number(rows[-1][2] if s == 2 else float(80 * 7))
+        own = [x[:2] for x in steps if max(1, number(x[0])) <= n <= (last if x[2] is None else number(x[2]) - 1)]
+        assert listed == [i for _, i in sorted(own)[-10:]], (s, tick)
