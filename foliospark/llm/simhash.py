@@ -73,10 +73,9 @@ def thermometer(bits: Column) -> Column:
     return one.bitwiseOR(F.shiftleft(two, 1))
 
 
-def _masks(distance: int) -> list[int]:
-    """Masks of the kept blocks: any ``distance`` of 2 * distance blocks of segments."""
-    blocks = np.array_split(np.arange(32), 2 * distance)
-    masks = [sum(3 << (2 * int(i)) for i in b) for b in blocks]
+def _masks(distance: int, blocks: int = 0) -> list[int]:
+    """Masks of the kept blocks: all but any ``distance`` of that many (2 * distance) blocks of segments."""
+    masks = [sum(3 << (2 * int(i)) for i in b) for b in np.array_split(np.arange(32), blocks or 2 * distance)]
     whole = [sum(c) for c in combinations(masks, len(masks) - distance)]
     return [m - (1 << 64) if m >> 63 else m for m in whole]
 
@@ -134,12 +133,17 @@ def near_duplicates(docs: DataFrame, k: int = 3, distance: int = DISTANCE) -> Da
 
 
 # Near copies by shingle sets: the pipeline's stage. Fingerprints of whole texts differ in some ten of 64 bits where 0.8 of
-# the shingles are shared, too many for a selective grid. Here a text has fingerprints of its parts.
+# the shingles are shared, too many for a selective grid. Here a text has fingerprints of its parts, and the grid is theirs.
 
 #: Shingles of five words; texts are near copies if they share 0.8 of their distinct shingles (Jaccard).
 SHINGLE, SIMILARITY = 5, 0.8
 #: Parts of a text, at least and at most, the shingles that a part has on average at least, and those that it must have where there are PARTS.
 LEAST_PARTS, PARTS, PART_SHINGLES, LEAST_SHINGLES = 8, 16, 3, 3
+#: Manhattan distance of two parts' segment counts up to which their texts are tried. A cell keeps all but PART_DISTANCE of PART_BLOCKS blocks:
+#: 24 segments, so that few parts share one by chance.
+PART_DISTANCE, PART_BLOCKS = 1, 4
+#: Sets in a cell up to which all of its pairs of different classes are tried; those of larger cells meet by rare shingles.
+CROWDED = 32
 #: Longs of a shingle set's sketch.
 SKETCH = 8
 #: Pairs of one text above which its shingles are dealt to several tasks.
@@ -165,17 +169,17 @@ def shingles(text: bytes, k: int = SHINGLE, seed: int = 42) -> np.ndarray:
         return np.unique(out ^ (out >> np.uint64(32)))
 
 
-def parts(own: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
-    """Cells (signed) of the SimHash fingerprints of a shingle set's parts.
+def parts(own: np.ndarray, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and SimHash fingerprints (signed) of a shingle set's parts; only parts of one slot, a part's number in its size class, are compared.
 
     Hashes deal shingles to parts, so equal shingles of two texts are in equal
     parts. There are 8 or 16 parts by the number of shingles; of longer texts every
     second, fourth, ... shingle, by hash, is looked at, so that a part has 3 to 6 of
     them on average at any length; of 16 parts those with fewer than 3 say little
-    and have no cell. Texts near the end of a size class have cells in the next
+    and are left out. Texts near the end of a size class have parts in the next
     one as well. Parts that no edit touched have equal fingerprints: distance 0.
     """
-    out, n = [], len(own)
+    slots, out, n = [], [], len(own)
     level = max(0, (n // PART_SHINGLES).bit_length() - 1)
     top = PART_SHINGLES << (level + 1)
     for g in (level, level + 1) if n <= top and n > similarity * top - 1 else (level,):
@@ -199,29 +203,29 @@ def parts(own: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
         bits = np.unpackbits(some.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones = np.add.reduceat(bits, new, axis=0, dtype=np.int64)
         prints = np.packbits(2 * ones > size[:, None], axis=1, bitorder="little").view("<u8").ravel()
-        with np.errstate(over="ignore"):
-            cell = (prints ^ np.uint64(g << 8)) * np.uint64(0x9E3779B97F4A7C15) + named.astype(np.uint64)
-            out.append((cell ^ (cell >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, dtype=np.int64)
+        slots.append((g * PARTS + named).astype(np.int16))
+        out.append(prints.view(np.int64))
+    return (np.concatenate(slots), np.concatenate(out)) if out else (np.zeros(0, np.int16), np.zeros(0, np.int64))
 
 
-SET = "struct<id:bigint,n:int,cells:array<bigint>>"
+SET = "struct<id:bigint,n:int,slots:array<smallint>,prints:array<bigint>>"
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]).astype("i4")), pa.array(flat.view(np.int64)))
+def _lists(rows: list[np.ndarray], kind: type = np.int64) -> pa.Array:
+    flat = np.concatenate(rows) if rows else np.zeros(0, kind)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]).astype("i4")), pa.array(flat.view(kind)))
 
 
 def shingle_set(text: Column, k: int = SHINGLE, similarity: float = SIMILARITY) -> Column:
-    """SET of a text: a hash of its shingle set, how many there are and the cells. A text without words has id 0."""
+    """SET of a text: a hash of its shingle set, how many there are and the parts. A text without words has id 0."""
 
     @arrow_udf(SET)
     def sets(texts: pa.Array) -> pa.Array:
         own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
         ids = np.array([xxhash.xxh64_intdigest(x.tobytes()) if len(x) else 0 for x in own], dtype=np.uint64).view(np.int64)
-        columns = [pa.array(ids), pa.array([len(x) for x in own], pa.int32()), _lists([parts(x, similarity) for x in own])]
-        return pa.StructArray.from_arrays(columns, names=["id", "n", "cells"])
+        cut = [parts(x, similarity) for x in own]
+        columns = [pa.array(ids), pa.array([len(x) for x in own], pa.int32()), _lists([x[0] for x in cut], np.int16), _lists([x[1] for x in cut])]
+        return pa.StructArray.from_arrays(columns, names=["id", "n", "slots", "prints"])
 
     return sets(text)
 
@@ -258,54 +262,78 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY)
     return both.filter(shared >= similarity * (F.col("n1") + F.col("n2") - shared)).select("u", "v")
 
 
-def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY) -> DataFrame:
+def part_cells(ids: DataFrame, distance: int = PART_DISTANCE) -> DataFrame:
+    """(id, n, e, cell): each part's embedding e, as thermometer codes, in each of its grid cells. Parts of one slot at that Manhattan distance or less share one."""
+    own = ids.filter("n > 0").select("id", "n", F.explode(F.arrays_zip("slots", "prints")).alias("p")).select("id", "n", "p.slots", thermometer(F.col("p.prints")).alias("e"))
+    cells = [F.xxhash64("slots", F.lit(i), F.col("e").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(_masks(distance, max(PART_BLOCKS, 2 * distance)))]
+    return own.select("id", "n", "e", F.explode(F.array(*cells)).alias("cell"))
+
+
+def near_copy_classes(ids: DataFrame, read: Callable[[DataFrame], DataFrame], similarity: float = SIMILARITY, distance: int = PART_DISTANCE) -> DataFrame:
     """(id, class) of the distinct sets that have a near copy; class is the smallest id reachable.
 
-    ids has (id, n, cells) of each set once; ``read`` gets (id) of those that share a cell
-    with another one and gives (id, n, shingles, sketch).
+    ids has (id, n, slots, prints) of each set once; ``read`` gets (id) of those that may
+    have a near copy and gives (id, n, shingles, sketch).
 
-    In each cell all are tried against one (linear): the set whose cells hold the
-    most sets, which of edited copies is the one with the fewest edits, and the same
-    in all of their cells. Of those that still share a cell with another class the
-    rarest shingles are paired: two sets with that similarity share one of the
+    The grid join: candidates are sets with parts of one slot whose segment counts are at
+    a Manhattan distance of ``distance`` or less. They share a cell; the distance is part
+    of the join's condition. First all sets of a cell are tried against one (linear): the
+    set whose cells hold the most sets, which of edited copies is the one with the fewest
+    edits, and the same in all of their cells. Then the cells' pairs of different classes
+    are joined. Sketches bound the difference of two sets from below, so that hardly any
+    pairs but links leave the join.
+
+    Sets of cells that still hold several classes and more than CROWDED sets are not all
+    paired there: their rarest shingles are. Two sets with that similarity share one of the
     n - ceil(similarity * n) + 1 rarest shingles of the larger one and of the
     n - ceil(2 * similarity / (1 + similarity) * n) + 1 rarest of the smaller one.
     So no link within a cell's sets is lost, and what many unlike texts have in
-    common makes no pairs. Sketches bound the difference of two sets from below, so
-    that hardly any pairs but links leave the join.
+    common makes no pairs.
     """
     sized = (F.col("n") >= similarity * F.col("n2")) & (F.col("n2") >= similarity * F.col("n"))
-    cells = stored(ids.filter("n > 0").select("id", "n", F.explode("cells").alias("cell")))
+    near = _differing("e", "e2") <= distance
+    cells = part_cells(ids, distance)
     many = cells.groupBy("cell").agg(F.count("*").alias("many")).filter("many > 1")
-    crowded = cells.join(many, "cell")
-    sets = stored(read(crowded.select("id").distinct()))
-    popular = crowded.groupBy("id").agg(F.sum("many").alias("score"))
-    crowded = stored(crowded.join(popular, "id").select("cell", "id", "n", "score"))
-    dropped(cells)
-    centre = crowded.groupBy("cell").agg(F.max(F.struct("score", "id", "n")).alias("l")).select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"))
-    starred = crowded.join(centre, "cell").filter((F.col("id") != F.col("v")) & sized).select(F.col("id").alias("u"), "v")
+    shared = stored(cells.join(many, "cell"))
+    popular = shared.groupBy("id").agg(F.sum("many").alias("score"))
+    centre = shared.join(popular, "id").groupBy("cell").agg(F.max(F.struct("score", "id", "n", "e")).alias("l")).select("cell", F.col("l.id").alias("v"), F.col("l.n").alias("n2"), F.col("l.e").alias("e2"))
+    starred = shared.join(centre, "cell").filter((F.col("id") != F.col("v")) & sized & near).select(F.col("id").alias("u"), "v")
+    starred = stored(starred.distinct())
+    # Two that share a cell by chance are no longer of interest; of three or more any two may be near.
+    some = starred.select(F.col("u").alias("id")).unionByName(starred.select(F.col("v").alias("id"))).unionByName(shared.filter("many > 2").select("id"))
+    sets = stored(read(some.distinct()))
     named = _joined(stored(sets.select("id", F.col("id").alias("comp"))), verified(starred, sets, similarity))
+    dropped(starred)
+
+    labelled = shared.join(named, "id").select("cell", "id", "n", "e", "comp")
+    mixed = labelled.groupBy("cell").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("many")).filter("a < b").select("cell", "many")
+    left = stored(labelled.join(mixed, "cell"))
+    dropped(shared)
+    words = [f"s{i}" for i in range(SKETCH)]
+    sketches = sets.select("id", *[F.get("sketch", F.lit(i)).alias(s) for i, s in enumerate(words)])
+    second = [F.col(x).alias(f"{x}2") for x in ("id", "n", "comp", *words)]
+    apart = sum((_differing(s, f"{s}2") for s in words), F.lit(0))
+    alike = sized & (F.col("comp") != F.col("comp2")) & (apart <= (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("n2")) + 1e-9)
+    larger = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
+    pair = [F.col("id").alias("u"), F.col("id2").alias("v")]
 
-    labelled = crowded.join(named, "id").select("cell", "id", "comp")
-    mixed = labelled.groupBy("cell").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a < b").select("cell")
-    left = stored(labelled.join(mixed, "cell", "left_semi").select("id", "comp").distinct())
-    dropped(crowded)
-    each = sets.join(left, "id").select("id", "n", "comp", F.explode("shingles").alias("h"))
+    few = left.filter(F.col("many") <= CROWDED).drop("many").join(sketches, "id")
+    across = few.join(few.select("cell", F.col("e").alias("e2"), *second), "cell").filter(near & alike & larger).select(*pair)
+
+    crowd = stored(left.filter(F.col("many") > CROWDED).select("id", "comp").distinct())
+    each = sets.join(crowd, "id").select("id", "n", "comp", F.explode("shingles").alias("h"))
     often = each.groupBy("h").agg(F.count("*").alias("df"), F.min("comp").alias("a"), F.max("comp").alias("b"))
     ranked = each.join(often, "h").withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy("df", "h")))
     length = lambda share: F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
     prefix = ranked.filter((F.col("rank") <= length(similarity)) & (F.col("a") < F.col("b")))
-    prefix = prefix.join(sets.select("id", *[F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]), "id")
-    prefix = stored(prefix.select("h", "id", "n", "comp", "rank", *[f"s{i}" for i in range(SKETCH)]))
-    small = prefix.filter(F.col("rank") <= length(2 * similarity / (1 + similarity))).select("h", F.col("rank").alias("rank2"), F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), *[F.col(f"s{i}").alias(f"t{i}") for i in range(SKETCH)])
-    apart = sum((_differing(f"s{i}", f"t{i}") for i in range(SKETCH)), F.lit(0))
-    bound = apart <= (1 - similarity) / (1 + similarity) * (F.col("n") + F.col("n2")) + 1e-9
+    prefix = stored(prefix.join(sketches, "id").select("h", "id", "n", "comp", "rank", *words))
+    small = prefix.filter(F.col("rank") <= length(2 * similarity / (1 + similarity))).select("h", F.col("rank").alias("rank2"), *second)
     least = F.ceil((F.col("n") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-9)
     first = (F.col("rank") <= F.col("n") - least + 1) & (F.col("rank2") <= F.col("n2") - least + 1)
-    larger = (F.col("n") > F.col("n2")) | (F.col("n") == F.col("n2")) & (F.col("id") > F.col("id2"))
-    across = prefix.join(small, "h").filter((F.col("comp") != F.col("comp2")) & larger & sized & first & bound).select(F.col("id").alias("u"), F.col("id2").alias("v"))
-    named = _joined(named, verified(across, sets, similarity))
-    for table in (sets, left, prefix):
+    rare = prefix.join(small, "h").filter(alike & larger & first).select(*pair)
+    found = stored(across.unionByName(rare).distinct())
+    named = _joined(named, verified(found, sets, similarity))
+    for table in (sets, left, crowd, prefix, found):
         dropped(table)
     return named.withColumnRenamed("comp", "class")
 
@@ -334,7 +362,7 @@ def deduplicated(docs: DataFrame, k: int = SHINGLE, similarity: float = SIMILARI
     marked = docs.select(F.struct("*").alias("row")).select("row", "row.doc_id", F.xxhash64(text).alias("mark"))  # rows that agree in both are the same to us
     own = stored(marked.select("doc_id", "mark", shingle_set(text, k, similarity).alias("s")).select("doc_id", "mark", "s.*"))
     key = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "mark")
-    ids = stored(own.groupBy("id").agg(F.min(key).alias("key"), F.first("n").alias("n"), F.first("cells").alias("cells")))
+    ids = stored(own.groupBy("id").agg(F.min(key).alias("key"), *[F.first(c).alias(c) for c in ("n", "slots", "prints")]))
     dropped(own)
 
     def read(some: DataFrame) -> DataFrame:

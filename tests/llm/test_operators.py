@@ -245,6 +245,38 @@ def test_near_copies_of_every_size(spark):
     assert want <= got and len(got - want) <= 0.1 * (len(rows) - len(want))  # no clean text goes, nine of ten near copies do
 
 
+def segment_counts(x):
+    return [(x >> 2 * i & 3).bit_count() for i in range(32)]
+
+
+def test_near_copies_meet_in_the_grid_of_segment_counts(spark):
+    """Parts at a Manhattan distance of one or less are tried, others are not; cells of many unlike sets lose no link either."""
+    rnd = np.random.default_rng(12)
+    sets, prints, wanted = [], [], []
+    fresh = lambda n: rnd.integers(0, 2**63, n, dtype=np.int64)
+    for bits in ([], [0], [61], [0, 1], [2, 3, 40], [0, 2], [9, 33], [4, 20, 50]):  # 2i and 2i + 1 are one segment
+        for _ in range(6):
+            own, mark = fresh(40), int(fresh(1)[0]) & ~3 | 1  # the lowest segment is 01: with both bits changed it has the same count
+            other = mark ^ sum(1 << b for b in bits)
+            sets += [own, np.concatenate([own[:38], fresh(2)])]
+            prints += [[(5, mark)], [(5, other), (6, mark)]]
+            distance = sum(abs(a - b) for a, b in zip(segment_counts(mark), segment_counts(other), strict=True))
+            wanted += [(len(sets) - 2, len(sets) - 1)] if distance <= 1 else []
+    assert 18 <= len(wanted) < 48
+    hot = int(fresh(1)[0])
+    for _ in range(60):  # one cell for all; each pair of its own
+        own = fresh(40)
+        sets += [own, np.concatenate([own[:38], fresh(2)])]
+        prints += [[(7, hot)], [(7, hot)]]
+        wanted += [(len(sets) - 2, len(sets) - 1)]
+    ids = [(i, len(x), [a for a, _ in p], [b for _, b in p]) for i, (x, p) in enumerate(zip(sets, prints, strict=True))]
+    ids = spark.createDataFrame(ids, "id long, n int, slots array<smallint>, prints array<long>")
+    rows = [(i, len(x), sorted(x.tolist()), simhash.sketch(x.view(np.uint64)).tolist()) for i, x in enumerate(sets)]
+    rows = spark.createDataFrame(rows, "id long, n int, shingles array<long>, sketch array<long>")
+    got = {r["id"]: r["class"] for r in simhash.near_copy_classes(ids, lambda some: rows.join(some, "id")).collect()}
+    assert {(b, a) for a, b in got.items() if a != b} == set(wanted)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (103, 102), (101, 103), (7, 7), (100, 101)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
