@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .common import small_batches, stored, text_of, worker_cache
+from .common import handing_back, small_batches, stored, text_of, worker_cache
 
 LEXICON_WORDS = 100_000
 LONGEST_WORD = 48
@@ -313,7 +313,7 @@ def piece_counts(docs: DataFrame) -> DataFrame:
         if seen:
             yield rows()
 
-    return docs.select(text_of().alias("text")).mapInArrow(count, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+    return docs.select(text_of().alias("text")).mapInArrow(handing_back(count), "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def _ship(spark: SparkSession, data: bytes, suffix: str) -> str:
@@ -366,14 +366,14 @@ def _encoder(files: tuple[str, str]) -> Encoder:
 def encoded(text: Column, files: tuple[str, str]) -> Column:
     """The ids of a text as an array of integers."""
 
-    @arrow_udf(T.ArrayType(T.IntegerType()))
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _encoder(files)
-        ids = own.encode_all([x or "" for x in texts.to_pylist()])
-        flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4")), flat)
+        for texts in batches:
+            ids = own.encode_all([x or "" for x in texts.to_pylist()])
+            flat = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+            yield pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(x) // 4 for x in ids)]).astype("i4")), flat)
 
-    return encode(text)
+    return arrow_udf(handing_back(encode), T.ArrayType(T.IntegerType()))(text)
 
 
 def decoded(ids: Column, files: tuple[str, str]) -> Column:

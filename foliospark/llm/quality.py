@@ -11,7 +11,7 @@ that bounded table comes to the driver.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from .common import small_batches, stored, text_of
+from .common import handing_back, small_batches, stored, text_of
 
 SYMBOLS, UPPER = b"#*$%&|<>", bytes(range(65, 91))
 SPACES = b"\x20\t\n\x0b\x0c\r"
@@ -89,11 +89,15 @@ def counts(text: bytes) -> tuple[int, ...]:
     return (len(words), chars, symbols, dup, repeat_words(words), n_lines, upper, upper + lower, bare.count(b"!"), digits, plain, runs)
 
 
-@arrow_udf(COUNTS_TYPE)
-def counts_of(texts: pa.Array) -> pa.Array:
-    rows = [counts(x or b"") for x in texts.cast(pa.binary()).to_pylist()]
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(COUNTS)
-    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(COUNTS))
+def _counts_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        rows = [counts(x or b"") for x in texts.cast(pa.binary()).to_pylist()]
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(COUNTS)
+        yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(COUNTS))
+
+
+#: Not "deterministic", else Spark would count once more in a filter below, by a second worker for each task.
+counts_of = arrow_udf(handing_back(_counts_of, cached=False), COUNTS_TYPE).asNondeterministic()
 
 
 def base_failed(c: str) -> Column:

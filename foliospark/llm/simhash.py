@@ -20,7 +20,7 @@ costs a star, not all of its pairs, and no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import dropped, small_batches, stored, text_of
+from .common import dropped, handing_back, small_batches, stored, text_of
 from .graph import components
 
 DISTANCE = 3
@@ -219,15 +219,15 @@ def _lists(rows: list[np.ndarray], kind: type = np.int64) -> pa.Array:
 def shingle_set(text: Column, k: int = SHINGLE, similarity: float = SIMILARITY) -> Column:
     """SET of a text: a hash of its shingle set, how many there are and the parts. A text without words has id 0."""
 
-    @arrow_udf(SET)
-    def sets(texts: pa.Array) -> pa.Array:
-        own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
-        ids = np.array([xxhash.xxh64_intdigest(x.tobytes()) if len(x) else 0 for x in own], dtype=np.uint64).view(np.int64)
-        cut = [parts(x, similarity) for x in own]
-        columns = [pa.array(ids), pa.array([len(x) for x in own], pa.int32()), _lists([x[0] for x in cut], np.int16), _lists([x[1] for x in cut])]
-        return pa.StructArray.from_arrays(columns, names=["id", "n", "slots", "prints"])
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
+            ids = np.array([xxhash.xxh64_intdigest(x.tobytes()) if len(x) else 0 for x in own], dtype=np.uint64).view(np.int64)
+            cut = [parts(x, similarity) for x in own]
+            columns = [pa.array(ids), pa.array([len(x) for x in own], pa.int32()), _lists([x[0] for x in cut], np.int16), _lists([x[1] for x in cut])]
+            yield pa.StructArray.from_arrays(columns, names=["id", "n", "slots", "prints"])
 
-    return sets(text)
+    return arrow_udf(handing_back(sets, cached=False), SET)(text)
 
 
 def sketch(own: np.ndarray) -> np.ndarray:
@@ -239,12 +239,12 @@ def sketch(own: np.ndarray) -> np.ndarray:
 def shingles_of(text: Column, k: int = SHINGLE) -> Column:
     """Struct (shingles, sketch) of a text: its sorted distinct shingles as signed longs."""
 
-    @arrow_udf("struct<shingles:array<bigint>,sketch:array<bigint>>")
-    def sets(texts: pa.Array) -> pa.Array:
-        own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
-        return pa.StructArray.from_arrays([_lists(own), _lists([sketch(x) for x in own])], names=["shingles", "sketch"])
+    def sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            own = [shingles(x or b"", k) for x in texts.cast(pa.binary()).to_pylist()]
+            yield pa.StructArray.from_arrays([_lists(own), _lists([sketch(x) for x in own])], names=["shingles", "sketch"])
 
-    return sets(text)
+    return arrow_udf(handing_back(sets, cached=False), "struct<shingles:array<bigint>,sketch:array<bigint>>")(text)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -6,11 +6,12 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe, licenses, mixing, ordermin, perplexity, pii, quality, queries, secrets, simhash, suffixes
+from foliospark.llm import bpe, common, licenses, mixing, ordermin, perplexity, pii, quality, queries, secrets, simhash, suffixes
 from foliospark.llm.graph import components
 
 sha = lambda x: hashlib.sha256(x).hexdigest()
@@ -652,6 +653,25 @@ def test_quality_verdicts(unique):
     assert quality.fit([]) == {}
 
 
+def test_each_pass_counts_a_text_once(unique):
+    plan = quality.passed(unique)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # two are two Python workers for each task
+
+
+def test_workers_let_go_of_earlier_lexicons(spark):
+    cache = common.worker_cache()
+    try:
+        for stage, kept in (quality._counts_of, False), (iter, True):
+            cache["encoder"] = "of an earlier corpus"
+            assert len(list(common.handing_back(stage, cached=kept)(iter([pa.array(["a b", None])])))) == 1
+            assert bool(cache) == kept
+        cache["encoder"] = "of an earlier corpus"
+        out = list(quality.counts_of.func(iter([pa.array(["a b", None]), pa.array([], pa.string())])))
+        assert [x.field("n_words").to_pylist() for x in out] == [[2, 0], []] and not cache
+    finally:
+        cache.clear()
+
+
 def test_estimated_accuracies_beat_the_votes():
     rnd = np.random.default_rng(1)
     good = rnd.random(4000) < 0.8
