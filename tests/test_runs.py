@@ -104,3 +104,50 @@ def test_looks_at_many_open_steps(spark, tmp_path):
         n, last = round(tick / 20), number(rows[-1][2] if s == 2 else float(80 * 7))
         own = [x[:2] for x in steps if max(1, number(x[0])) <= n <= (last if x[2] is None else number(x[2]) - 1)]
         assert listed == [i for _, i in sorted(own)[-10:]], (s, tick)
+
+
+def test_a_long_silence_costs_no_rows_but_its_own(spark, monkeypatch):
+    """Steps are ranked once between two events, not at each of 30,000 ticks: no stage shuffles a row for each tick. Pieces of a stretch give each tick once."""
+    rows = [(s, i, float(i), "step.start", json.dumps({"index": i, "step": {"type": "thought"}})) for s in ("a", "b") for i in range(14)]
+    rows += [("a", 14, 9.0, "step.stop", '{"index": 13}'), ("a", 15, 200_000.0, "step.stop", '{"index": 8}'), ("b", 14, 400_000.0, "step.stop", '{"index": 0}'), (None, 0, 0.0, "step.start", '{"index": 1}'), (None, 1, 30.0, "step.stop", '{"index": 1}')]
+    events = spark.createDataFrame(rows, EVENTS).repartition(3)
+    for piece in (1000, 4096):
+        monkeypatch.setattr(traces, "PIECE", piece)
+        spark.sparkContext.setJobGroup(f"looks {piece}", "")
+        got = [(r["stream"], r["tick"], r["idle"], r["open_steps"]) for r in traces.diagnostics(events).collect()]
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        status, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+        stages = {k for job in status.getJobIdsForGroup(f"looks {piece}") for k in status.getJobInfo(job).stageIds if status.getStageInfo(k) and status.getStageInfo(k).numCompletedTasks}
+        assert stages and max(store.lastStageAttempt(k).shuffleWriteRecords() for k in stages) < 1000
+        want = [("a", 20.0 * n, 20.0 * n - 13 if n < 10_000 else 0.0, list(range(3, 13)) if n < 10_000 else [2, 3, 4, 5, 6, 7, 9, 10, 11, 12]) for n in range(1, 10_001)]
+        want += [("b", 20.0 * n, 20.0 * n - 13 if n < 20_000 else 0.0, list(range(4, 14))) for n in range(1, 20_001)] + [(None, 20.0 * n, None, []) for n in (1, 2)]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_looks_at_steps_that_stop_and_start_anew(spark, monkeypatch):
+    """Random starts and stops of few and of many indexes, several in a tick, against a plain reading."""
+    monkeypatch.setattr(traces, "PIECE", 2)
+    rnd, rows = random.Random(4), []
+    for s, most in (("few", 4), ("many", 60)):
+        at = 100.0
+        for i in range(150):
+            at += rnd.choice([0, 0.5, 3, 20, 90])
+            rows.append((s, i, at, rnd.choice(["step.start", "step.start", "step.stop", "step.delta"]), json.dumps({"index": rnd.randrange(most)})))
+    got = {(r["stream"], r["tick"]): (r["idle"], r["open_steps"]) for r in traces.diagnostics(spark.createDataFrame(rows, EVENTS).repartition(3)).collect()}
+    want = {}
+    for s in ("few", "many"):
+        own = [r for r in rows if r[0] == s]
+        first, last = own[0][2], own[-1][2]
+        number = lambda t: -int(-(t - first) // 20.0)  # noqa: B023, E731
+        steps = []
+        for _, _, at, kind, data in own:
+            index = json.loads(data)["index"]
+            if kind == "step.start":
+                steps.append([at, index, None])
+            elif kind == "step.stop" and (of := [x for x in steps if x[1] == index]):
+                of[-1][2] = at
+        for n in range(1, max(1, number(last)) + 1):
+            told = [x[:2] for x in steps if max(1, number(x[0])) <= n and (x[2] is None or n < number(x[2]))]
+            seen = max(r[2] for r in own if max(1, number(r[2])) <= n)
+            want[s, first + n * 20.0] = (first + n * 20.0 - seen, [i for _, i in sorted(told)[-10:]])
+    assert got == want
